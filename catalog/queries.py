@@ -16,12 +16,11 @@ from vigia import business as B
 from vigia.calendar import DailyCutoff, MonthWindow, month_end, month_start, shift_months
 from vigia.durable import durable, scratch_path
 from vigia.operators.cardinality import key_summary
-from vigia.operators.ordinal import with_source_row
 from vigia.plans import (
     billing_quality as bq, client_risk, controls, portfolio, priority, publish, segments, snapshot,
     worklists)
 from vigia.operators.ranking import percent_ranks
-from vigia.sources.billing_file import read_billing_file
+from vigia.sources.billing_file import AS_RECEIVED, read_billing_file
 from vigia.sources.mapped import MappedTables
 from vigia.sources.snapshots import SnapshotStore
 from vigia.sources.star import Star
@@ -178,7 +177,7 @@ PUBLISHED_DAYS = (date(2001, 6, 1), date(2001, 6, 2))
 def _publish_days(spark, folder) -> SnapshotStore:
     """Two days in a row through stage, audit and gate, in a fresh store."""
     t = MappedTables(spark, folder)
-    store = SnapshotStore(spark, scratch_path(spark, "tablero"))
+    store = SnapshotStore.open(spark, scratch_path(spark, "tablero"))
     for day in PUBLISHED_DAYS:
         cutoff = DailyCutoff(day)
         after = day + timedelta(days=1)
@@ -269,7 +268,7 @@ def _billing_csv(spark, folder) -> str:
     """The untidy billing text as a CSV load in client, month and copy order."""
     path = scratch_path(spark, "facturacion-csv")
     raw = _raw(spark, folder)
-    raw.orderBy("fila_origen").drop("fila_origen").write.option("header", True).option("escape", '"').csv(path)
+    raw.orderBy("fila_origen").drop("fila_origen").write.options(**AS_RECEIVED).csv(path)
     return path
 
 

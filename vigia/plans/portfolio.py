@@ -152,47 +152,63 @@ def monthly_series(
     ).select(*by, *SERIES)
 
 
-def compare_periods(
-    series: DataFrame, metrics: Sequence[str] = METRICS, by: Sequence[str] = ()
-) -> DataFrame:
-    """Per group, month and metric: value, previous month, change and mean of the twelve months before.
+def with_history(series: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Adds to each month, per metric, the previous month, the change and the mean of the twelve before.
 
     The series is dense, so the previous row is the previous month. The mean leaves
-    the month itself out and skips missing values.
+    the month itself out and skips missing values. All metrics share one window.
     """
-    by = list(by)
-    long = series.select(
-        *by, "periodo", *[F.col(m).cast("double").alias(m) for m in metrics]
-    ).unpivot([*by, "periodo"], list(metrics), "metrica", "actual")
-    in_order = Window.partitionBy(*by, "metrica").orderBy("periodo")
-    return (
-        long.withColumns(
-            {
-                "anterior": F.lag("actual").over(in_order),
-                "promedio_12m": F.avg("actual").over(in_order.rowsBetween(-12, -1)),
-            }
-        )
-        .withColumn("variacion", relative_change(F.col("actual"), F.col("anterior")))
-        .select(*by, "periodo", "metrica", "actual", "anterior", "variacion", "promedio_12m")
+    in_order = Window.partitionBy(*by).orderBy("periodo")
+    added = {}
+    for name in metrics:
+        value = F.col(name).cast("double")
+        added[f"{name}_anterior"] = F.lag(value).over(in_order)
+        added[f"{name}_promedio_12m"] = F.avg(value).over(in_order.rowsBetween(-12, -1))
+    extended = series.withColumns(added)
+    return extended.withColumns(
+        {
+            f"{name}_variacion": relative_change(F.col(name).cast("double"), F.col(f"{name}_anterior"))
+            for name in metrics
+        }
     )
 
 
+def compare_periods(
+    series: DataFrame, metrics: Sequence[str] = METRICS, by: Sequence[str] = ()
+) -> DataFrame:
+    """Per group, month and metric: value, previous month, change and mean of the twelve months before."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("metrica"),
+                F.col(name).cast("double").alias("actual"),
+                F.col(f"{name}_anterior").alias("anterior"),
+                F.col(f"{name}_variacion").alias("variacion"),
+                F.col(f"{name}_promedio_12m").alias("promedio_12m"),
+            )
+            for name in metrics
+        ]
+    )
+    return with_history(series, metrics, by).select(*by, "periodo", F.inline(rows))
+
+
+def _with_streaks(series: DataFrame, by: Sequence[str]) -> DataFrame:
+    return streaks(
+        series, F.col("tasa") > F.col("meta_tasa"), list(by), "periodo", "n_meses", "sobre_meta")
+
+
 def target_streaks(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Months in a row that the rate has been on the same side of its target, up to each month.
 
     A missing rate counts as within the target.
     """
-    counted = streaks(
-        series, F.col("tasa") > F.col("meta_tasa"), list(by), "periodo", "n_meses", "sobre_meta")
-    return counted.select(*by, "periodo", "n_meses", "sobre_meta")
+    return _with_streaks(series, by).select(*by, "periodo", "n_meses", "sobre_meta")
 
 
 def kpi_cards(
     series: DataFrame, month: date, by: Sequence[str] = (), targets: B.Targets = B.Targets()
 ) -> DataFrame:
     """Three indicators with a target for one month: rate, cost and prevention coverage."""
-    by = list(by)
-    at_month = series.filter(F.col("periodo") == day(month))
     goals = {
         "tasa": (F.col("meta_tasa"), True),
         "costo": (F.col("presupuesto").cast("double"), True),
@@ -206,12 +222,14 @@ def kpi_cards(
                 F.lit(name).alias("kpi"), F.col(name).cast("double").alias("valor"), goal.alias("meta"),
                 status.alias("estado"), reached.alias("cumplimiento"),
                 whole_percent(reached).alias("cumplimiento_pct"),
+                F.col(f"{name}_variacion").alias("variacion"),
+                F.col(f"{name}_promedio_12m").alias("promedio_12m"),
             )
         )
-    shown = at_month.select(*by, F.inline(F.array(*cards)))
-    changes = compare_periods(series, list(goals), by).filter(F.col("periodo") == day(month)).select(
-        *by, F.col("metrica").alias("kpi"), "variacion", "promedio_12m")
-    return shown.join(changes, [*by, "kpi"], "left")
+    return (
+        with_history(series, list(goals), by).filter(F.col("periodo") == day(month))
+        .select(*by, F.inline(F.array(*cards)))
+    )
 
 
 def support_metrics(series: DataFrame, summary: DataFrame, month: date) -> DataFrame:
@@ -251,30 +269,24 @@ def key_message_facts(
     series: DataFrame, sectors: DataFrame, month: date
 ) -> DataFrame:
     """The facts of the month in one row: rate and target, streak, change, worst sectors, unvisited clients."""
-    at_month = F.col("periodo") == day(month)
     status, reached = traffic_light(F.col("tasa"), F.col("meta_tasa"))
     missing = F.col("clientes_riesgo_alto") - F.col("riesgo_alto_con_prevencion")
-    facts = series.filter(at_month).select(
+    facts = _with_streaks(with_history(series, ("tasa",)), ()).filter(F.col("periodo") == day(month)).select(
         "periodo", "tasa", "meta_tasa", status.alias("estado"), reached.alias("cumplimiento"),
         whole_percent(reached).alias("cumplimiento_pct"),
         "clientes_riesgo_alto", missing.alias("riesgo_alto_sin_prevencion"),
+        "n_meses", "sobre_meta", F.col("tasa_variacion").alias("variacion"),
     )
-    streak = target_streaks(series).filter(at_month)
-    change = compare_periods(series, ("tasa",)).filter(at_month).select("periodo", "variacion")
     red = sectors.filter(F.col("estado") == B.RED)
-    # Two sectors at most are named; the order is total, so the choice does not depend on the run.
-    worst = red.orderBy("cumplimiento", "sector").limit(2)
-    rank = F.row_number().over(Window.orderBy("cumplimiento", "sector"))
-    named = worst.withColumn("_n", rank).agg(
+    # One row per sector, worst first; ties by name, so the choice does not depend on the run.
+    worst = Window.orderBy("cumplimiento", "sector")
+    named = red.withColumn("_n", F.row_number().over(worst)).agg(
         day(month).alias("periodo"),
+        F.count(F.lit(1)).alias("sectores_rojos"),
         F.max(F.when(F.col("_n") == 1, F.col("sector"))).alias("sector_rojo_1"),
         F.max(F.when(F.col("_n") == 2, F.col("sector"))).alias("sector_rojo_2"),
     )
-    count = red.agg(day(month).alias("periodo"), F.count(F.lit(1)).alias("sectores_rojos"))
-    return (
-        facts.join(streak, "periodo").join(change, "periodo", "left")
-        .join(count, "periodo").join(named, "periodo")
-    )
+    return facts.join(named, "periodo")
 
 
 def write_monthly_gold(series: DataFrame, folder: str) -> None:

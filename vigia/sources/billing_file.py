@@ -11,6 +11,11 @@ from vigia.schemas import BILLING_COLUMNS
 
 # A quote inside a quoted field is doubled; a backslash is an ordinary character.
 DIALECT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
+# Written text keeps its outer blanks: people compare it with the file they sent.
+AS_RECEIVED = {
+    "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "",
+    **DIALECT,
+}
 
 
 class BillingFileError(ValueError):
@@ -61,7 +66,7 @@ def write_valid(valid: DataFrame, folder: str) -> None:
 
 def write_rejected(rejected: DataFrame, folder: str) -> None:
     """CSV with a header, for people to review and correct at the source."""
-    rejected.write.mode("overwrite").option("header", True).csv(f"{folder}/facturacion_rechazados")
+    rejected.write.mode("overwrite").options(**AS_RECEIVED).csv(f"{folder}/facturacion_rechazados")
 
 
 def write_rule_summary(summary: DataFrame, folder: str) -> None:

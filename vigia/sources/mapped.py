@@ -16,6 +16,18 @@ from vigia.sources.star import Star
 
 UNKNOWN_CLIENT = "CLI-999999"
 
+# Declared, so that opening a table reads no file.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": (
+        "l_orderkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+}
+
 
 def _client_id(customer_key: Column) -> Column:
     return F.format_string("CLI-%04d", customer_key + 1)
@@ -36,7 +48,7 @@ class MappedTables:
         self.folder = folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def clientes(self) -> DataFrame:
         nations = self.raw("nation").select("n_nationkey", "n_name")

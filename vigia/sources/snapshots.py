@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 SNAPSHOT_SCHEMA = (
@@ -18,6 +17,8 @@ CONTROL_SCHEMA = (
     "control STRING, descripcion STRING, severidad STRING, valor DOUBLE, esperado DOUBLE, "
     "resultado STRING, fecha_ejecucion TIMESTAMP, fecha_corte DATE"
 )
+STAGED, PUBLISHED, HISTORY = "preparado", "publicado", "historial_controles"
+TABLES = {STAGED: SNAPSHOT_SCHEMA, PUBLISHED: SNAPSHOT_SCHEMA, HISTORY: CONTROL_SCHEMA}
 
 
 @dataclass(frozen=True)
@@ -27,13 +28,16 @@ class SnapshotStore:
     spark: SparkSession
     folder: str
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], T.StructType.fromDDL(schema))
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> SnapshotStore:
+        """The store in ``folder``; its tables are created empty where they do not exist."""
+        for name, schema in TABLES.items():
+            empty = spark.createDataFrame([], T.StructType.fromDDL(schema))
+            empty.write.mode("append").partitionBy("fecha_corte").parquet(f"{folder}/{name}")
+        return cls(spark, folder)
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
 
     def _replace_days(self, frame: DataFrame, name: str) -> None:
         """Only the days present in ``frame`` are replaced, so a day can be run again."""
@@ -41,20 +45,20 @@ class SnapshotStore:
          .partitionBy("fecha_corte").parquet(f"{self.folder}/{name}"))
 
     def staged(self) -> DataFrame:
-        return self._read("preparado", SNAPSHOT_SCHEMA)
+        return self._read(STAGED)
 
     def published(self) -> DataFrame:
-        return self._read("publicado", SNAPSHOT_SCHEMA)
+        return self._read(PUBLISHED)
 
     def history(self) -> DataFrame:
-        return self._read("historial_controles", CONTROL_SCHEMA)
+        return self._read(HISTORY)
 
     def stage(self, snapshot: DataFrame) -> None:
-        self._replace_days(snapshot, "preparado")
+        self._replace_days(snapshot, STAGED)
 
     def publish(self, snapshot: DataFrame) -> None:
-        self._replace_days(snapshot, "publicado")
+        self._replace_days(snapshot, PUBLISHED)
 
     def append_history(self, controls: DataFrame) -> None:
         (controls.coalesce(1).write.mode("append").partitionBy("fecha_corte")
-         .parquet(f"{self.folder}/historial_controles"))
+         .parquet(f"{self.folder}/{HISTORY}"))
