@@ -287,11 +287,11 @@ def s04(spark, folder):
 # -- portfolio indicators ------------------------------------------------------
 
 
-def _history(spark, folder) -> Star:
+def _history(spark, folder):
     return MappedTables(spark, folder).star(HISTORY.start, HISTORY.end)
 
 
-def _star_sizes(star: Star) -> DataFrame:
+def _star_sizes(star) -> DataFrame:
     parts = [
         frame.agg(
             F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"),
@@ -361,11 +361,10 @@ def p26_sector(spark, folder):
     return portfolio.target_streaks(series, ["sector"])
 
 
-def _month_star(spark, folder) -> Star:
+def _month_star(spark, folder):
+    """One month of cases and billing, and all prevention up to its end."""
     t = MappedTables(spark, folder)
-    return Star(
-        t.clientes(), t.casos(S.MONTH, NEXT_MONTH), t.facturacion(S.MONTH, NEXT_MONTH),
-        t.prevencion(until=NEXT_MONTH))
+    return t.star(S.MONTH, NEXT_MONTH, all_prevention=True)
 
 
 def _summary(spark, folder, targets=B.Targets()):
@@ -384,7 +383,7 @@ def p28(spark, folder):
         .groupBy("estado", "accion").agg(F.count(F.lit(1)).alias("clientes")))
 
 
-def _year_star(spark, folder) -> Star:
+def _year_star(spark, folder):
     return MappedTables(spark, folder).star(YEAR.start, YEAR.end)
 
 

@@ -17,11 +17,11 @@ from vigia.calendar import MonthWindow, shift_months
 from vigia.functions.dates import day, from_until
 from vigia.functions.numbers import ratio, relative_change
 from vigia.functions.status import high_risk, traffic_light, whole_percent
-from vigia.functions.targets import expected_cases
+from vigia.functions.targets import class_target, expected_cases
 from vigia.operators.cardinality import one_per_key
-from vigia.operators.spine import entity_months, months
+from vigia.operators.spine import entity_months
 from vigia.operators.streaks import streaks
-from vigia.sources.star import Star
+from vigia.sources.star import Star, StarTables
 
 SERIES = (
     "periodo", "casos", "graves", "dias_ausencia", "costo", "trabajadores", "casos_meta", "tasa",
@@ -31,7 +31,7 @@ METRICS = ("casos", "graves", "dias_ausencia", "costo", "trabajadores", "tasa",
 
 
 def filter_portfolio(
-    star: Star,
+    star: StarTables,
     coordinator: str | None = None,
     sectors: Sequence[str] | None = None,
     classes: Sequence[int] | None = None,
@@ -50,15 +50,22 @@ def filter_portfolio(
     return star.with_clients(clients)
 
 
-def assigned_portfolio(star: Star, assignments: DataFrame, user: str) -> Star:
+def assigned_portfolio(star: StarTables, assignments: DataFrame, user: str) -> Star:
     """The star of the clients assigned to a user (``usuario``, ``id_cliente``)."""
     own = assignments.filter(F.col("usuario") == user).select("id_cliente")
     return star.with_clients(star.clientes.join(own, "id_cliente", "left_semi"))
 
 
-def _cases_by_month(star: Star, clients: DataFrame, by: list[str], window: MonthWindow) -> DataFrame:
+CASE_MEASURES = ("casos", "graves", "dias_ausencia", "costo")
+
+
+def _in_window(frame: DataFrame, window: MonthWindow) -> DataFrame:
+    return frame.filter(from_until(F.col("periodo"), window.start, window.month))
+
+
+def _cases_by_month(star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow) -> DataFrame:
     """Case measures per group and month; cases go to one row per client and month before any join."""
-    facts = star.casos.filter(from_until(F.col("periodo"), window.start, window.month))
+    facts = _in_window(star.casos, window)
     measures = [
         F.count("id_caso").alias("casos"),
         F.count_if(F.col("tipo") == B.SERIOUS).alias("graves"),
@@ -67,23 +74,19 @@ def _cases_by_month(star: Star, clients: DataFrame, by: list[str], window: Month
     ]
     if not by:
         return facts.groupBy("periodo").agg(*measures)
-    per_client = facts.groupBy("id_cliente", "periodo").agg(*measures)
-    if by == ["id_cliente"]:
-        return per_client
     return (
-        per_client.join(clients.select("id_cliente", *by), "id_cliente")
-        .groupBy(*by, "periodo")
-        .agg(*[F.sum(c).alias(c) for c in ("casos", "graves", "dias_ausencia", "costo")])
+        facts.groupBy("id_cliente", "periodo").agg(*measures)
+        .join(clients.select("id_cliente", *by), "id_cliente")
+        .groupBy(*by, "periodo").agg(*[F.sum(c).alias(c) for c in CASE_MEASURES])
     )
 
 
 def _workers_by_month(
-    star: Star, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
+    star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
 ) -> DataFrame:
-    billed = star.facturacion.filter(from_until(F.col("periodo"), window.start, window.month)).select(
-        "id_cliente", "periodo", "trabajadores_activos")
+    billed = _in_window(star.facturacion, window).select("id_cliente", "periodo", "trabajadores_activos")
     return (
-        billed.join(clients, "id_cliente")
+        billed.join(one_per_key(clients, "id_cliente"), "id_cliente")
         .groupBy(*by, "periodo")
         .agg(
             F.sum("trabajadores_activos").alias("trabajadores"),
@@ -92,8 +95,67 @@ def _workers_by_month(
     )
 
 
+def _group_months(
+    star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
+) -> DataFrame:
+    """Months of groups larger than a client: one aggregate per fact, joined at group and month."""
+    keys = [*by, "periodo"]
+    # Today's high-risk list is the denominator of every month.
+    exposed = clients.filter(high_risk(F.col("clase_riesgo")))
+    visited = (
+        _in_window(star.prevencion, window).select("id_cliente", "periodo").distinct()
+        .join(exposed.select("id_cliente", *by), "id_cliente", "inner" if by else "left_semi")
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("riesgo_alto_con_prevencion"))
+    )
+    counted = exposed.groupBy(*by).agg(F.count(F.lit(1)).alias("clientes_riesgo_alto"))
+    if by:
+        axis = entity_months(clients.select(*by).distinct(), window).join(counted, by, "left")
+    else:
+        # A count without groups is one row even when there is nothing to count.
+        axis = entity_months(counted, window)
+    return (
+        axis.join(_cases_by_month(star, clients, by, window), keys, "left")
+        .join(_workers_by_month(star, clients, by, window, targets), keys, "left")
+        .join(visited, keys, "left")
+    )
+
+
+def _client_months(
+    star: StarTables, clients: DataFrame, window: MonthWindow, targets: B.Targets
+) -> DataFrame:
+    """Months of every client with a single shuffle and no join.
+
+    The month axis and the three facts are stacked and summed by client and month.
+    Rows of clients outside the dimension have no axis row and drop out.
+    """
+    axis = entity_months(clients, window).withColumn("_eje", F.lit(1))
+    cases = _in_window(star.casos, window).select(
+        "id_cliente", "periodo", F.when(F.col("id_caso").isNotNull(), 1).alias("casos"),
+        F.when(F.col("tipo") == B.SERIOUS, 1).alias("graves"), "dias_ausencia", "costo")
+    billed = _in_window(star.facturacion, window).select(
+        "id_cliente", "periodo", F.col("trabajadores_activos").alias("trabajadores"))
+    visits = _in_window(star.prevencion, window).select("id_cliente", "periodo", F.lit(1).alias("_visitas"))
+    stacked = axis
+    for fact in (cases, billed, visits):
+        stacked = stacked.unionByName(fact, allowMissingColumns=True)
+    months_of_clients = stacked.groupBy("id_cliente", "periodo").agg(
+        F.sum("_eje").alias("_eje"), F.max("clase_riesgo").alias("clase_riesgo"),
+        *[F.sum(c).alias(c) for c in (*CASE_MEASURES, "trabajadores", "_visitas")])
+    repeated = F.raise_error(F.concat(F.lit("id_cliente repetido: "), "id_cliente")).cast("boolean")
+    known = F.when(F.col("_eje") > 1, repeated).otherwise(F.col("_eje") == 1)
+    exposed = high_risk(F.col("clase_riesgo"))
+    target = class_target(F.col("clase_riesgo"), targets)
+    return months_of_clients.filter(known).withColumns(
+        {
+            "casos_meta": (F.col("trabajadores").cast("decimal(20,0)") * target).cast("double") / F.lit(100.0),
+            "clientes_riesgo_alto": exposed.cast("bigint"),
+            "riesgo_alto_con_prevencion": (exposed & (F.col("_visitas") > 0)).cast("bigint"),
+        }
+    )
+
+
 def monthly_series(
-    star: Star,
+    star: StarTables,
     month: date,
     by: Sequence[str] = (),
     months_back: int = B.HISTORY_MONTHS,
@@ -106,43 +168,20 @@ def monthly_series(
     """
     by = list(by)
     window = MonthWindow(month, months_back)
-    columns = list(dict.fromkeys(["id_cliente", "clase_riesgo", *by]))
-    clients = one_per_key(star.clientes.select(*columns), "id_cliente")
-    axis = (
-        entity_months(clients.select(*by).distinct(), window)
-        if by else months(star.clientes.sparkSession, window)
-    )
-    keys = [*by, "periodo"]
-    cases = _cases_by_month(star, clients, by, window)
-    workers = _workers_by_month(star, clients, by, window, targets)
-
-    # Today's high-risk list is the denominator of every month.
-    exposed = clients.filter(high_risk(F.col("clase_riesgo")))
-    visited = (
-        star.prevencion.filter(from_until(F.col("periodo"), window.start, window.month))
-        .select("id_cliente", "periodo").distinct()
-        .join(exposed.select(*dict.fromkeys(["id_cliente", *by])), "id_cliente",
-              "inner" if by else "left_semi")
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("riesgo_alto_con_prevencion"))
-    )
-    counted = exposed.groupBy(*by).agg(F.count(F.lit(1)).alias("clientes_riesgo_alto"))
-    if by:
-        series = axis.join(counted, by, "left")
+    clients = star.clientes.select(*dict.fromkeys(["id_cliente", "clase_riesgo", *by]))
+    if by == ["id_cliente"]:
+        series = _client_months(star, clients, window, targets)
+    elif "id_cliente" in by:
+        raise ValueError("id_cliente already is the finest group: use it alone")
     else:
-        series = axis.join(
-            entity_months(counted, window), "periodo", "left")
-    series = (
-        series.join(cases, keys, "left").join(workers, keys, "left").join(visited, keys, "left")
-        .withColumns(
-            {
-                name: F.coalesce(name, F.lit(0))
-                for name in ("casos", "graves", "dias_ausencia", "costo",
-                             "clientes_riesgo_alto", "riesgo_alto_con_prevencion")
-            }
-        )
-    )
+        series = _group_months(star, clients, by, window, targets)
     people = F.col("trabajadores").cast("double")
     return series.withColumns(
+        {
+            name: F.coalesce(name, F.lit(0))
+            for name in (*CASE_MEASURES, "clientes_riesgo_alto", "riesgo_alto_con_prevencion")
+        }
+    ).withColumns(
         {
             "tasa": ratio(F.col("casos"), people) * 100,
             "meta_tasa": ratio(F.col("casos_meta"), people) * 100,
@@ -299,7 +338,7 @@ def read_monthly_gold(spark, folder: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-def filter_facets(star: Star, months_shown: int = 12) -> DataFrame:
+def filter_facets(star: StarTables, months_shown: int = 12) -> DataFrame:
     """Choices offered to a reader: latest billed months, sectors and coordinators."""
     billed = (
         star.facturacion.select("periodo").distinct().orderBy(F.desc_nulls_last("periodo")).limit(months_shown)

@@ -12,7 +12,7 @@ from vigia.functions.dates import day
 from vigia.plans.controls import blocking_failures, quality_controls
 from vigia.plans.snapshot import daily_snapshot
 from vigia.sources.snapshots import SnapshotStore
-from vigia.sources.star import Star
+from vigia.sources.star import StarTables
 
 
 @dataclass(frozen=True)
@@ -22,13 +22,13 @@ class PublishResult:
     failed: list[str]
 
 
-def write_audit_publish(star: Star, cutoff: DailyCutoff, store: SnapshotStore) -> PublishResult:
+def write_audit_publish(star: StarTables, cutoff: DailyCutoff, store: SnapshotStore) -> PublishResult:
     """Stage the day, run the controls on what was staged, publish it or keep the last good day."""
     store.stage(daily_snapshot(star.clientes, star.casos, star.facturacion, star.prevencion, cutoff))
     return audit_and_publish(star, cutoff, store)
 
 
-def audit_and_publish(star: Star, cutoff: DailyCutoff, store: SnapshotStore) -> PublishResult:
+def audit_and_publish(star: StarTables, cutoff: DailyCutoff, store: SnapshotStore) -> PublishResult:
     """The audit and the gate for a day that is already staged."""
     staged = store.staged()
     # Twelve rows that three readers share; they must not be computed again with other times.

@@ -14,11 +14,11 @@ from vigia.functions.numbers import ratio
 from vigia.functions.status import high_risk, traffic_light
 from vigia.functions.targets import expected_cases
 from vigia.operators.cardinality import one_per_key
-from vigia.sources.star import Star
+from vigia.sources.star import StarTables
 
 
 def rate_vs_target(
-    star: Star,
+    star: StarTables,
     first: date,
     last: date,
     by: Sequence[str],
@@ -66,14 +66,14 @@ def rate_vs_target(
         status.alias("estado"), reached.alias("cumplimiento"))
 
 
-def sector_rate(star: Star, month: date, targets: B.Targets = B.Targets()) -> DataFrame:
+def sector_rate(star: StarTables, month: date, targets: B.Targets = B.Targets()) -> DataFrame:
     """Sectors of a month from the best to the worst compliance, unknown ones last."""
     return rate_vs_target(star, month, month, ["sector"], targets).orderBy(
         F.desc_nulls_last("cumplimiento"), "sector")
 
 
 def sector_month(
-    star: Star, month: date, months: int = 12, targets: B.Targets = B.Targets()
+    star: StarTables, month: date, months: int = 12, targets: B.Targets = B.Targets()
 ) -> DataFrame:
     """Sector × month, to tell a lasting problem from a single bad month."""
     return rate_vs_target(star, MonthWindow(month, months).start, month, ["sector", "periodo"], targets)
@@ -103,7 +103,7 @@ def persistent_red(by_month: DataFrame, month: date, months: int = 3) -> DataFra
     )
 
 
-def case_distribution(star: Star, month: date) -> DataFrame:
+def case_distribution(star: StarTables, month: date) -> DataFrame:
     """Cases of the month by risk class and type; the five classes are always there."""
     per_client = (
         star.casos.filter(F.col("periodo") == day(month))

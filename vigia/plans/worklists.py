@@ -15,7 +15,7 @@ from vigia.functions.status import (
 from vigia.functions.targets import class_target
 from vigia.operators.cardinality import one_per_key
 from vigia.operators.spine import entity_months
-from vigia.sources.star import Star
+from vigia.sources.star import StarTables
 
 SUMMARY = (
     "id_cliente", "nombre", "sector", "clase_riesgo", "coordinador", "casos", "graves", "costo",
@@ -23,7 +23,7 @@ SUMMARY = (
 )
 
 
-def client_month_summary(star: Star, month: date, targets: B.Targets = B.Targets()) -> DataFrame:
+def client_month_summary(star: StarTables, month: date, targets: B.Targets = B.Targets()) -> DataFrame:
     """One row per client with the figures of the month, its traffic light and a suggested action.
 
     A client that appears twice, or is billed twice in the month, fails the job.
@@ -80,7 +80,7 @@ def worklist(summary: DataFrame, only_high_risk_unvisited: bool = False) -> Data
     return summary.orderBy(status_rank(F.col("estado")), F.desc("casos"), "id_cliente")
 
 
-def client_month_cases(star: Star, month: date) -> DataFrame:
+def client_month_cases(star: StarTables, month: date) -> DataFrame:
     """Cases of the month, by client and date, with cost in millions."""
     return (
         star.casos.filter(F.col("periodo") == day(month))
@@ -93,7 +93,7 @@ def client_month_cases(star: Star, month: date) -> DataFrame:
     )
 
 
-def last_preventions(star: Star, month: date, k: int = 5) -> DataFrame:
+def last_preventions(star: StarTables, month: date, k: int = 5) -> DataFrame:
     """Latest ``k`` activities of every client up to the end of the month.
 
     The rank filter is applied before the shuffle too (at most ``k`` rows per client
@@ -109,7 +109,7 @@ def last_preventions(star: Star, month: date, k: int = 5) -> DataFrame:
     )
 
 
-def months_without_prevention(star: Star, month: date, months: int = 12) -> DataFrame:
+def months_without_prevention(star: StarTables, month: date, months: int = 12) -> DataFrame:
     """Client and month pairs of the last months with no activity."""
     window = MonthWindow(month, months)
     visited = (

@@ -7,12 +7,13 @@ starts; they bound the raw date column, where the file scan can use them.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigia.functions.dates import day, month_of
 from vigia.schemas import MONEY
-from vigia.sources.star import Star
+from vigia.sources.star import StarTables
 
 UNKNOWN_CLIENT = "CLI-999999"
 
@@ -112,13 +113,11 @@ class MappedTables:
             )
         )
 
-    def star(self, since: date | None = None, until: date | None = None) -> Star:
-        return Star(
-            clientes=self.clientes(),
-            casos=self.casos(since, until),
-            facturacion=self.facturacion(since, until),
-            prevencion=self.prevencion(since, until),
-        )
+    def star(
+        self, since: date | None = None, until: date | None = None, all_prevention: bool = False
+    ) -> MappedStar:
+        """Facts of a date range; ``all_prevention`` takes prevention from its beginning."""
+        return MappedStar(self, since, until, None if all_prevention else since)
 
     def defective_casos(self, cutoff: date) -> DataFrame:
         """Cases with seeded defects, by the case number modulo small primes."""
@@ -211,3 +210,29 @@ class MappedTables:
             text_id.alias("id_cliente"), text_period.alias("periodo"),
             text_workers.alias("trabajadores_activos"), text_value.alias("valor_contrato"),
         )
+
+
+class MappedStar(StarTables):
+    """The four views over one date range, each built when a job first asks for it."""
+
+    def __init__(
+        self, source: MappedTables, since: date | None, until: date | None, prevention_since: date | None
+    ):
+        self._source, self._range = source, (since, until)
+        self._prevention_range = (prevention_since, until)
+
+    @cached_property
+    def clientes(self) -> DataFrame:
+        return self._source.clientes()
+
+    @cached_property
+    def casos(self) -> DataFrame:
+        return self._source.casos(*self._range)
+
+    @cached_property
+    def facturacion(self) -> DataFrame:
+        return self._source.facturacion(*self._range)
+
+    @cached_property
+    def prevencion(self) -> DataFrame:
+        return self._source.prevencion(*self._prevention_range)

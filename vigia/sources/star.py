@@ -10,8 +10,9 @@ from vigia import schemas
 from vigia.business import RATE_TARGET_BY_CLASS, Targets
 
 
-@dataclass(frozen=True)
-class Star:
+class StarTables:
+    """What the jobs use: the four tables as attributes."""
+
     clientes: DataFrame
     casos: DataFrame
     facturacion: DataFrame
@@ -28,12 +29,19 @@ class Star:
     def with_clients(self, clientes: DataFrame) -> Star:
         """Restrict the dimension and, with it, every fact."""
         ids = clientes.select("id_cliente")
-        kept = {
-            name: frame.join(ids, "id_cliente", "left_semi")
-            for name, frame in self.tables().items()
-            if name != "clientes"
-        }
-        return replace(self, clientes=clientes, **kept)
+
+        def kept(fact: DataFrame) -> DataFrame:
+            return fact.join(ids, "id_cliente", "left_semi")
+
+        return Star(clientes, kept(self.casos), kept(self.facturacion), kept(self.prevencion))
+
+
+@dataclass(frozen=True)
+class Star(StarTables):
+    clientes: DataFrame
+    casos: DataFrame
+    facturacion: DataFrame
+    prevencion: DataFrame
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
@@ -46,7 +54,7 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     )
 
 
-def write_star(star: Star, folder: str) -> None:
+def write_star(star: StarTables, folder: str) -> None:
     """Store the four tables; facts are laid out by month, the column every job filters on."""
     star.clientes.write.mode("overwrite").parquet(f"{folder}/clientes")
     for name in ("casos", "facturacion", "prevencion"):
