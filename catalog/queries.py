@@ -15,6 +15,7 @@ from catalog import settings as S
 from vigia import business as B
 from vigia.calendar import DailyCutoff, MonthWindow, month_end, month_start, shift_months
 from vigia.durable import durable, scratch_path
+from vigia.functions.status import traffic_light
 from vigia.operators.cardinality import key_summary
 from vigia.plans import (
     billing_quality as bq, client_risk, controls, portfolio, priority, publish, segments, snapshot,
@@ -24,6 +25,7 @@ from vigia.sources.billing_file import AS_RECEIVED, read_billing_file
 from vigia.sources.mapped import MappedTables
 from vigia.sources.snapshots import SnapshotStore
 from vigia.sources.star import Star
+from vigia.streaming.billing_arrivals import validate_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -279,6 +281,22 @@ def p20(spark, folder):
     return _flat_report(result.report)
 
 
+@query("t01_billing_arrivals")
+def t01(spark, folder):
+    """The billing text arriving as two files, each validated by the stream; failures per rule over both."""
+    incoming, output = scratch_path(spark, "entrada"), scratch_path(spark, "llegadas")
+    # All lines of a client stay in one file and in order, so uniqueness per file is uniqueness overall.
+    client = F.floor(F.col("fila_origen") / 1000)
+    (_raw(spark, folder).repartition(2, client).sortWithinPartitions("fila_origen").drop("fila_origen")
+     .write.options(**AS_RECEIVED).csv(incoming))
+    stream = validate_arrivals(spark, incoming, output, scratch_path(spark, "estado"), S.LOAD_DATE)
+    stream.awaitTermination()
+    summaries = spark.read.schema(
+        "regla STRING, dimension STRING, descripcion STRING, filas BIGINT"
+    ).option("header", True).csv(f"{output}/*/resumen_reglas")
+    return summaries.groupBy("regla", "dimension", "descripcion").agg(F.sum("filas").alias("filas"))
+
+
 @query("s04_source_row")
 def s04(spark, folder):
     return read_billing_file(spark, _billing_csv(spark, folder))
@@ -315,6 +333,21 @@ def p47(spark, folder):
     return _star_sizes(portfolio.assigned_portfolio(star, assignments, S.USER))
 
 
+@query("p22_traffic_light")
+def p22(spark, folder):
+    """Status and compliance of the three indicators, in both directions, per sector and month."""
+    series = portfolio.monthly_series(_history(spark, folder), S.MONTH, ["sector"], targets=S.NEAR_TARGETS)
+    rate, cost = (
+        traffic_light(F.col(a).cast("double"), F.col(b).cast("double"))
+        for a, b in (("tasa", "meta_tasa"), ("costo", "presupuesto")))
+    coverage = traffic_light(F.col("cobertura"), F.lit(S.NEAR_TARGETS.coverage), lower_is_better=False)
+    return series.select(
+        "sector", "periodo",
+        rate[0].alias("estado_tasa"), rate[1].alias("cumplimiento_tasa"),
+        cost[0].alias("estado_costo"), cost[1].alias("cumplimiento_costo"),
+        coverage[0].alias("estado_cobertura"), coverage[1].alias("cumplimiento_cobertura"))
+
+
 @query("p23_monthly_series")
 def p23(spark, folder):
     return portfolio.monthly_series(_history(spark, folder), S.MONTH)

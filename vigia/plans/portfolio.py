@@ -325,7 +325,10 @@ def key_message_facts(
         F.max(F.when(F.col("_n") == 1, F.col("sector"))).alias("sector_rojo_1"),
         F.max(F.when(F.col("_n") == 2, F.col("sector"))).alias("sector_rojo_2"),
     )
-    return facts.join(named, "periodo")
+    # Two one-row results side by side: stacked and collapsed, which needs no join.
+    stacked = facts.unionByName(named, allowMissingColumns=True)
+    others = [c for c in stacked.columns if c != "periodo"]
+    return stacked.groupBy("periodo").agg(*[F.max(c).alias(c) for c in others])
 
 
 def write_monthly_gold(series: DataFrame, folder: str) -> None:

@@ -27,16 +27,15 @@ def rate_vs_target(
     """Workers, expected and real cases, rate, target and status per group over months ``first`` to ``last``.
 
     ``by`` mixes client columns and ``periodo``. Groups are those with billing: cases
-    of a group without any are not shown.
+    of a group without any are not shown. A repeated client fails the job.
     """
     by = list(by)
     own = [c for c in by if c != "periodo"]
-    clients = one_per_key(
-        star.clientes.select(*dict.fromkeys(["id_cliente", "clase_riesgo", *own])), "id_cliente")
+    clients = star.clientes.select(*dict.fromkeys(["id_cliente", "clase_riesgo", *own]))
     months = from_until(F.col("periodo"), first, last)
     billed = (
         star.facturacion.filter(months).select("id_cliente", "periodo", "trabajadores_activos")
-        .join(clients, "id_cliente")
+        .join(one_per_key(clients, "id_cliente"), "id_cliente")
         .groupBy(*by)
         .agg(
             F.sum("trabajadores_activos").alias("trabajadores"),

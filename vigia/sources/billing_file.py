@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -73,6 +75,15 @@ def write_rule_summary(summary: DataFrame, folder: str) -> None:
     summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/resumen_reglas")
 
 
-def append_report(report: DataFrame, folder: str) -> None:
-    """Reports accumulate by load date, one nested JSON document per load."""
-    report.write.mode("append").partitionBy("fecha_carga").json(f"{folder}/reporte_calidad")
+def write_report(report: DataFrame, folder: str) -> None:
+    """Reports accumulate by load date and file, one nested JSON document per load."""
+    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("fecha_carga", "archivo").json(f"{folder}/reporte_calidad"))
+
+
+def write_unreadable(spark: SparkSession, name: str, load_date: date, problem: str, folder: str) -> None:
+    """Record a file that could not be validated at all."""
+    row = spark.range(1).select(
+        F.lit(load_date).alias("fecha_carga"), F.lit(name).alias("archivo"), F.lit(problem).alias("error"))
+    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("fecha_carga", "archivo").json(f"{folder}/cargas_con_error"))
