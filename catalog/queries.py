@@ -283,11 +283,11 @@ def p20(spark, folder):
 
 @query("t01_billing_arrivals")
 def t01(spark, folder):
-    """The billing text arriving as two files, each validated by the stream; failures per rule over both."""
+    """The billing text arriving as files, each validated by the stream; failures per rule over all."""
     incoming, output = scratch_path(spark, "entrada"), scratch_path(spark, "llegadas")
     # All lines of a client stay in one file and in order, so uniqueness per file is uniqueness overall.
     client = F.floor(F.col("fila_origen") / 1000)
-    (_raw(spark, folder).repartition(2, client).sortWithinPartitions("fila_origen").drop("fila_origen")
+    (_raw(spark, folder).repartition(client).sortWithinPartitions("fila_origen").drop("fila_origen")
      .write.options(**AS_RECEIVED).csv(incoming))
     stream = validate_arrivals(spark, incoming, output, scratch_path(spark, "estado"), S.LOAD_DATE)
     stream.awaitTermination()
@@ -532,7 +532,7 @@ def p45(spark, folder):
 def p46(spark, folder):
     series = portfolio.monthly_series(_history(spark, folder), S.MONTH, ["id_cliente"])
     path = scratch_path(spark, "oro-mensual")
-    portfolio.write_monthly_gold(series, path)
+    portfolio.write_monthly_gold(series, path, ["id_cliente"])
     return portfolio.read_monthly_gold(spark, path, series.schema).select(*series.columns)
 
 

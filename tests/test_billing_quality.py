@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from vigia.business import BillingLimits
+from vigia.operators.lookup import LookupLimits
 from vigia.plans import billing_quality as bq
 from vigia.sources.billing_file import BillingFileError, read_billing_file
 from vigia.streaming.billing_arrivals import validate_arrivals
@@ -91,11 +92,31 @@ def test_limits_and_infinite_numbers(spark):
         3: "VAL_04; VAL_06", 4: "VAL_03; VAL_06", 5: "VAL_04; VAL_06"}
 
 
-def test_one_key_with_a_third_of_the_file(spark):
-    rows = [("1", "2026-09", "10", "5")] * 400 + [(str(n), "2026-09", "10", "5") for n in range(2, 802)]
-    judged = judge(spark, rows)
-    assert bq.split_valid(judged, LOAD).count() == 801
-    assert {r.regla: r.filas for r in bq.rejections_by_rule(judged).collect() if r.filas} == {"UNI_01": 399}
+@pytest.mark.parametrize(
+    "spread", [LookupLimits(), LookupLimits(broadcast_rows=0), LookupLimits(broadcast_rows=0, hot_keys=4)],
+    ids=["broadcast", "shuffled", "hot keys broadcast"])
+def test_one_key_with_a_third_of_the_file(spark, spread):
+    """The same judgement through every branch; the hot key never meets the others in a shuffle."""
+    raw = spark.range(0, 3000, 1, 4).selectExpr(
+        "id AS fila_origen",
+        "CASE WHEN id % 3 = 0 THEN '1' WHEN id % 7 = 0 THEN '' ELSE CAST(2 + id DIV 4 AS STRING) END AS id_cliente",
+        "'2026-09' AS periodo", "IF(id % 5 = 1, '9', '10') AS trabajadores_activos", "'5' AS valor_contrato")
+    judged = bq.apply_rules(bq.normalize_billing(raw), LOAD, spread=spread)
+    groups: dict[str, list[tuple[int, str]]] = {}
+    for r in raw.collect():
+        groups.setdefault(r.id_cliente, []).append((r.fila_origen, r.trabajadores_activos))
+    expected = {}
+    for client, lines in groups.items():
+        versions = {w for _, w in lines}
+        for n, (line, _) in enumerate(sorted(lines)):
+            expected[line] = (client != "" and len(versions) == 1 and n > 0, client != "" and len(versions) > 1)
+    assert {r.fila_origen: (r.UNI_01, r.UNI_02) for r in judged.collect()} == expected
+    assert sum(u2 for _, u2 in expected.values()) > 1000 and sum(u1 for u1, _ in expected.values()) > 50
+
+
+def test_few_repeated_keys_need_no_shuffle_of_the_rows(spark):
+    judged = judge(spark, [("1", "2026-09", "10", "5")] * 3)
+    assert "Exchange hashpartitioning" not in judged._jdf.queryExecution().executedPlan().toString()
 
 
 def test_report_adds_up(spark):

@@ -248,7 +248,7 @@ def test_tables_and_targets_from_storage(spark, star, tmp_path):
     assert row["CLI-0001"].estado == "verde" and row["CLI-0002"].estado == "sin dato"
     gold = str(tmp_path / "oro")
     series = portfolio.monthly_series(stored, MONTH, ["id_cliente"])
-    portfolio.write_monthly_gold(series, gold)
+    portfolio.write_monthly_gold(series, gold, ["id_cliente"])
     read = portfolio.read_monthly_gold(spark, gold, series.schema)
     assert sorted(map(str, read.select(*series.columns).collect())) == sorted(map(str, series.collect()))
 

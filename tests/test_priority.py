@@ -4,6 +4,7 @@ from datetime import date
 
 from vigia.business import PriorityWeights
 from vigia.calendar import DailyCutoff
+from vigia.operators.lookup import LookupLimits
 from vigia.operators.ranking import RankLimits
 from vigia.plans import priority
 
@@ -70,7 +71,7 @@ def test_top_is_the_same_through_the_distributed_ranks(spark):
     args = tables(spark, clients, [], cases, [(f"CLI-{n:04d}", date(2026, 1 + n % 9, 3)) for n in range(1, 50)])
     small = priority.visit_priorities(*args, CUT).collect()
     large = priority.visit_priorities(
-        *args, CUT, limits=RankLimits(window_rows=0, broadcast_values=0, hot_values=4)).collect()
+        *args, CUT, limits=RankLimits(0, LookupLimits(broadcast_rows=0, hot_keys=4))).collect()
     assert small == large and [r.prioridad for r in small] == list(range(1, 16))
     heavier = priority.visit_priorities(*args, CUT, n=3, weights=PriorityWeights(incidence=0, severity=0, trend=0, risk=1, prevention=0))
     assert {r.clase_riesgo for r in heavier.collect()} == {5}

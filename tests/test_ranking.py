@@ -7,13 +7,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
+from vigia.operators.lookup import LookupLimits
 from vigia.operators.ranking import RankLimits, dense_rank_desc, percent_ranks
 
 BRANCHES = {
     "window": RankLimits(),
     "broadcast": RankLimits(window_rows=0),
-    "shuffled": RankLimits(window_rows=0, broadcast_values=0),
-    "shuffled, values over 1/3 are hot": RankLimits(window_rows=0, broadcast_values=0, hot_values=3),
+    "shuffled": RankLimits(0, LookupLimits(broadcast_rows=0)),
+    "shuffled, values over a quarter are hot": RankLimits(0, LookupLimits(broadcast_rows=0, hot_keys=4)),
 }
 
 
@@ -64,10 +65,3 @@ def test_few_rows(spark, limits):
     none = one.filter("v < 0")
     assert percent_ranks(none, {"v": "p"}, limits).count() == 0
     assert dense_rank_desc(none, "grupo", "v", "r", limits).count() == 0
-
-
-def test_no_task_receives_all_rows(spark, rows):
-    """Beyond the limit no exchange of the plan goes to a single partition."""
-    got = percent_ranks(rows, {"a": "pa"}, RankLimits(window_rows=0, broadcast_values=0))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan

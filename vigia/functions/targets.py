@@ -22,4 +22,4 @@ def class_target(risk_class: Column, targets: Targets) -> Column:
 
 def expected_cases(workers: Column, risk_class: Column, targets: Targets) -> Column:
     """Aggregate: cases the target allows for the workers of a group, Σ workers × target / 100."""
-    return F.sum(workers.cast("decimal(10,0)") * class_target(risk_class, targets)).cast("double") / F.lit(100.0)
+    return F.sum(workers.cast("decimal(20,0)") * class_target(risk_class, targets)).cast("double") / F.lit(100.0)

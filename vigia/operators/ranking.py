@@ -10,10 +10,7 @@ is the cheapest plan and the built-in functions are used. Beyond it:
    the sampled range bounds whatever happens to an executor.
 3. What lies before a value = the totals of the earlier ranges + the smaller
    values of its own range. The totals are one small row per range.
-4. Ranks return to the rows by a broadcast join when the histogram is small.
-   Otherwise only values holding more than 1/HOT_VALUES of the rows are broadcast
-   (fewer than HOT_VALUES can exist); the others, none of them popular, go
-   through a shuffled join.
+4. Ranks return to the rows by a lookup that broadcasts small tables and popular values.
 """
 
 from __future__ import annotations
@@ -24,13 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from vigia.durable import durable
+from vigia.operators.lookup import LookupLimits, lookup
 
 
 @dataclass(frozen=True)
 class RankLimits:
     window_rows: int = 1_000_000
-    broadcast_values: int = 200_000
-    hot_values: int = 10_000
+    lookup: LookupLimits = LookupLimits()
 
 
 DEFAULT_LIMITS = RankLimits()
@@ -70,22 +67,6 @@ def _before_each_value(histogram: DataFrame, order: Column) -> DataFrame:
     )
 
 
-def _give_back(
-    rows: DataFrame, ranks: DataFrame, on: list[str], values: int, count: int, limits: RankLimits
-) -> DataFrame:
-    """Left join of a per-value table to the rows, safe for popular values."""
-    lookup = ranks.drop("_filas")
-    if values <= limits.broadcast_values:
-        return rows.join(F.broadcast(lookup), on, "left")
-    popular = F.col("_filas") * limits.hot_values > count
-    hot = F.broadcast(ranks.filter(popular).drop("_filas"))
-    cold = ranks.filter(~popular).drop("_filas")
-    return durable(
-        rows.join(hot, on, "inner").unionByName(
-            rows.join(hot.select(*on), on, "left_anti").join(cold, on, "left"))
-    )
-
-
 def percent_ranks(
     frame: DataFrame, columns: Mapping[str, str], limits: RankLimits = DEFAULT_LIMITS
 ) -> DataFrame:
@@ -119,14 +100,13 @@ def percent_ranks(
             .alias("_pct"),
         )
     )
-    sizes = {r["_grupo"]: r["n"] for r in ranks.groupBy("_grupo").agg(F.count(F.lit(1)).alias("n")).collect()}
     for source, output in columns.items():
         own = ranks.filter((F.col("_grupo") == source) & F.col("_valor").isNotNull()).drop("_grupo")
-        joined = _give_back(
-            rows.withColumn("_valor", F.col(source).cast("double")),
-            own, ["_valor"], sizes.get(source, 0), count, limits)
+        keyed = rows.withColumn("_valor", F.col(source).cast("double"))
         # NULL has no match: it is the lowest value, rank 0.
-        rows = joined.withColumn(output, F.coalesce("_pct", F.lit(0.0))).drop("_valor", "_pct")
+        rows = durable(
+            lookup(keyed, own, ["_valor"], "_filas", limits.lookup)
+            .withColumn(output, F.coalesce("_pct", F.lit(0.0))).drop("_valor", "_pct"))
     return rows
 
 
@@ -149,7 +129,7 @@ def dense_rank_desc(
     known = ranks.filter(F.col("_valor").isNotNull())
     # NULL values rank after every known one of their group: one row per group.
     last = ranks.filter(F.col("_valor").isNull()).select("_grupo", F.col("_rango").alias("_ultimo"))
-    joined = _give_back(keyed, known, ["_grupo", "_valor"], known.count(), count, limits)
+    joined = lookup(keyed, known, ["_grupo", "_valor"], "_filas", limits.lookup)
     return (
         joined.join(F.broadcast(last), "_grupo", "left")
         .withColumn(output, F.when(F.col("_valor").isNull(), F.col("_ultimo")).otherwise(F.col("_rango")))

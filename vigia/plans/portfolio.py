@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from vigia import business as B
 from vigia.calendar import MonthWindow, shift_months
@@ -84,13 +84,15 @@ def _cases_by_month(star: StarTables, clients: DataFrame, by: list[str], window:
 def _workers_by_month(
     star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
 ) -> DataFrame:
-    billed = _in_window(star.facturacion, window).select("id_cliente", "periodo", "trabajadores_activos")
+    # One row per client and month whatever the table holds: no client can crowd the join.
+    billed = _in_window(star.facturacion, window).groupBy("id_cliente", "periodo").agg(
+        F.sum("trabajadores_activos").alias("_n"))
     return (
         billed.join(one_per_key(clients, "id_cliente"), "id_cliente")
         .groupBy(*by, "periodo")
         .agg(
-            F.sum("trabajadores_activos").alias("trabajadores"),
-            expected_cases(F.col("trabajadores_activos"), F.col("clase_riesgo"), targets).alias("casos_meta"),
+            F.sum("_n").alias("trabajadores"),
+            expected_cases(F.col("_n"), F.col("clase_riesgo"), targets).alias("casos_meta"),
         )
     )
 
@@ -331,13 +333,18 @@ def key_message_facts(
     return stacked.groupBy("periodo").agg(*[F.max(c).alias(c) for c in others])
 
 
-def write_monthly_gold(series: DataFrame, folder: str) -> None:
-    """Store a series for readers, one folder per month."""
-    (series.repartition("periodo").write.mode("overwrite")
-     .partitionBy("periodo").parquet(folder))
+def write_monthly_gold(series: DataFrame, folder: str, by: Sequence[str]) -> None:
+    """Store a series for readers, one folder per month, rows of a group close together.
+
+    A range over month and group lets a month span as many tasks as its size needs,
+    and sorted files let a reader of one client skip most of them.
+    """
+    order = ["periodo", *by]
+    (series.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").partitionBy("periodo").parquet(folder))
 
 
-def read_monthly_gold(spark, folder: str, schema) -> DataFrame:
+def read_monthly_gold(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 

@@ -33,16 +33,17 @@ def rate_vs_target(
     own = [c for c in by if c != "periodo"]
     clients = star.clientes.select(*dict.fromkeys(["id_cliente", "clase_riesgo", *own]))
     months = from_until(F.col("periodo"), first, last)
+    # Both facts shrink to the client (and month, if asked for) before they meet the clients.
+    per_client = ["id_cliente", "periodo"] if "periodo" in by else ["id_cliente"]
     billed = (
-        star.facturacion.filter(months).select("id_cliente", "periodo", "trabajadores_activos")
+        star.facturacion.filter(months).groupBy(*per_client).agg(F.sum("trabajadores_activos").alias("_n"))
         .join(one_per_key(clients, "id_cliente"), "id_cliente")
         .groupBy(*by)
         .agg(
-            F.sum("trabajadores_activos").alias("trabajadores"),
-            expected_cases(F.col("trabajadores_activos"), F.col("clase_riesgo"), targets).alias("casos_meta"),
+            F.sum("_n").alias("trabajadores"),
+            expected_cases(F.col("_n"), F.col("clase_riesgo"), targets).alias("casos_meta"),
         )
     )
-    per_client = ["id_cliente", "periodo"] if "periodo" in by else ["id_cliente"]
     happened = (
         star.casos.filter(months).groupBy(*per_client).agg(F.count(F.lit(1)).alias("_n"))
         .join(clients.select(*dict.fromkeys(["id_cliente", *own])), "id_cliente")

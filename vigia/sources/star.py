@@ -54,12 +54,20 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     )
 
 
+# Columns after the month that spread a fact over tasks; the last ones split a very large client.
+_LAYOUT = {
+    "casos": ("id_cliente", "id_caso"),
+    "facturacion": ("id_cliente",),
+    "prevencion": ("id_cliente", "fecha", "participantes"),
+}
+
+
 def write_star(star: StarTables, folder: str) -> None:
     """Store the four tables; facts are laid out by month, the column every job filters on."""
     star.clientes.write.mode("overwrite").parquet(f"{folder}/clientes")
-    for name in ("casos", "facturacion", "prevencion"):
-        (star.tables()[name]
-         .repartition("periodo")
+    for name, columns in _LAYOUT.items():
+        order = ["periodo", *columns]
+        (star.tables()[name].repartitionByRange(*order).sortWithinPartitions(*order)
          .write.mode("overwrite").partitionBy("periodo").parquet(f"{folder}/{name}"))
 
 
