@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalog import settings as S
 from vigia import business as B
-from vigia.calendar import DailyCutoff, MonthWindow, month_end, month_start, shift_months
+from vigia.calendar import DailyCutoff, MonthWindow, month_start, shift_months
 from vigia.durable import durable, scratch_path
 from vigia.functions.status import traffic_light
 from vigia.operators.cardinality import key_summary

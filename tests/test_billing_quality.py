@@ -137,7 +137,7 @@ def test_report_adds_up(spark):
 def test_file_reading(spark, tmp_path):
     path = tmp_path / "facturacion.csv"
     path.write_text(
-        ' ID_Cliente ,Periodo,otra,trabajadores_activos,VALOR_CONTRATO\n'
+        '\ufeff ID_Cliente ,Periodo,otra,trabajadores_activos,VALOR_CONTRATO\n'
         '"CLI-0001",2026-09-01,a,10,"1 ""x"", 2"\n'
         '\n'
         ' cli-2 ,,b,"",\\5\n', encoding="utf-8")

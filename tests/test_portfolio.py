@@ -11,6 +11,7 @@ from vigia.business import Targets
 from vigia.calendar import shift_months
 from vigia.functions.status import suggested_action, traffic_light, whole_percent
 from vigia.functions import status as st
+from vigia.operators.cardinality import key_summary, repeated_keys
 from vigia.operators.fanout import join_fanout
 from vigia.operators.streaks import streaks
 from vigia.plans import portfolio, segments, worklists
@@ -110,6 +111,14 @@ def test_repeated_client_fails_the_job(spark):
             job().collect()
 
 
+def test_repeated_keys_are_reported(spark):
+    billing = build(spark, billing=BILLING + BILLING[:1] * 2 + [(None, MONTH, 1)]).facturacion
+    keys = ["id_cliente", "periodo"]
+    assert [(r.id_cliente, r.filas) for r in repeated_keys(billing, keys).collect()] == [("CLI-0001", 3)]
+    row = key_summary(billing, "facturacion", keys).head()
+    assert (row.filas, row.llaves, row.llaves_repetidas, row.filas_sin_llave) == (9, 7, 1, 1)
+
+
 def test_filters_cascade(star):
     mine = portfolio.filter_portfolio(star, "Ana", ["Minería", "Salud"], [1, 2, 5])
     assert [r.id_cliente for r in mine.clientes.collect()] == ["CLI-0001"]

@@ -18,11 +18,3 @@ def per_hundred(top: Column, bottom: Column) -> Column:
 def relative_change(now: Column, before: Column) -> Column:
     """Undefined when there is nothing before or it is 0."""
     return ratio(now - before, before)
-
-
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
-def or_zero(column: Column) -> Column:
-    return F.coalesce(column, F.lit(0))

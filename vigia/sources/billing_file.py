@@ -44,7 +44,7 @@ def read_billing_file(spark: SparkSession, path: str) -> DataFrame:
     the header being line 1; the part files of one load count as one file.
     """
     names = _header(spark, path)
-    clean = [name.strip().lower() for name in names]
+    clean = [name.removeprefix("\ufeff").strip().lower() for name in names]
     missing = [name for name in BILLING_COLUMNS if name not in clean]
     if missing:
         raise BillingFileError(f"Faltan columnas obligatorias: {missing}")
