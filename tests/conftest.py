@@ -22,10 +22,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="vigia-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vigia-tests-"))
     yield session
     session.stop()

@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 from compare import difference, oracle_connection
 
 FOLDER = os.environ.get("VIGIA_SF_DIR", "/root/testdata/sf0.001")
@@ -17,7 +19,7 @@ def oracle():
     return oracle_connection(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, oracle, name):
     frame = entry.queries()[name](spark, FOLDER)
     statements = entry.oracle_sql()
@@ -28,8 +30,8 @@ def test_query(spark, oracle, name):
 
 
 def test_only_effects_go_without_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"p11_control_history"}
-    assert not set(entry.oracle_sql()) - set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"p11_control_history"}
+    assert not set(ORACLES) - set(QUERIES)
 
 
 def test_entry(spark):

@@ -7,7 +7,6 @@ that a lost executor costs a re-read and never a different answer.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +17,13 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can read, as the session names it.
 
-    Only a local session may go without the setting: it gets a fresh folder.
+    Without the setting it is a folder beside the session's warehouse, on the same file system.
     """
     folder = spark.conf.get(SETTING, None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="vigia-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
