@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigia.durable import scratch_path
-from vigia.llm import line_bloom, pack_dp, token_orc
+from vigia.llm import lang_ecoc, line_bloom, line_crf, pack_dp, token_orc, toxic_mil
+from vigia.llm.textkit import crc_of_id
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +21,19 @@ def op1_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     return token_orc.token_digest(token_orc.read_tokens(spark, path))
 
 
+def op2_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs, rule = _table(spark, folder, "documents"), line_crf.LineCrfRule()
+    return line_crf.judge(docs, line_crf.train(docs, _table(spark, folder, "labels"), rule), rule)
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, rule = _table(spark, folder, "documents"), toxic_mil.ToxicRule()
+    model = toxic_mil.train(docs, _table(spark, folder, "labels"), rule, crc_of_id(F.col("doc_id")) % 5 != 0)
+    return toxic_mil.score(docs, model, rule).select(
+        "doc_id", (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
+    )
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_bloom.line_digest(_table(spark, folder, "documents"), line_bloom.LineRule(min_docs=10, min_key_chars=1))
 
@@ -28,10 +43,21 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_dp.piece_digest(pack_dp.pack_documents(_table(spark, folder, "documents"), spec))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs, rule = _table(spark, folder, "documents"), lang_ecoc.LanguageRule()
+    model = lang_ecoc.train(docs, rule, crc_of_id(F.col("doc_id")) % 4 != 2)
+    return lang_ecoc.predict(docs, model, rule).select(
+        "doc_id", (crc_of_id(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
+    "op2_line_crf": op2_line_crf,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
+    "op7_language": op7_language,
 }
 
 #: The lines and their keys in plain SQL; chr(9) to chr(13) and the blank are what a key is stripped of.

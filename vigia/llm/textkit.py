@@ -74,8 +74,8 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Slices of the batch with their texts, each of at most `limit` bytes of text or one row."""
+def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES, most_rows: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of the batch with their texts, each of at most `most_rows` rows and `limit` bytes of text, or one row."""
     if not batch.num_rows:
         return
     texts = text_array(batch.column(batch.schema.get_field_index(column)))
@@ -83,7 +83,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     at = 0
     while at < len(texts):
         base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        to = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, base + limit, side="right"))))
         yield batch.slice(at, to - at), texts.slice(at, to - at)
         at = to
 
