@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigia.llm.fit import Adam, labelled, repeat_until
-from vigia.llm.textkit import IN_LINE, IN_WORD, STARTS_CHAR, Pieces, byte_table, chunks, grams, mixed, pieces, raw_bytes, sums
+from vigia.llm.textkit import IN_LINE, IN_WORD, STARTS_CHAR, Pieces, byte_table, chunks, distinct, grams, mixed, pieces, raw_bytes, sums
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,7 @@ def covered_words(words: Pieces, window: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         key = digest ^ mixed(words.doc[at].astype(np.uint64) + np.uint64(1))
     ordered = np.sort(key)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    twice = distinct(ordered[1:][ordered[1:] == ordered[:-1]])
     change = np.zeros(len(words.doc) + 1, dtype=np.int32)
     if len(twice):
         place = np.minimum(np.searchsorted(twice, key), len(twice) - 1)

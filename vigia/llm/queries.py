@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigia.durable import scratch_path
-from vigia.llm import lang_ecoc, line_bloom, line_crf, pack_dp, token_orc, toxic_mil
+from vigia.llm import bench_wand, lang_ecoc, line_bloom, line_crf, order_minhash, pack_dp, token_orc, toxic_mil, unit_dedup
 from vigia.llm.textkit import crc_of_id
 
 
@@ -51,6 +51,19 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_unit_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return unit_dedup.repeats(_table(spark, folder, "documents"), unit_dedup.UnitRule())
+
+
+def op9_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return bench_wand.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), bench_wand.BenchRule())
+
+
+def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    found = order_minhash.near_duplicates(_table(spark, folder, "documents"), order_minhash.OrderRule())
+    return found.select("doc_id", "class_id", F.lower(F.hex("same")).alias("same_words"))
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op2_line_crf": op2_line_crf,
@@ -58,6 +71,9 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op7_language": op7_language,
+    "op8_unit_dedup": op8_unit_dedup,
+    "op9_benchmark": op9_benchmark,
+    "op10_near_dup": op10_near_dup,
 }
 
 #: The lines and their keys in plain SQL; chr(9) to chr(13) and the blank are what a key is stripped of.

@@ -204,6 +204,12 @@ def sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(total[offsets])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats hashing for the many rare values of texts."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
 def code_points(data: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     """Turns byte positions of the chunk into numbers of characters before them."""
     total = np.zeros(len(data) + 1, dtype=np.int64)
@@ -220,7 +226,7 @@ class MemoTokenizer:
     New parts are encoded together, many to a call, with a marker between them.
     """
 
-    LIMIT = 800_000
+    LIMIT = 400_000
     _RUN, _CALL = 256, 32  # parts to a text, texts to a call
 
     def __init__(self, path: str, keep_blank: bool):

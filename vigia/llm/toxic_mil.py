@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigia.llm.fit import Adam, labelled, repeat_until
-from vigia.llm.textkit import byte_table, chunks, code_points, pieces, raw_bytes, terms
+from vigia.llm.textkit import byte_table, chunks, code_points, distinct, pieces, raw_bytes, terms
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ def sentence_words(texts: pa.Array, width_bits: int) -> tuple[np.ndarray, np.nda
     sentences = pieces(data, offsets, _IN_SENTENCE, hashed=False)
     of = np.searchsorted(sentences.start, words.start, side="right") - 1
     bucket = (words.digest >> np.uint64(64 - width_bits)).astype(np.int64)
-    key = np.unique((of << width_bits) | bucket)
+    key = distinct((of << width_bits) | bucket)
     of, bucket = key >> width_bits, key & ((1 << width_bits) - 1)
     return sentences.doc[of] if len(of) else of, of, bucket
 
