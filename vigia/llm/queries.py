@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigia.durable import scratch_path
-from vigia.llm import bench_wand, lang_ecoc, line_bloom, line_crf, order_minhash, pack_dp, token_orc, toxic_mil, unit_dedup
+from vigia.llm import bench_wand, lang_ecoc, line_bloom, line_crf, order_minhash, pack_dp, secret_index, token_orc, toxic_mil, unit_dedup
 from vigia.llm.textkit import crc_of_id
 
 
@@ -43,6 +43,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_dp.piece_digest(pack_dp.pack_documents(_table(spark, folder, "documents"), spec))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_index.secret_digest(secret_index.find_secrets(_table(spark, folder, "documents")))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs, rule = _table(spark, folder, "documents"), lang_ecoc.LanguageRule()
     model = lang_ecoc.train(docs, rule, crc_of_id(F.col("doc_id")) % 4 != 2)
@@ -70,14 +74,46 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
+    "op6_secrets": op6_secrets,
     "op7_language": op7_language,
     "op8_unit_dedup": op8_unit_dedup,
     "op9_benchmark": op9_benchmark,
     "op10_near_dup": op10_near_dup,
 }
 
+
+
+def _secrets_sql() -> str:
+    """Every rule searched in every text; places from the lengths of the matches and of what lies between them."""
+    parts = []
+    for order, rule in enumerate(secret_index.RULES):
+        regex = "'" + rule.regex.replace("'", "''") + "'"
+        measured = f"length(regexp_extract(m, {regex}, {rule.measured}))"
+        parts.append(f"""
+  SELECT doc_id, {order} AS place, '{rule.kind}' AS kind, start, start + length(m) AS stop
+  FROM (SELECT doc_id, matches[i] AS m,
+               list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(matches[1:i-1], lambda x: length(x))), 0) AS start
+        FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i
+              FROM (SELECT doc_id, regexp_extract_all(text, {regex}, 0) AS matches, string_split_regex(text, {regex}) AS gaps FROM texts)))
+  WHERE {measured} >= {rule.min_length}""")
+    base = len(secret_index.BASE_RULES)
+    joined = "coalesce(string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, place){}, '')"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), found AS ({" UNION ALL ".join(parts)})
+SELECT t.doc_id,
+       count(*) FILTER (WHERE kind = 'assign')::BIGINT AS n_assign,
+       count(*) FILTER (WHERE kind = 'access')::BIGINT AS n_access,
+       count(*) FILTER (WHERE kind = 'hex')::BIGINT AS n_hex,
+       sha256({joined.format(f" FILTER (WHERE place < {base})")}) AS base_sha256,
+       {joined.format(" FILTER (WHERE kind IS NOT NULL)")} AS spans
+FROM texts t LEFT JOIN found f ON t.doc_id = f.doc_id
+GROUP BY t.doc_id
+"""
+
+
 #: The lines and their keys in plain SQL; chr(9) to chr(13) and the blank are what a key is stripped of.
 ORACLES = {
+    "op6_secrets": _secrets_sql(),
     "op4_line_dedup": """
 WITH lines AS (
   SELECT doc_id, i, part AS line,
