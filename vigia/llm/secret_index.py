@@ -124,10 +124,10 @@ def _needed(rules: tuple[SecretRule, ...]) -> dict[str, frozenset[frozenset[str]
 
 def postings(docs: DataFrame, trigrams: list[str], block_docs: int) -> DataFrame:
     """block, trigram, ids: the inverted index, in blocks of about `block_docs` documents."""
-    lowered = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), lowered.alias("low")).withColumn(
-        "trigram", F.explode(F.filter(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull()))
-    ).select("doc_id", "trigram")
+    low = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    # One projection: the lower-cased text is made once for all trigrams.
+    has = F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams])
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), has.alias("has")).select("doc_id", F.explode(F.array_compact("has")).alias("trigram"))
     blocks = F.greatest(F.lit(1), F.ceil(docs.count() / F.lit(block_docs)))
     block = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     return rows.groupBy(block.alias("block"), "trigram").agg(F.collect_set(F.coalesce("doc_id", F.lit(_NO_ID))).alias("ids"))
@@ -151,19 +151,21 @@ def candidates(index: DataFrame, queries: dict[str, frozenset[frozenset[str]]])
 
 def _spans(text: Column, rule: SecretRule, order: int) -> Column:
     """The rule's matches as an array of start, place of the rule in the list, end, kind."""
-    scan = F.lit(rule.scan or rule.regex)
-    found, between = F.regexp_extract_all(text, scan, F.lit(0)), F.split(text, rule.scan or rule.regex, -1)
-    lengths = F.transform(found, lambda m, i: F.struct(F.length(F.get(between, i)).alias("gap"), F.length(m).alias("own"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>").alias("out"))
-
-    def step(state: Column, m: Column) -> Column:
-        begin, end = state["at"] + m["gap"], state["at"] + m["gap"] + m["own"]
-        measured = F.length(F.regexp_extract(m["match"], rule.regex, rule.measured)) if rule.measured else m["own"]
+    scan = rule.scan or rule.regex
+    # Zipped, both lists are made once; the last piece has no match behind it.
+    parts = F.arrays_zip(F.split(text, scan, -1).alias("gap"), F.regexp_extract_all(text, F.lit(scan), F.lit(0)).alias("match"))
+    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
+
+    def step(state: Column, part: Column) -> Column:
+        begin = state["at"] + F.length(part["gap"])
+        end = begin + F.length(part["match"])
+        measured = F.length(F.regexp_extract(part["match"], rule.regex, rule.measured))
         one = F.array(F.struct(begin.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(measured >= rule.min_length, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+        found = F.when(measured >= rule.min_length, F.concat(state["out"], one)).otherwise(state["out"])
+        return F.when(part["match"].isNull(), state).otherwise(F.struct(end.alias("at"), found.alias("out")))
 
-    none = start["out"]
-    return F.when(F.size(found) > 0, F.aggregate(lengths, start, step, lambda s: s["out"])).otherwise(none)
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    return F.when(text.rlike(scan), F.aggregate(parts, start, step, lambda s: s["out"])).otherwise(none)
 
 
 def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, block_docs: int = 4096) -> DataFrame:
