@@ -182,20 +182,35 @@ def _overlap(side: tuple[int, np.ndarray], text: Pieces, found: dict[int, np.nda
     return float(np.isin(digests, found[size]).mean())
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rule: BenchRule = BenchRule()) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap of every confirmed pair."""
+def confirmed(index: BenchIndex, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
+    """Number of the text and of the item, score, and both overlaps, of the pairs that overlap confirms."""
+    _, _, words = terms(texts)
+    last, text, found = -1, None, {}
+    for doc, item, score in zip(*(x.tolist() for x in index.search(words)), strict=True):
+        if doc != last:
+            last, text, found = doc, _of_text(words, doc), {}
+        overlaps = [_overlap(side[item], text, found) for side in (index.question, index.answer)]
+        if min(overlaps) >= index.rule.overlap:
+            yield doc, item, min(score, 1.0), *overlaps
+
+
+def panels(items: DataFrame, rule: BenchRule) -> Iterator[BenchIndex]:
+    """The index of each panel of items; a panel holds about `panel_bytes` of text."""
     tests = items.select(F.col("item_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = tests.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    panels = max(1, math.ceil(size / rule.panel_bytes))
-    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(panels))
-    found = []
-    for panel in range(panels):
-        rows = [(r["item_id"], r["text"]) for r in tests.where(of == panel).collect()]  # about panel_bytes of text
-        found.append(_search(docs, BenchIndex(sorted(rows, key=lambda r: (r[0] is not None, r)), rule), rule))
-    return reduce(DataFrame.unionAll, found)
+    n = max(1, math.ceil(size / rule.panel_bytes))
+    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    for panel in range(n):
+        rows = [(r["item_id"], r["text"]) for r in tests.where(of == panel).collect()]
+        yield BenchIndex(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])), rule)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, rule: BenchRule = BenchRule()) -> DataFrame:
+    """doc_id, item_id, score, question_overlap, answer_overlap of every confirmed pair."""
+    return reduce(DataFrame.unionAll, [_pairs(docs, index) for index in panels(items, rule)])
 
 
-def _search(docs: DataFrame, index: BenchIndex, rule: BenchRule) -> DataFrame:
+def _pairs(docs: DataFrame, index: BenchIndex) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
@@ -203,16 +218,30 @@ def _search(docs: DataFrame, index: BenchIndex, rule: BenchRule) -> DataFrame:
         held = shared.value
         for batch in batches:
             for rows, texts in chunks(batch):
-                _, _, words = terms(texts)
-                out: list[tuple] = []
-                last, text, found = -1, None, {}
-                for doc, item, score in zip(*(x.tolist() for x in held.search(words)), strict=True):
-                    if doc != last:
-                        last, text, found = doc, _of_text(words, doc), {}
-                    overlaps = [_overlap(side[item], text, found) for side in (held.question, held.answer)]
-                    if min(overlaps) >= rule.overlap:
-                        out.append((rows.column(0)[doc].as_py(), held.item_ids[item], min(score, 1.0), *overlaps))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*out, strict=True)) or [[]] * 5, schema, strict=True)], schema=schema)
+                ids = rows.column(0)
+                out = [(ids[doc].as_py(), held.item_ids[item], *rest) for doc, item, *rest in confirmed(held, texts)]
+                columns = zip(*out, strict=True) if out else [[]] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return source.mapInArrow(run, "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double")
+
+
+def clean(docs: DataFrame, items: DataFrame, rule: BenchRule = BenchRule()) -> DataFrame:
+    """The rows of the documents, as they are, in which no item is confirmed: each batch is searched and filtered."""
+
+    def without(index: BenchIndex):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, texts in chunks(batch):
+                    keep = np.ones(rows.num_rows, dtype=bool)
+                    keep[[doc for doc, *_ in confirmed(shared.value, texts)]] = False
+                    yield rows.filter(pa.array(keep))
+
+        return run
+
+    for index in panels(items, rule):
+        docs = docs.mapInArrow(without(index), docs.schema)
+    return docs

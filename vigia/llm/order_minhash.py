@@ -33,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vigia.llm.textkit import Pieces, chunks, grams, mixed, stored, terms
+from vigia.llm.textkit import Pieces, chunks, fresh, grams, mixed, stored, terms
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,17 @@ def sketches(words: Pieces, rule: OrderRule) -> np.ndarray:
     return out
 
 
+def _payloads(words: Pieces) -> Iterator[bytes]:
+    """The word digests of each text as bytes."""
+    raw = words.digest.astype("<u8").tobytes()
+    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+        yield raw[8 * a : 8 * b]
+
+
+def _sames(words: Pieces) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(p) for p in _payloads(words)]
+
+
 def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
     """doc_id, same (digest of the word sequence), keys (of the bands; null below `k` words)."""
     schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("keys", pa.list_(pa.int64()))])
@@ -106,9 +118,7 @@ def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
                 size = np.diff(words.first)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(size >= rule.k, rule.bands, 0))]).astype(np.int32))
                 keys = pa.ListArray.from_arrays(offsets, pa.array(found[size >= rule.k].ravel()))
-                raw = memoryview(words.digest.astype("<u8")).cast("B")
-                same = [xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(same, pa.binary()), keys], schema=schema)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sames(words), pa.binary()), keys], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return source.mapInArrow(run, "doc_id bigint, same binary, keys array<bigint>")
@@ -197,12 +207,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for _, texts in chunks(batch):
                 _, _, words = terms(texts)
-                raw = memoryview(words.digest.astype("<u8")).cast("B")
-                spans = list(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in spans], pa.binary()),
-                    pa.array([raw[8 * a : 8 * b].tobytes() for a, b in spans], pa.binary()),
-                ], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(_sames(words), pa.binary()), pa.array(list(_payloads(words)), pa.binary())], schema=schema)
 
     rows = docs.join(wanted.withColumnRenamed("doc_id", "of_id"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("of_id")), "left_semi")
     return rows.select(F.col("text").cast("string")).mapInArrow(run, "same binary, words binary").dropDuplicates(["same"])
@@ -252,9 +257,10 @@ def components(links: DataFrame, max_rounds: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame:
-    """doc_id, class_id, same: one row for each document; documents of one class_id are near copies.
+    """doc_id, class_id, same, class_key, head: one row for each document; documents of one class are near copies.
 
-    `class_id` is the least doc_id of the class, `same` tells exact copies within it.
+    `class_id` is the least doc_id of the class, `same` tells exact copies within it; `class_key` names the
+    class also where ids are missing or repeated, and `head` is its first document.
     """
     rows = stored(word_classes(docs, rule), "word-classes")
     classes = stored(rows.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "classes")
@@ -269,7 +275,28 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     second = bucketed(again).join(checked.select("same", "hub"), ["same", "hub"], "left_anti")
     links = stored(checked.unionByName(verified(stored(second, "second-pairs"), texts, rule)).where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b")), "links")
     roots = components(links, rule.max_rounds)
-    named = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("root"))
-    names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    by_same = stored(named.join(names, "root").select("same", "class_id"), "class-names")
-    return rows.select("doc_id", "same").join(by_same, "same").select("doc_id", "class_id", "same")
+    named = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key"))
+    # A name is the least id; the key tells classes apart where ids are missing or repeated.
+    heads = named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "same")).alias("head"))
+    by_same = stored(named.join(heads, "class_key").select("same", "class_key", "head"), "class-names")
+    return rows.select("doc_id", "same").join(by_same, "same").select("doc_id", F.col("head.doc_id").alias("class_id"), "same", "class_key", "head")
+
+
+def one_of_each(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame:
+    """The rows of the documents with one row of each class: that of least doc_id, of repeated rows any one."""
+    names = fresh(docs, "head_id", "head_same", "own_id", "own_same")
+    head_id, head_same, own_id, own_same = names
+    no_id = F.lit(-(1 << 63))
+    found = near_duplicates(docs, rule)
+    heads = stored(found.groupBy("class_key").agg(F.first("head").alias("head")).select(F.coalesce("head.doc_id", no_id).alias(head_id), F.col("head.same").alias(head_same)), "class-heads")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in chunks(batch):
+                _, _, words = terms(texts)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(_sames(words), pa.binary())], names=[*rows.schema.names, own_same])
+
+    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(own_same, T.BinaryType())]))
+    marked = marked.withColumn(own_id, F.coalesce(F.col("doc_id").cast("bigint"), no_id))
+    rows = marked.join(heads, (F.col(own_id) == F.col(head_id)) & (F.col(own_same) == F.col(head_same)), "left_semi")
+    return rows.dropDuplicates([own_id, own_same]).select(docs.columns)

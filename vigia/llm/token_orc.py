@@ -79,6 +79,7 @@ def write_tokens(docs: DataFrame, path: str, spec: TokenFile) -> None:
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", spec.row_index_stride)
         .option("orc.stripe.size", spec.stripe_bytes)
+        .option("orc.rows.between.memory.checks", 256)  # long rows: look at the stripe's size more often
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", spec.bloom_fpp)
         .orc(path)

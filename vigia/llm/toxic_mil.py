@@ -115,6 +115,17 @@ def train(docs: DataFrame, labels: DataFrame, rule: ToxicRule = ToxicRule(), all
     return ToxicModel(float(bias[0]), known[used], weights[used], rule.width_bits)
 
 
+def _scores(texts: pa.Array, model: ToxicModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The score of each text; the scores of the sentences, their numbers in the chunk, and their texts."""
+    doc, sentence, bucket = sentence_words(texts, model.width_bits)
+    names, where = np.unique(sentence, return_inverse=True)
+    z = model.bias + np.bincount(where, model.of(bucket), minlength=len(names)) if len(names) else np.zeros(0)
+    of_doc = np.zeros(len(names), dtype=np.int64)
+    of_doc[where] = doc
+    total = np.bincount(of_doc, np.logaddexp(0, z), minlength=len(texts))
+    return -np.expm1(-total), 1 / (1 + np.exp(-z)), names, of_doc
+
+
 def score(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) -> DataFrame:
     """doc_id, score, offending: the sentences at or above `locate_at`, as start and end in characters, and score."""
     schema = pa.schema([
@@ -125,13 +136,7 @@ def score(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch):
-                doc, sentence, bucket = sentence_words(texts, model.width_bits)
-                names, where = np.unique(sentence, return_inverse=True)
-                z = model.bias + np.bincount(where, model.of(bucket), minlength=len(names)) if len(names) else np.zeros(0)
-                of_doc = np.zeros(len(names), dtype=np.int64)
-                of_doc[where] = doc
-                total = np.bincount(of_doc, np.logaddexp(0, z), minlength=len(texts))
-                p = 1 / (1 + np.exp(-z))
+                total, p, names, of_doc = _scores(texts, model)
                 hit = np.flatnonzero(p >= rule.locate_at)
                 spans: list[list[dict]] = [[] for _ in range(len(texts))]
                 if len(hit):
@@ -141,7 +146,18 @@ def score(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) ->
                     zero = chars(offsets[of_doc[hit]])
                     for d, a, b, s in zip(of_doc[hit].tolist(), (chars(lines.start[at]) - zero).tolist(), (chars(lines.end[at]) - zero).tolist(), p[hit].tolist(), strict=True):
                         spans[d].append({"start": a, "end": b, "score": s})
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(-np.expm1(-total)), pa.array(spans, schema.field(2).type)], schema=schema)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(total), pa.array(spans, schema.field(2).type)], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return source.mapInArrow(run, "doc_id bigint, score double, offending array<struct<start:bigint,end:bigint,score:double>>")
+
+
+def clean(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) -> DataFrame:
+    """The rows of the documents, as they are, that score below one half: no join, each batch is scored and filtered."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in chunks(batch):
+                yield rows.filter(pa.array(_scores(texts, model)[0] < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
