@@ -209,8 +209,9 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 _, _, words = terms(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(_sames(words), pa.binary()), pa.array(list(_payloads(words)), pa.binary())], schema=schema)
 
-    rows = docs.join(wanted.withColumnRenamed("doc_id", "of_id"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("of_id")), "left_semi")
-    return rows.select(F.col("text").cast("string")).mapInArrow(run, "same binary, words binary").dropDuplicates(["same"])
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = rows.join(wanted.withColumnRenamed("doc_id", "of_id"), F.col("doc_id").eqNullSafe(F.col("of_id")), "left_semi")
+    return rows.select("text").mapInArrow(run, "same binary, words binary").dropDuplicates(["same"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rule: OrderRule) -> DataFrame:

@@ -4,8 +4,8 @@ A sentence's score is p = sigmoid(bias + sum of the weights of its distinct
 words); a document's is the noisy-or 1 - prod(1 - p). Labels exist for
 documents only; the gradient of the document's loss reaches each sentence by
 its share in the noisy-or, and weights that labels do not steadily support are
-shrunk to zero. Sentences with p at or above `locate_at` are reported with
-their place.
+shrunk to zero. Sentences with p at or above `locate_at`, and the likeliest ones
+of a document that scores one half or more, are reported with their place.
 
 Training reads at most `max_training_docs` labelled documents (those with the
 smallest hash of their id); all else reads every document.
@@ -127,7 +127,7 @@ def _scores(texts: pa.Array, model: ToxicModel) -> tuple[np.ndarray, np.ndarray,
 
 
 def score(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) -> DataFrame:
-    """doc_id, score, offending: the sentences at or above `locate_at`, as start and end in characters, and score."""
+    """doc_id, score, offending: the sentences to blame, as start and end in characters, and score."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("score", pa.float64()),
         ("offending", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))),
@@ -137,7 +137,9 @@ def score(docs: DataFrame, model: ToxicModel, rule: ToxicRule = ToxicRule()) ->
         for batch in batches:
             for rows, texts in chunks(batch):
                 total, p, names, of_doc = _scores(texts, model)
-                hit = np.flatnonzero(p >= rule.locate_at)
+                most = np.zeros(len(texts))
+                np.maximum.at(most, of_doc, p)
+                hit = np.flatnonzero((p >= rule.locate_at) | ((p == most[of_doc]) & (total[of_doc] >= 0.5)))
                 spans: list[list[dict]] = [[] for _ in range(len(texts))]
                 if len(hit):
                     data, offsets = raw_bytes(texts)
