@@ -8,13 +8,12 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from vigia.operators.lookup import LookupLimits
-from vigia.operators.ranking import RankLimits, dense_rank_desc, percent_ranks
+from vigia.operators.ranking import dense_rank_desc, percent_ranks
 
 BRANCHES = {
-    "window": RankLimits(),
-    "broadcast": RankLimits(window_rows=0),
-    "shuffled": RankLimits(0, LookupLimits(broadcast_rows=0)),
-    "shuffled, values over a quarter are hot": RankLimits(0, LookupLimits(broadcast_rows=0, hot_keys=4)),
+    "all values are hot": LookupLimits(),
+    "no value is hot": LookupLimits(hot_keys=0),
+    "values over a quarter are hot": LookupLimits(hot_keys=4),
 }
 
 
@@ -65,3 +64,16 @@ def test_few_rows(spark, limits):
     none = one.filter("v < 0")
     assert percent_ranks(none, {"v": "p"}, limits).count() == 0
     assert dense_rank_desc(none, "grupo", "v", "r", limits).count() == 0
+
+
+def test_missing_groups_and_exact_types(spark):
+    """NULL is a group like any other, and neighbouring values beyond 2^53 stay apart."""
+    big = 9007199254740992
+    rows = spark.createDataFrame(
+        [(1, None, big, Decimal("1.10")), (2, None, big + 1, Decimal("1.11")), (3, 1, None, None), (4, None, None, None)],
+        "id INT, grupo INT, v BIGINT, d DECIMAL(38,2)")
+    for limits in BRANCHES.values():
+        dense = {r.id: r.r for r in dense_rank_desc(rows, "grupo", "v", "r", limits).collect()}
+        assert dense == {1: 2, 2: 1, 3: 1, 4: 3}
+        got = {r.id: (r.p, r.q) for r in percent_ranks(rows, {"v": "p", "d": "q"}, limits).collect()}
+        assert got == {1: (2 / 3, 2 / 3), 2: (1.0, 1.0), 3: (0.0, 0.0), 4: (0.0, 0.0)}

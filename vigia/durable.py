@@ -37,3 +37,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def durable(frame: DataFrame) -> DataFrame:
     shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet under the shared folder and read back.
+
+    Unlike a checkpoint, later reads prune columns and push filters down.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path, on whatever file system it is, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -6,7 +6,7 @@ reports such keys; ``one_per_key`` makes the running job fail on the first of th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def repeated_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,10 +35,11 @@ def key_summary(frame: DataFrame, name: str, keys: list[str]) -> DataFrame:
 def one_per_key(frame: DataFrame, key: str) -> DataFrame:
     """The same rows, failing the job if ``key`` repeats.
 
-    Rows are numbered within their key as they stream by; nothing is gathered. The
-    shuffle and sort by the key are those a sort-merge join on it needs anyway.
+    Rows are counted by key with partial aggregation, so a key with many rows, or a
+    missing one, gathers nothing.
     """
-    seen = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    others = [c for c in frame.columns if c != key]
+    counted = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_veces"), *[F.max(c).alias(c) for c in others])
     message = F.concat(F.lit(f"{key} repetido: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
-    first = F.when(F.col("_visto") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return frame.withColumn("_visto", seen).filter(first).drop("_visto")
+    single = F.when(F.col("_veces") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(single).select(*frame.columns)

@@ -1,137 +1,93 @@
-"""PERCENT_RANK and DENSE_RANK over large groups.
+"""PERCENT_RANK and DENSE_RANK over groups of any size.
 
 A rank window sends each of its groups to one task: all rows for a global rank,
-a fifth of them for a rank within the risk class. Up to ``WINDOW_ROWS`` rows that
-is the cheapest plan and the built-in functions are used. Beyond it:
+a fifth of them for a rank within the risk class. Instead:
 
 1. The rows become a histogram (group, value, rows). Partial aggregation makes
    popular values harmless.
-2. The histogram is range-partitioned in rank order and checkpointed, which fixes
-   the sampled range bounds whatever happens to an executor.
+2. The histogram is range-partitioned in rank order and stored, which fixes the
+   sampled range bounds whatever happens to an executor.
 3. What lies before a value = the totals of the earlier ranges + the smaller
    values of its own range. The totals are one small row per range.
-4. Ranks return to the rows by a lookup that broadcasts small tables and popular values.
+4. Ranks return to the rows by a lookup that takes popular values apart.
+
+Groups and values travel inside structs: a struct is never NULL, so a missing
+group or value meets its like in the lookup, and every column keeps its type.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigia.durable import durable
+from vigia.durable import stored
 from vigia.operators.lookup import LookupLimits, lookup
 
-
-@dataclass(frozen=True)
-class RankLimits:
-    window_rows: int = 1_000_000
-    lookup: LookupLimits = LookupLimits()
-
-
-DEFAULT_LIMITS = RankLimits()
-
-
-def _durable_with_count(frame: DataFrame) -> tuple[DataFrame, int]:
-    seen = Observation()
-    kept = durable(frame.observe(seen, F.count(F.lit(1)).alias("n")))
-    return kept, seen.get["n"]
-
-
-def _before_each_value(histogram: DataFrame, order: Column) -> DataFrame:
-    """Adds, per ``_grupo`` and in ``order``, the rows and values before each value and the group's rows."""
-    ranged = durable(
-        histogram.repartitionByRange(F.col("_grupo"), order)
-        .withColumn("_tramo", F.spark_partition_id())
-    )
-    earlier = Window.partitionBy("_grupo").orderBy("_tramo")
-    ranges = (
-        ranged.groupBy("_grupo", "_tramo")
-        .agg(F.sum("_filas").alias("_f"), F.count(F.lit(1)).alias("_v"))
-        .select(
-            "_grupo", "_tramo",
-            (F.sum("_f").over(earlier) - F.col("_f")).alias("_filas_previas"),
-            (F.sum("_v").over(earlier) - F.col("_v")).alias("_valores_previos"),
-            F.sum("_f").over(Window.partitionBy("_grupo")).alias("_total"),
-        )
+_KEYS = ["_grupo", "_valor"]
+
+
+def _places(keyed: DataFrame, order: Column) -> DataFrame:
+    """Per group and value: its rows, the group's rows, and the rows and values before it in ``order``."""
+    histogram = keyed.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_filas"))
+    ranged = stored(
+        histogram.repartitionByRange(F.col("_grupo"), order).withColumn("_tramo", F.spark_partition_id()),
+        "rangos")
+    earlier = Window.partitionBy("_grupo").orderBy("_tramo").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_grupo", "_tramo").agg(
+        F.sum("_filas").alias("_f"), F.count(F.lit(1)).alias("_v")
+    ).select(
+        "_grupo", "_tramo",
+        F.coalesce(F.sum("_f").over(earlier), F.lit(0)).alias("_filas_previas"),
+        F.coalesce(F.sum("_v").over(earlier), F.lit(0)).alias("_valores_previos"),
+        F.sum("_f").over(Window.partitionBy("_grupo")).alias("_total"),
     )
     inside = Window.partitionBy("_grupo", "_tramo").orderBy(order)
-    return (
-        ranged.join(F.broadcast(ranges), ["_grupo", "_tramo"])
-        .select(
-            "_grupo", "_valor", "_filas", "_total",
+    return stored(
+        ranged.join(ranges, ["_grupo", "_tramo"]).select(
+            *_KEYS, "_filas", "_total",
             (F.col("_filas_previas") + F.sum("_filas").over(inside) - F.col("_filas")).alias("_filas_antes"),
             (F.col("_valores_previos") + F.row_number().over(inside) - 1).alias("_valores_antes"),
-        )
-    )
+        ),
+        "lugares")
 
 
 def percent_ranks(
-    frame: DataFrame, columns: Mapping[str, str], limits: RankLimits = DEFAULT_LIMITS
+    frame: DataFrame, columns: Mapping[str, str], limits: LookupLimits = LookupLimits()
 ) -> DataFrame:
     """Add the global percent rank, ascending, of each input column (input → output name).
 
     ``(rank - 1) / (rows - 1)``; ties share the lowest rank, a single row ranks 0 and
-    NULL is the lowest value.
+    NULL is the lowest value. All columns share one histogram and one lookup.
     """
-    rows, count = _durable_with_count(frame)
-    if count <= limits.window_rows:
-        return rows.withColumns(
-            {
-                output: F.percent_rank().over(Window.orderBy(F.col(source).asc_nulls_first()))
-                for source, output in columns.items()
-            }
-        )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("_grupo"), F.col(c).cast("double").alias("_valor"))
-            for c in columns
-        ]
-    )
-    histogram = (
-        rows.select(F.explode(pairs).alias("par")).select("par.*")
-        .groupBy("_grupo", "_valor").agg(F.count(F.lit(1)).alias("_filas"))
-    )
-    ranks = durable(
-        _before_each_value(histogram, F.col("_valor").asc_nulls_first()).select(
-            "_grupo", "_valor", "_filas",
-            (F.col("_filas_antes") / F.nullif(F.col("_total") - 1, F.lit(0)).cast("double"))
-            .alias("_pct"),
-        )
-    )
-    for source, output in columns.items():
-        own = ranks.filter((F.col("_grupo") == source) & F.col("_valor").isNotNull()).drop("_grupo")
-        keyed = rows.withColumn("_valor", F.col(source).cast("double"))
-        # NULL has no match: it is the lowest value, rank 0.
-        rows = durable(
-            lookup(keyed, own, ["_valor"], "_filas", limits.lookup)
-            .withColumn(output, F.coalesce("_pct", F.lit(0.0))).drop("_valor", "_pct"))
-    return rows
+    rows = stored(frame.withColumn("_fila", F.monotonically_increasing_id()), "filas")
+    types = {name: rows.schema[name].dataType for name in columns}
+
+    def value(name: str) -> Column:
+        """A struct with a field per column, of which only this one's is filled."""
+        return F.struct(
+            *[(F.col(c) if c == name else F.lit(None).cast(types[c])).alias(c) for c in columns])
+
+    pairs = F.array(*[F.struct(F.struct(F.lit(c).alias("columna")).alias("_grupo"), value(c).alias("_valor"))
+                      for c in columns])
+    long = rows.select("_fila", F.inline(pairs))
+    others = F.nullif(F.col("_total") - 1, F.lit(0)).cast("double")
+    ranks = _places(long, F.col("_valor").asc()).select(
+        *_KEYS, "_filas", F.coalesce(F.col("_filas_antes") / others, F.lit(0.0)).alias("_pct"))
+    found = lookup(long, ranks, _KEYS, "_filas", limits)
+    wide = found.groupBy("_fila").agg(
+        *[F.max(F.when(F.col("_grupo.columna") == source, F.col("_pct"))).alias(output)
+          for source, output in columns.items()])
+    return rows.join(wide, "_fila").select(*frame.columns, *columns.values())
 
 
 def dense_rank_desc(
-    frame: DataFrame, group: str, value: str, output: str, limits: RankLimits = DEFAULT_LIMITS
+    frame: DataFrame, group: str, value: str, output: str, limits: LookupLimits = LookupLimits()
 ) -> DataFrame:
     """Add the dense rank of ``value`` within ``group``, highest first and NULL last."""
-    rows, count = _durable_with_count(frame)
-    order: Callable[[str], Column] = F.desc_nulls_last
-    if count <= limits.window_rows:
-        return rows.withColumn(
-            output, F.dense_rank().over(Window.partitionBy(group).orderBy(order(value))))
-    histogram = (
-        rows.groupBy(F.col(group).alias("_grupo"), F.col(value).alias("_valor"))
-        .agg(F.count(F.lit(1)).alias("_filas"))
-    )
-    ranks = durable(_before_each_value(histogram, order("_valor")).select(
-        "_grupo", "_valor", "_filas", (F.col("_valores_antes") + 1).cast("int").alias("_rango")))
-    keyed = rows.withColumns({"_grupo": F.col(group), "_valor": F.col(value)})
-    known = ranks.filter(F.col("_valor").isNotNull())
-    # NULL values rank after every known one of their group: one row per group.
-    last = ranks.filter(F.col("_valor").isNull()).select("_grupo", F.col("_rango").alias("_ultimo"))
-    joined = lookup(keyed, known, ["_grupo", "_valor"], "_filas", limits.lookup)
-    return (
-        joined.join(F.broadcast(last), "_grupo", "left")
-        .withColumn(output, F.when(F.col("_valor").isNull(), F.col("_ultimo")).otherwise(F.col("_rango")))
-        .drop("_grupo", "_valor", "_rango", "_ultimo")
-    )
+    rows = stored(frame, "filas")
+    keyed = rows.withColumns(
+        {"_grupo": F.struct(F.col(group).alias("grupo")), "_valor": F.struct(F.col(value).alias("valor"))})
+    ranks = _places(keyed.select(*_KEYS), F.col("_valor").desc()).select(
+        *_KEYS, "_filas", (F.col("_valores_antes") + 1).cast("int").alias(output))
+    return lookup(keyed, ranks, _KEYS, "_filas", limits).select(*frame.columns, output)

@@ -11,7 +11,7 @@ from vigia.calendar import ClosedMonths, shift_months
 from vigia.functions.dates import day, from_before
 from vigia.functions.numbers import per_hundred, ratio
 from vigia.operators.fanout import join_fanout
-from vigia.operators.ranking import DEFAULT_LIMITS, RankLimits, dense_rank_desc
+from vigia.operators.ranking import dense_rank_desc
 
 COLUMNS = (
     "id_cliente", "nombre", "clase_riesgo", "total_casos", "casos_graves", "costo_total",
@@ -19,14 +19,14 @@ COLUMNS = (
 )
 
 
-def _finish(base: DataFrame, limits: RankLimits) -> DataFrame:
+def _finish(base: DataFrame) -> DataFrame:
     rated = base.withColumns(
         {
             "pct_graves": F.round(per_hundred(F.col("casos_graves"), F.col("total_casos")), 1),
             "costo_x_trab": F.round(ratio(F.col("costo_total"), F.col("trabajadores_prom")), 0),
         }
     )
-    ranked = dense_rank_desc(rated, "clase_riesgo", "costo_total", "ranking_clase", limits)
+    ranked = dense_rank_desc(rated, "clase_riesgo", "costo_total", "ranking_clase")
     return ranked.select(*COLUMNS)
 
 
@@ -39,7 +39,6 @@ def client_risk_cost(
     casos: DataFrame,
     facturacion: DataFrame,
     months: ClosedMonths,
-    limits: RankLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Cases, serious share, cost and cost per worker of the closed months, ranked within the class.
 
@@ -60,7 +59,7 @@ def client_risk_cost(
         .agg(F.avg(F.col("trabajadores_activos").cast("decimal(18,2)")).alias("trabajadores_prom"))
     )
     base = _active(clientes).join(cases, "id_cliente").join(workers, "id_cliente", "left")
-    return _finish(base, limits).orderBy(F.desc("clase_riesgo"), "ranking_clase", "id_cliente")
+    return _finish(base).orderBy(F.desc("clase_riesgo"), "ranking_clase", "id_cliente")
 
 
 def _legacy_cases(casos: DataFrame, as_of: date) -> DataFrame:
@@ -76,7 +75,6 @@ def client_risk_cost_legacy(
     casos: DataFrame,
     facturacion: DataFrame,
     as_of: date,
-    limits: RankLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """The inherited figures, kept to explain old reports.
 
@@ -115,7 +113,7 @@ def client_risk_cost_legacy(
             "trabajadores_prom",
         )
     )
-    return _finish(base, limits).orderBy(F.desc_nulls_last("costo_total"), "id_cliente")
+    return _finish(base).orderBy(F.desc_nulls_last("costo_total"), "id_cliente")
 
 
 def legacy_fanout(clientes: DataFrame, casos: DataFrame, facturacion: DataFrame, as_of: date) -> DataFrame:

@@ -8,7 +8,7 @@ from vigia import business as B
 from vigia.calendar import DailyCutoff
 from vigia.functions.dates import after_until, day
 from vigia.operators.latest import latest
-from vigia.operators.ranking import DEFAULT_LIMITS, RankLimits, percent_ranks
+from vigia.operators.ranking import percent_ranks
 
 # Texts of the main reason.
 REASON_INCIDENCE = "Incidencia alta para su tamaño"
@@ -77,10 +77,9 @@ def priority_metrics(
 def priority_score(
     metrics: DataFrame,
     weights: B.PriorityWeights = B.PriorityWeights(),
-    limits: RankLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Adds the percentile of each component and their weighted sum, between 0 and 1."""
-    ranked = percent_ranks(metrics, RANKED, limits).withColumn(
+    ranked = percent_ranks(metrics, RANKED).withColumn(
         "p_riesgo", (F.col("clase_riesgo") - 1) / F.lit(4.0))
     parts = (
         (weights.incidence, "p_incidencia"), (weights.severity, "p_severidad"),
@@ -148,8 +147,7 @@ def visit_priorities(
     cutoff: DailyCutoff,
     n: int = 15,
     weights: B.PriorityWeights = B.PriorityWeights(),
-    limits: RankLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """The weekly list from the tables."""
     metrics = priority_metrics(clientes, facturacion, casos, prevencion, cutoff, weights)
-    return priority_top(priority_score(metrics, weights, limits), n, weights)
+    return priority_top(priority_score(metrics, weights), n, weights)
