@@ -8,22 +8,17 @@ from pyspark.sql import functions as F
 from vigia.functions import text
 
 IDS = {
-    "CLI-0012": "CLI-0012", "cli-12": "CLI-0012", " CLI0012 ": "CLI-0012", "12": "CLI-0012",
-    "CL1-00A2": None, "#N/A": None, "0": None, "": None,
-    "\t12 ": "CLI-0012", "CLI_7": "CLI-0007", "cli 00009": "CLI-0009", "CLI-": None,
-    "CLI-12345": "CLI-12345", "CLI-123456": "CLI-123456", "1234567": None, "000001234567": None,
-    "00000000012": "CLI-0012", "CLI--5": None,
+    "cLi_00431": "CLI-0431", "\t431 ": "CLI-0431", "CLI 431": "CLI-0431", "431": "CLI-0431", "CLI-77120": "CLI-77120",
+    "00000000431": "CLI-0431", "CLI-123456": "CLI-123456", "CLI431": "CLI-0431",
+    "": None, "000": None, "CLI-": None, "CLI--5": None, "4 31": None, "431X": None, "#REF!": None, "1234567": None,
 }
-AUGUST = date(2026, 8, 1)
+MARCH = date(2025, 3, 1)
 PERIODS = {
-    "2026-08-01": AUGUST, "2026-08": AUGUST, "08/2026": AUGUST, "2026/08": AUGUST,
-    "01/08/2026": AUGUST, "202608": AUGUST, "ago-2026": AUGUST, "Agosto 2026": AUGUST,
-    "13/2026": None, "31/02/2026": None, "sin dato": None, "": None,
-    "2026-08-15": AUGUST, "8/2026": AUGUST, "15/8/2026": AUGUST, "08-2026": AUGUST, "8 2026": AUGUST,
-    " AGO-2026 ": AUGUST, "2026-15": None, "ago2026": None, "agost 2026": None,
-    "set-2026": date(2026, 9, 1), "sep-2026": date(2026, 9, 1), "Septiembre 2026": date(2026, 9, 1),
-    "setiembre 2026": None, "0000-01": None, "2026-08-01 00:00": None, "mayo-2026": date(2026, 5, 1),
-    "may-2026": date(2026, 5, 1), "29/02/2024": date(2024, 2, 1),
+    "2025-03-31": MARCH, "2025-3-9": MARCH, "2025/3": MARCH, "2025-03": MARCH, "3/2025": MARCH, "03-2025": MARCH, "3 2025": MARCH,
+    "31/03/2025": MARCH, "1/3/2025": MARCH, "20253": MARCH, "202503": MARCH, " MARZO 2025 ": MARCH, "Mar-2025": MARCH, "mar/2025": MARCH,
+    "29/02/2024": date(2024, 2, 1), "set-2026": date(2026, 9, 1),
+    "": None, "pendiente": None, "00/2025": None, "2025-13": None, "29/02/2025": None, "0000-03": None, "mar2025": None,
+    "marz 2025": None, "setiembre 2026": None, "2025-03-01T00": None,
 }
 NUMBERS = {
     "10": 10.0, "12.5": 12.5, "-3": -3.0, " 7 ": 7.0, "1e3": 1000.0, ".5": 0.5, "5.": 5.0, "+4": 4.0,

@@ -1,37 +1,26 @@
-"""Row numbers of text files in file order, without reading them in one task."""
+"""Line numbers of text files in file order, without reading them in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 _BLOCK = ("_archivo", "_bloque")
-BROADCAST_TASKS = 20_000
 
 
-def with_source_row(scan: DataFrame, name: str, first: int = 2) -> DataFrame:
-    """Number the records of a file scan as they stand in the files, from ``first``.
+def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """value, _archivo, _fila: every line that is not blank, numbered from 1 within its file.
 
-    Several files count as one, in order of their names. A task reads the splits
-    packed into it one after the other, so within one split the generated ids are
-    consecutive; what is missing is the split's place. A first pass over the file
-    counts the records of each split (one small row per split), and their running
-    sum is each split's offset.
+    A task reads the splits packed into it one after the other, so within one split
+    the generated ids are consecutive; what is missing is the split's place. A first
+    pass counts the lines of each split (one small row per split), and their running
+    sum within the file is each split's offset.
     """
-    numbered = scan.select(
-        *scan.columns,
-        F.monotonically_increasing_id().alias("_id"),
-        F.col("_metadata.file_path").alias("_archivo"),
-        F.col("_metadata.file_block_start").alias("_bloque"),
-    )
-    splits = numbered.groupBy(*_BLOCK).agg(
-        F.min("_id").alias("_primero"), F.count(F.lit(1)).alias("_n"))
-    # One row per input split: a list of splits is what the scan itself keeps on the driver.
-    in_order = Window.orderBy(*_BLOCK)
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_archivo"), F.col("_metadata.file_block_start").alias("_bloque"),
+    ).filter(F.trim("value") != "").withColumn("_id", F.monotonically_increasing_id())
+    splits = lines.groupBy(*_BLOCK).agg(F.min("_id").alias("_primero"), F.count(F.lit(1)).alias("_n"))
+    in_order = Window.partitionBy("_archivo").orderBy("_bloque")
     offsets = splits.select(
-        *_BLOCK, (F.sum("_n").over(in_order) - F.col("_n") - F.col("_primero")).alias("_desfase"))
-    # The number of scan tasks bounds the number of splits (a task packs at most a few
-    # dozen); past the limit the rows are shuffled by split, groups of one block each.
-    if scan.rdd.getNumPartitions() <= BROADCAST_TASKS:
-        offsets = F.broadcast(offsets)
-    return numbered.join(offsets, list(_BLOCK)).select(
-        *scan.columns, (F.col("_id") + F.col("_desfase") + first).alias(name))
+        *_BLOCK, (F.sum("_n").over(in_order) - F.col("_n") - F.col("_primero") + 1).alias("_desfase"))
+    return lines.join(offsets, list(_BLOCK)).select(
+        "value", "_archivo", (F.col("_id") + F.col("_desfase")).alias("_fila"))

@@ -1,16 +1,25 @@
-"""The incoming billing file: everything is text until the rules have seen it."""
+"""The incoming billing files: everything is text until the rules have seen it.
+
+Files are read as lines. Each file has its own header, so files with other column
+orders can arrive together; fields are matched by name. A line with more fields
+than its header, or with an open quote (a field that goes on in the next line),
+makes the file unreadable and is named. Missing fields at the end are blank.
+"""
 
 from __future__ import annotations
 
+import csv
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from vigia.operators.ordinal import with_source_row
+from vigia.durable import remove
+from vigia.operators.ordinal import numbered_lines
 from vigia.schemas import BILLING_COLUMNS
 
-
 # A quote inside a quoted field is doubled; a backslash is an ordinary character.
 DIALECT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 # Written text keeps its outer blanks: people compare it with the file they sent.
@@ -18,72 +27,147 @@ AS_RECEIVED = {
     "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "",
     **DIALECT,
 }
+NO_RECORDS = "El archivo no tiene registros"
 
 
 class BillingFileError(ValueError):
     """The file cannot be validated at all."""
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the file; only its first record is read."""
+@dataclass(frozen=True)
+class BillingLines:
+    """Records of the readable files, and a problem for each of the others.
+
+    ``records``: archivo, fila_origen (the line; the header is line 1) and the four
+    columns as text, blanks kept as ``""``. ``problems``: archivo, problema.
+    """
+
+    records: DataFrame
+    problems: DataFrame
+
+
+def _names(header: str) -> list[str]:
+    fields = next(csv.reader([header.removeprefix("﻿")]), [])
+    return [name.strip().lower() for name in fields]
+
+
+def _fields(line: Column) -> Column:
+    """Number of fields of a line; commas inside quotes do not count."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def _open_quote(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def _parsed(lines: DataFrame, names: list[str]) -> DataFrame:
+    schema = ", ".join(f"_c{i} STRING" for i in range(len(names)))
+    row = F.from_csv("value", F.lit(schema), {**DIALECT, "mode": "PERMISSIVE"})
+    return lines.withColumn("_campos", row).select(
+        "archivo", "fila_origen",
+        *[F.coalesce(F.col("_campos").getField(f"_c{names.index(c)}"), F.lit("")).alias(c) for c in BILLING_COLUMNS])
+
+
+def read_billing_files(spark: SparkSession, paths: list[str], root: str | None = None) -> BillingLines:
+    """Read files of any number; ``archivo`` is the path below ``root`` or the last part of the path."""
+    lines = numbered_lines(spark, paths)
+    full = F.url_decode(F.replace("_archivo", F.lit("+"), F.lit("%2B")))
+    if root is None:
+        name = F.element_at(F.split(full, "/"), -1)
+    else:
+        name = F.substring_index(full, f"{root.rstrip('/').split(':')[-1].lstrip('/')}/", -1)
+    lines = lines.withColumns({"archivo": name, "fila_origen": F.col("_fila")})
+    header = lines.filter("_fila = 1").select("_archivo", F.col("value").alias("_encabezado"))
+    body = lines.filter("_fila > 1").join(header, "_archivo")
+    # One row per spelling of the header, however many files there are.
+    spellings = {h: _names(h) for (h,) in header.select("_encabezado").distinct().collect()}
+    good = {h: names for h, names in spellings.items() if set(BILLING_COLUMNS) <= set(names)}
+    wrong = [(h, f"Faltan columnas obligatorias: {[c for c in BILLING_COLUMNS if c not in names]}")
+             for h, names in spellings.items() if h not in good]
+    fields = reduce(
+        lambda made, item: made.when(F.col("_encabezado") == item[0], len(item[1])), spellings.items(),
+        F.when(F.lit(False), F.lit(0)))
+    damage = F.when(_open_quote(F.col("value")), "comillas sin cerrar").when(
+        _fields(F.col("value")) > fields, "más campos que el encabezado")
+    state = body.withColumn("_dano", damage).groupBy("archivo").agg(
+        F.min(F.when(F.col("_dano").isNotNull(), F.struct("fila_origen", "_dano"))).alias("_primero"))
+    files = lines.filter("_fila = 1").select("archivo", F.col("value").alias("_encabezado")).join(state, "archivo", "left")
+    has_rows = body.select("archivo").distinct().withColumn("_hay", F.lit(True))
+    missing = reduce(lambda made, item: made.when(F.col("_encabezado") == item[0], item[1]), wrong, F.when(F.lit(False), ""))
+    problem = F.coalesce(
+        missing, F.when(F.col("_hay").isNull(), NO_RECORDS),
+        F.when(F.col("_primero").isNotNull(), F.format_string(
+            "Fila %d: %s", F.col("_primero.fila_origen"), F.col("_primero._dano"))))
+    problems = files.join(has_rows, "archivo", "left").select("archivo", problem.alias("problema")).filter("problema IS NOT NULL")
+    parts = [_parsed(body.filter(F.col("_encabezado") == h), names) for h, names in good.items()]
+    empty = spark.createDataFrame([], ", ".join(["archivo STRING", "fila_origen BIGINT", *(f"{c} STRING" for c in BILLING_COLUMNS)]))
+    return BillingLines(reduce(DataFrame.unionByName, parts) if parts else empty, problems)
+
+
+def read_billing_file(spark: SparkSession, path: str) -> DataFrame:
+    """One load: a file or a folder of part files, which count as one file in name order.
+
+    Fails with the first problem of any part. Names are trimmed and lower-cased.
+    """
     try:
-        first = spark.read.options(header=False, **DIALECT).csv(path).head(1)
+        read = read_billing_files(spark, [path])
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"No existe el archivo {path}") from problem
         raise
-    if not first:
-        raise BillingFileError("El archivo no tiene registros")
-    return [name or "" for name in first[0]]
+    first = read.problems.filter(F.col("problema") != NO_RECORDS).orderBy("archivo").first()
+    if first is not None:
+        raise BillingFileError(f"{first.archivo}: {first.problema}")
+    if read.records.isEmpty():
+        raise BillingFileError(NO_RECORDS)
+    # Part files are one file: what they hold before, without their headers, is added. A row per part file.
+    sizes = read.records.groupBy("archivo").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select(
+        "archivo", (F.sum("_n").over(Window.orderBy("archivo")) - F.col("_n")).alias("_antes"))
+    return read.records.join(before, "archivo").select(
+        (F.col("fila_origen") + F.col("_antes")).alias("fila_origen"), *BILLING_COLUMNS)
 
 
-def read_billing_file(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text with blanks kept as ``""``, plus ``fila_origen``.
+# -- results of a load -----------------------------------------------------------
 
-    Names are trimmed and lower-cased. ``fila_origen`` is the line of the record,
-    the header being line 1; the part files of one load count as one file.
-    """
-    names = _header(spark, path)
-    clean = [name.removeprefix("\ufeff").strip().lower() for name in names]
-    missing = [name for name in BILLING_COLUMNS if name not in clean]
-    if missing:
-        raise BillingFileError(f"Faltan columnas obligatorias: {missing}")
-    schema = ", ".join(f"_c{i} STRING" for i in range(len(names)))
-    scan = spark.read.schema(schema).options(header=True, enforceSchema=True, **DIALECT).csv(path)
-    if scan.isEmpty():
-        raise BillingFileError("El archivo no tiene registros")
-    numbered = with_source_row(scan, "fila_origen")
-    return numbered.select(
-        "fila_origen",
-        *[
-            F.coalesce(f"_c{clean.index(name)}", F.lit("")).alias(name)
-            for name in BILLING_COLUMNS
-        ],
-    )
+VALID, REJECTED, SUMMARY, REPORT, UNREADABLE = (
+    "facturacion_validos", "facturacion_rechazados", "resumen_reglas", "reporte_calidad", "cargas_con_error")
+
+
+def clear_load(spark: SparkSession, folder: str, load_date: date, name: str) -> None:
+    """Remove what an earlier run of the same load left, also where the new run leaves nothing."""
+    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{}[]^" else c for c in name)
+    for table in (VALID, REJECTED, SUMMARY, REPORT, UNREADABLE):
+        remove(spark, f"{folder}/{table}/carga={load_date}/origen={escaped}")
+
+
+def _per_load(frame: DataFrame):
+    """Results stand side by side by load date and file, in folders named ``carga`` and ``origen``."""
+    return (
+        frame.withColumns({"carga": F.col("fecha_carga"), "origen": F.col("archivo")})
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("carga", "origen"))
 
 
 def write_valid(valid: DataFrame, folder: str) -> None:
-    valid.write.mode("overwrite").parquet(f"{folder}/facturacion_validos")
+    _per_load(valid).parquet(f"{folder}/{VALID}")
 
 
 def write_rejected(rejected: DataFrame, folder: str) -> None:
     """CSV with a header, for people to review and correct at the source."""
-    rejected.write.mode("overwrite").options(**AS_RECEIVED).csv(f"{folder}/facturacion_rechazados")
+    _per_load(rejected).options(**AS_RECEIVED).csv(f"{folder}/{REJECTED}")
 
 
 def write_rule_summary(summary: DataFrame, folder: str) -> None:
-    summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/resumen_reglas")
+    _per_load(summary).option("header", True).csv(f"{folder}/{SUMMARY}")
 
 
 def write_report(report: DataFrame, folder: str) -> None:
-    """Reports accumulate by load date and file, one nested JSON document per load."""
-    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("fecha_carga", "archivo").json(f"{folder}/reporte_calidad"))
+    """One nested JSON document per load, with its date and file."""
+    _per_load(report).json(f"{folder}/{REPORT}")
 
 
-def write_unreadable(spark: SparkSession, name: str, load_date: date, problem: str, folder: str) -> None:
-    """Record a file that could not be validated at all."""
-    row = spark.range(1).select(
-        F.lit(load_date).alias("fecha_carga"), F.lit(name).alias("archivo"), F.lit(problem).alias("error"))
-    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("fecha_carga", "archivo").json(f"{folder}/cargas_con_error"))
+def write_unreadable(problems: DataFrame, load_date: date, folder: str) -> None:
+    """Record the files that could not be validated at all."""
+    rows = problems.select(F.lit(load_date).alias("fecha_carga"), "archivo", F.col("problema").alias("error"))
+    _per_load(rows).json(f"{folder}/{UNREADABLE}")

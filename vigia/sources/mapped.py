@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigia.functions.dates import day, month_of
+from vigia.functions.text import MONTH_NAMES
 from vigia.schemas import MONEY
 from vigia.sources.star import StarTables
 
@@ -136,80 +137,59 @@ class MappedTables:
         )
         return broken.unionByName(broken.filter(key % 101 == 0))
 
-    def raw_billing(self, first: date, until: date) -> DataFrame:
-        """Billing of the months ``first`` to before ``until`` as untidy text with seeded defects.
+    def raw_billing(self) -> DataFrame:
+        """All billing as untidy text: every spelling the readers accept and a breach of every rule.
 
-        ``fila_origen`` is client · 1000 + month · 10 + copy: it keeps the order of a
-        file sorted by client, month and copy without sorting.
+        ``fila_origen`` is client · 100000 + month · 10 + copy: it keeps the order of a
+        file sorted by client, month and copy without sorting. The months count from 1990.
         """
-        billing = self.facturacion(first, until)
-        client = F.substr("id_cliente", F.lit(5)).cast("bigint")
-        month = F.month("periodo")
-        base = billing.select(
-            client.alias("n"), month.alias("m"), "periodo",
-            F.col("trabajadores_activos").alias("t"), F.col("valor_contrato").alias("v"), "id_cliente",
-        )
-        copies = base.withColumn(
-            "copia",
-            F.explode(
-                F.when((F.col("n") * 23 + F.col("m")) % 50 == 0, F.array(F.lit(0), F.lit(1)))
-                .when((F.col("n") * 23 + F.col("m")) % 50 == 1, F.array(F.lit(0), F.lit(2)))
-                .otherwise(F.array(F.lit(0)))
-            ),
-        )
-        a = (F.col("n") * 7 + F.col("m")) % 100
-        b = (F.col("n") * 13 + F.col("m")) % 100
-        c = (F.col("n") * 17 + F.col("m")) % 100
-        d = (F.col("n") * 19 + F.col("m")) % 100
-        text_id = (
-            F.when(a < 3, F.concat(F.lit("cli-"), F.format_string("%04d", F.col("n"))))
-            .when(a < 6, F.concat(F.lit("CLI"), F.format_string("%04d", F.col("n"))))
-            .when(a < 9, F.concat(F.lit("CLI-"), F.col("n").cast("string")))
-            .when(a < 12, F.concat(F.lit(" "), F.col("id_cliente"), F.lit(" ")))
-            .when(a < 15, F.col("n").cast("string"))
-            .when(a == 15, F.lit("CL1-00A2"))
-            .when(a == 16, F.lit(""))
-            .otherwise(F.col("id_cliente"))
-        )
-        short = F.element_at(
-            F.array(*[F.lit(x) for x in
-                      "ene feb mar abr may jun jul ago sep oct nov dic".split()]), F.col("m"))
-        full = F.element_at(
-            F.array(*[F.lit(x) for x in
-                      ("Enero Febrero Marzo Abril Mayo Junio Julio Agosto "
-                       "Septiembre Octubre Noviembre Diciembre").split()]), F.col("m"))
         p = F.col("periodo")
-        text_period = (
-            F.when(b < 3, F.date_format(p, "yyyy-MM"))
-            .when(b < 6, F.date_format(p, "MM/yyyy"))
-            .when(b < 9, F.date_format(p, "yyyy/MM"))
-            .when(b < 12, F.date_format(p, "dd/MM/yyyy"))
-            .when(b < 14, F.date_format(p, "yyyyMM"))
-            .when(b < 17, F.concat(short, F.lit("-"), F.year(p).cast("string")))
-            .when(b < 20, F.concat(full, F.lit(" "), F.year(p).cast("string")))
-            .when(b == 20, F.lit("13/2026"))
-            .when(b == 21, F.lit(""))
-            .when(b == 22, F.date_format(F.add_months(p, 1), "yyyy-MM-dd"))
-            .when(b == 23, F.date_format(F.add_months(p, -5), "yyyy-MM-dd"))
-            .otherwise(F.date_format(p, "yyyy-MM-dd"))
-        )
-        text_workers = (
-            F.when(c == 0, F.lit("")).when(c == 1, F.lit("-3")).when(c == 2, F.lit("12.5"))
-            .when(c == 3, F.lit("doce")).when(c == 4, F.lit("0"))
-            .otherwise(F.col("t").cast("string"))
-        )
-        amount = F.when(F.col("copia") == 2, F.col("v") * F.lit(1.1).cast("decimal(2,1)")).otherwise(F.col("v"))
-        plain = amount.cast(MONEY).cast("string")
-        text_value = (
-            F.when(d == 0, F.lit("")).when(d == 1, F.concat(F.lit("-"), plain))
-            .when(d == 2, F.lit("$ 1.200.000")).when(d == 3, F.lit("6000000000"))
-            .otherwise(plain)
-        )
+        month = (F.year(p) - 1990) * 12 + F.month(p)
+        rows = self.facturacion().select(
+            "id_cliente", p, F.substr("id_cliente", F.lit(5)).cast("bigint").alias("n"), month.alias("m"),
+            F.col("trabajadores_activos").cast("string").alias("t"), F.col("valor_contrato").alias("v"))
+        n, m, t = F.col("n"), F.col("m"), F.col("t")
+        draw = (23 * n + m) % 50
+        # A second line that repeats the first, or contradicts it.
+        second = F.when(draw == 7, F.array(F.lit(0), F.lit(1))).when(draw == 31, F.array(F.lit(0), F.lit(2)))
+        copies = rows.withColumn("copia", F.explode(F.coalesce(second, F.array(F.lit(0)))))
+        amount = F.when(F.col("copia") == 2, F.col("v") + 1).otherwise(F.col("v")).cast(MONEY).cast("string")
+        code = F.col("id_cliente")
+        spelled = {
+            "id_cliente": _drawn((7 * n + m) % 40, code, [
+                F.lit(""), F.concat(F.lit("CLX-"), n.cast("string")), F.lower(code), F.replace(code, F.lit("-"), F.lit("_")),
+                F.concat(F.lit("\t"), code, F.lit(" ")), n.cast("string"), F.concat(F.lit("cli "), F.lpad(n.cast("string"), 6, "0"))]),
+            "periodo": _drawn((13 * n + m) % 40, F.date_format(p, "yyyy-MM-dd"), [
+                F.lit(""), F.concat(F.lit("30/02/"), F.year(p).cast("string")), F.date_format(F.add_months(p, 1), "yyyy-MM-dd"),
+                F.date_format(F.add_months(p, -4), "yyyy/MM"), *[F.date_format(p, f) for f in PERIOD_FORMATS],
+                _named_month(p, n, " "), _named_month(p, n, "-"), F.upper(_named_month(p, n + 1, "/"))]),
+            "trabajadores_activos": _drawn((17 * n + m) % 60, t, [
+                F.lit(""), F.lit("muchos"), F.concat(t, F.lit(".5")), F.concat(F.lit("-"), t), F.lit("0"), F.lit("50001"),
+                F.concat(t, F.lit(".0"))]),
+            "valor_contrato": _drawn((19 * n + m) % 60, amount, [
+                F.lit(""), F.concat(F.lit("COP "), amount), F.concat(F.lit("-"), amount), F.lit("5000000000.5"), F.lit("2.5e3")]),
+        }
         return copies.select(
-            (F.col("n") * 1000 + F.col("m") * 10 + F.col("copia")).alias("fila_origen"),
-            text_id.alias("id_cliente"), text_period.alias("periodo"),
-            text_workers.alias("trabajadores_activos"), text_value.alias("valor_contrato"),
-        )
+            (n * 100_000 + m * 10 + F.col("copia")).alias("fila_origen"),
+            *[column.alias(name) for name, column in spelled.items()])
+
+
+#: Spellings of a month besides the names, one for each shape the reader knows.
+PERIOD_FORMATS = ("yyyy-MM", "M/yyyy", "MM-yyyy", "dd/MM/yyyy", "d/M/yyyy", "yyyyMM", "MM yyyy")
+
+
+def _drawn(number: Column, usual: Column, others: list[Column]) -> Column:
+    """The variant with the drawn number, or the usual text."""
+    chosen = F.when(number == 0, others[0])
+    for i, other in enumerate(others[1:], start=1):
+        chosen = chosen.when(number == i, other)
+    return chosen.otherwise(usual)
+
+
+def _named_month(month: Column, turn: Column, between: str) -> Column:
+    """The month by one of its names, in turn, and the year."""
+    names = F.element_at(F.array(*[F.array(*map(F.lit, group)) for group in MONTH_NAMES]), F.month(month))
+    return F.concat(F.get(names, (turn % F.size(names)).cast("int")), F.lit(between), F.year(month).cast("string"))
 
 
 class MappedStar(StarTables):

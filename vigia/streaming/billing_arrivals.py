@@ -2,7 +2,8 @@
 
 Uniqueness is judged within a file, so no state crosses files, and late or future
 months are rejected with a reason by the rules instead of being dropped by a
-watermark. The stream only tracks which files are new; every file is one load.
+watermark. The stream only tracks which files are new. All new files of a trigger
+are validated together, each as a load of its own.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vigia.business import BillingLimits
-from vigia.plans.billing_quality import validate_billing
-from vigia.sources.billing_file import BillingFileError, write_unreadable
+from vigia.durable import stored
+from vigia.plans.billing_quality import validate_loads
+from vigia.sources.billing_file import read_billing_files, write_unreadable
 
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -27,26 +29,29 @@ def validate_arrivals(
     load_date: date | None = None,
     limits: BillingLimits = BillingLimits(),
 ) -> StreamingQuery:
-    """Validate every file not seen before, one per micro-batch, and stop when none is left.
+    """Validate every file not seen before and stop when none is left.
 
-    Results of a file go to ``output/<file name>``; a batch that runs again after a
-    failure replaces them. A file that cannot be read is recorded and the next one follows.
+    Results stand side by side by load date and file (the path below ``incoming``); a
+    batch that runs again after a failure replaces its own. Files that cannot be read
+    are recorded. The load date is fixed when the stream starts, so a batch that is
+    repeated later is judged by the same date.
     """
+    day = load_date or date.today()
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        # maxFilesPerTrigger is 1: a single path comes to the driver.
-        for row in batch.collect():
-            name = row.path.rsplit("/", 1)[-1]
-            day = load_date or date.today()
-            try:
-                validate_billing(batch.sparkSession, row.path, day, f"{output}/{name}", limits)
-            except BillingFileError as problem:
-                write_unreadable(batch.sparkSession, name, day, str(problem), output)
+        # The paths of a trigger are what the file source itself lists on the driver.
+        paths = sorted(row.path for row in batch.collect())
+        if not paths:
+            return
+        read = read_billing_files(batch.sparkSession, paths, incoming)
+        problems = stored(read.problems, "cargas-ilegibles")
+        write_unreadable(problems, day, output)
+        validate_loads(read.records.join(problems, "archivo", "left_anti"), day, output, limits)
 
     # The content column is not selected, so files are listed and not read here.
     arrivals = (
         spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-        .option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
         .load(incoming).select("path")
     )
     return (
