@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from catalog import settings as S
 from vigia import business as B
 from vigia.calendar import DailyCutoff, MonthWindow, month_start, shift_months
-from vigia.durable import durable, scratch_path
+from vigia.durable import scratch_path, stored
 from vigia.functions.status import traffic_light
 from vigia.operators.cardinality import key_summary
 from vigia.plans import (
     billing_quality as bq, client_risk, controls, portfolio, priority, publish, segments, snapshot,
     worklists)
-from vigia.operators.ranking import percent_ranks
+from vigia.operators.ranking import dense_rank_desc, percent_ranks
 from vigia.sources.billing_file import AS_RECEIVED, read_billing_file
 from vigia.sources.mapped import MappedTables
 from vigia.sources.snapshots import SnapshotStore
-from vigia.sources.star import Star
+from vigia.sources.star import Star, read_star, targets_from_table, write_star
 from vigia.streaming.billing_arrivals import validate_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,17 @@ def w04(spark, folder):
     return percent_ranks(cases, {"costo": "p_costo", "dias_ausencia": "p_dias"}).drop("costo")
 
 
+@query("w01_rank_missing_groups")
+def w01(spark, folder):
+    """Ranks within a group that may be missing, over integers that doubles cannot tell apart."""
+    key = F.col("o_orderkey")
+    orders = MappedTables(spark, folder).raw("orders").select(
+        "o_orderkey", F.when(key % 5 != 0, key % 5).alias("grupo"),
+        F.when(key % 11 != 0, F.lit(9007199254740992) + key % 1000).alias("valor"))
+    ranked = percent_ranks(dense_rank_desc(orders, "grupo", "valor", "rango"), {"valor": "p_valor", "grupo": "p_grupo"})
+    return ranked.select("o_orderkey", "rango", "p_valor", "p_grupo")
+
+
 # -- daily snapshot ------------------------------------------------------------
 
 
@@ -160,7 +171,7 @@ def _controls(spark, folder, casos):
     staged = _snapshot(day.day)(spark, folder)
     before = _snapshot(day.previous_day)(spark, folder)
     # A stored snapshot is read by several aggregates; here it is computed once for them.
-    return controls.quality_controls(durable(staged), durable(before), casos, t.clientes(), day)
+    return controls.quality_controls(stored(staged, "hoy"), stored(before, "ayer"), casos, t.clientes(), day)
 
 
 @query("p09_quality_controls")
@@ -173,36 +184,46 @@ def p09_defects(spark, folder):
     return _controls(spark, folder, MappedTables(spark, folder).defective_casos(S.CUTOFF.day))
 
 
-PUBLISHED_DAYS = (date(2001, 6, 1), date(2001, 6, 2))
+PUBLISHED_DAYS = (date(2001, 6, 1), date(2001, 6, 2), date(2001, 6, 3))
 
 
-def _publish_days(spark, folder) -> SnapshotStore:
-    """Two days in a row through stage, audit and gate, in a fresh store."""
+def _publish_days(spark, folder) -> tuple[SnapshotStore, list[publish.PublishResult]]:
+    """Three days in a row through stage, audit and gate, in a fresh store; the last one audits damaged cases."""
     t = MappedTables(spark, folder)
-    store = SnapshotStore.open(spark, scratch_path(spark, "tablero"))
+    store, results = SnapshotStore.open(spark, scratch_path(spark, "tablero")), []
     for day in PUBLISHED_DAYS:
         cutoff = DailyCutoff(day)
-        after = day + timedelta(days=1)
-        star = Star(t.clientes(), t.casos(until=after), *_snapshot_tables(spark, folder, cutoff)[2:4])
-        publish.write_audit_publish(star, cutoff, store)
-    return store
+        casos = t.defective_casos(day) if day == PUBLISHED_DAYS[-1] else t.casos()
+        star = Star(t.clientes(), casos, *_snapshot_tables(spark, folder, cutoff)[2:4])
+        results.append(publish.write_audit_publish(star, cutoff, store))
+    return store, results
 
 
 @query("p10_write_audit_publish")
 def p10(spark, folder):
-    return _publish_days(spark, folder).published()
+    return _publish_days(spark, folder)[0].published()
+
+
+@query("p10_publication_notice")
+def p10_notice(spark, folder):
+    """Per day whether it was published, what failed, what is warned of and which day is served."""
+    _, results = _publish_days(spark, folder)
+    return spark.createDataFrame(
+        [(day, r.published, ",".join(r.failed), ",".join(r.warnings), r.served)
+         for day, r in zip(PUBLISHED_DAYS, results, strict=True)],
+        "fecha_corte DATE, publicado BOOLEAN, fallas STRING, avisos STRING, dia_servido DATE")
 
 
 @query("p11_control_history")
 def p11(spark, folder):
-    return controls.control_history(_publish_days(spark, folder).history())
+    return controls.control_history(_publish_days(spark, folder)[0].history())
 
 
 # -- billing file --------------------------------------------------------------
 
 
 def _raw(spark, folder) -> DataFrame:
-    return MappedTables(spark, folder).raw_billing(S.MONTH, shift_months(S.MONTH, 2))
+    return MappedTables(spark, folder).raw_billing()
 
 
 def _judged(spark, folder, load_date=S.LOAD_DATE) -> DataFrame:
@@ -286,14 +307,14 @@ def t01(spark, folder):
     """The billing text arriving as files, each validated by the stream; failures per rule over all."""
     incoming, output = scratch_path(spark, "entrada"), scratch_path(spark, "llegadas")
     # All lines of a client stay in one file and in order, so uniqueness per file is uniqueness overall.
-    client = F.floor(F.col("fila_origen") / 1000)
+    client = F.floor(F.col("fila_origen") / 100_000)
     (_raw(spark, folder).repartition(client).sortWithinPartitions("fila_origen").drop("fila_origen")
      .write.options(**AS_RECEIVED).csv(incoming))
     stream = validate_arrivals(spark, incoming, output, scratch_path(spark, "estado"), S.LOAD_DATE)
     stream.awaitTermination()
     summaries = spark.read.schema(
-        "regla STRING, dimension STRING, descripcion STRING, filas BIGINT"
-    ).option("header", True).csv(f"{output}/*/resumen_reglas")
+        "fecha_carga DATE, archivo STRING, regla STRING, dimension STRING, descripcion STRING, filas BIGINT"
+    ).option("header", True).csv(f"{output}/resumen_reglas/*/*")
     return summaries.groupBy("regla", "dimension", "descripcion").agg(F.sum("filas").alias("filas"))
 
 
@@ -309,20 +330,10 @@ def _history(spark, folder):
     return MappedTables(spark, folder).star(HISTORY.start, HISTORY.end)
 
 
-def _star_sizes(star) -> DataFrame:
-    parts = [
-        frame.agg(
-            F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"),
-            F.count_distinct("id_cliente").alias("clientes"))
-        for name, frame in star.tables().items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-
-
 @query("p21_filter_portfolio")
 def p21(spark, folder):
     star = MappedTables(spark, folder).star()
-    return _star_sizes(portfolio.filter_portfolio(star, S.COORDINATOR, S.SECTORS, S.CLASSES))
+    return portfolio.portfolio_sizes(portfolio.filter_portfolio(star, S.COORDINATOR, S.SECTORS, S.CLASSES))
 
 
 @query("p47_assigned_portfolio")
@@ -330,7 +341,7 @@ def p47(spark, folder):
     star = MappedTables(spark, folder).star()
     assignments = star.clientes.select(
         F.concat(F.lit("usuario "), F.col("clase_riesgo").cast("string")).alias("usuario"), "id_cliente")
-    return _star_sizes(portfolio.assigned_portfolio(star, assignments, S.USER))
+    return portfolio.portfolio_sizes(portfolio.assigned_portfolio(star, assignments, S.USER))
 
 
 @query("p22_traffic_light")
@@ -545,3 +556,44 @@ def j07(spark, folder):
         key_summary(star.facturacion, "facturacion", ["id_cliente", "periodo"]),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# -- missing attributes, target table, warehouse ----------------------------------
+
+
+def _with_gaps(star) -> Star:
+    """Clients of two segments have no sector, and some no coordinator."""
+    clients = star.clientes.withColumns({
+        "sector": F.when(~F.col("sector").isin("FURNITURE", "AUTOMOBILE"), F.col("sector")),
+        "coordinador": F.when(F.col("coordinador") != "NATION_3", F.col("coordinador")),
+    })
+    return Star(clients, star.casos, star.facturacion, star.prevencion)
+
+
+@query("p23_monthly_series_missing_sector")
+def p23_gaps(spark, folder):
+    return portfolio.monthly_series(_with_gaps(_history(spark, folder)), S.MONTH, ["sector"])
+
+
+@query("p29_rate_vs_target_missing_groups")
+def p29_gaps(spark, folder):
+    return segments.rate_vs_target(
+        _with_gaps(_year_star(spark, folder)), YEAR.start, S.MONTH, ["sector", "coordinador"])
+
+
+@query("s14_targets_table")
+def s14(spark, folder):
+    """Targets from a stored table that leaves a class out and names one without clients."""
+    path = scratch_path(spark, "metas")
+    spark.createDataFrame(S.STORED_TARGETS, "clase_riesgo INT, meta_tasa DECIMAL(9,4)").write.parquet(path)
+    targets = targets_from_table(spark.read.parquet(path))
+    return segments.rate_vs_target(_year_star(spark, folder), YEAR.start, S.MONTH, ["clase_riesgo"], targets)
+
+
+@query("s09_star_round_trip")
+def s09(spark, folder):
+    """The star written to the warehouse and read back."""
+    path = scratch_path(spark, "estrella")
+    write_star(_year_star(spark, folder), path)
+    return segments.rate_vs_target(
+        read_star(spark, path), YEAR.start, S.MONTH, ["coordinador", "clase_riesgo"])

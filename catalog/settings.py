@@ -28,3 +28,6 @@ NEAR_TARGETS = replace(
     cost_per_worker=Decimal("2640"),
     coverage=0.15,
 )
+
+# Targets as a business table: class 5 has none, class 6 has no clients.
+STORED_TARGETS = [(1, Decimal("0.2")), (2, Decimal("0.31")), (3, Decimal("0.7")), (4, Decimal("1.1")), (6, Decimal("2"))]

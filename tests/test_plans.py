@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Results of one row, or of a fixed number of rows, end in one task; so does a final top-n.
@@ -18,8 +18,6 @@ SMALL = {
     "p37_support_metrics", "p38_key_message_facts", "p39_trend_12m", "p40_top_clients", "p07_priority_top",
     "j07_cardinality", "s04_source_row", "p45_filter_facets",
 }
-# Under RankLimits.window_rows a single task ranks faster; tests/test_ranking.py covers the other way.
-RANKED = {"p05_priority_score", "p06_main_reason", "w04_percent_rank"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +26,7 @@ def plans(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield {
         name: job(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-        for name, job in entry.queries().items()
+        for name, job in QUERIES.items()
         if name not in {
             "p10_write_audit_publish", "p11_control_history", "p20_validate_billing", "t01_billing_arrivals"}
     }
@@ -47,10 +45,16 @@ def test_no_python_in_the_plans(plans):
 
 def test_large_results_do_not_pass_through_one_task(plans):
     for name, plan in plans.items():
-        if name not in SMALL | RANKED:
+        if name not in SMALL:
             assert "SinglePartition" not in plan, name
 
 
+def test_ranks_do_not_partition_by_the_ranked_group(plans):
+    for name in ("p01_client_risk_cost", "p02_client_risk_cost_legacy", "p05_priority_score", "w04_percent_rank"):
+        assert not re.search(r"hashpartitioning\(clase_riesgo#\d+, \d+\)", plans[name]), name
+        assert "Window" not in plans[name], name
+
+
 def test_one_shuffle_per_source(plans):
     """Facts meet the clients on the shuffle of their own aggregation."""
     by_client = re.findall(r"Exchange hashpartitioning\(id_cliente#\d+, \d+\)", plans["p04_priority_metrics"])

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from vigia import schemas
 from vigia.business import Targets
 from vigia.calendar import shift_months
 from vigia.functions.status import suggested_action, traffic_light, whole_percent
@@ -85,8 +86,8 @@ def test_client_series_agrees_with_the_grouped_one(star):
     a = {(names[k[0]], k[1]): tuple(r)[1:] for k, r in by_month(single, "id_cliente").items()}
     b = {k: tuple(r)[1:] for k, r in by_month(joined, "nombre").items()}
     assert len(a) == 4 * 24 and a == b
-    with pytest.raises(ValueError):
-        portfolio.monthly_series(star, MONTH, ["sector", "id_cliente"])
+    both = portfolio.monthly_series(star, MONTH, ["id_cliente", "sector"])
+    assert both.drop("sector").exceptAll(single).isEmpty() and both.count() == single.count()
 
 
 def test_groups_add_up_to_known_clients(star):
@@ -282,3 +283,26 @@ def test_facets(star):
         values.setdefault(r.faceta, set()).add(r.valor)
     assert values == {"periodo": {"2026-09-01", "2026-08-01"}, "sector": {"Minería", "Comercio", "Salud"},
                       "coordinador": {"Ana", "Luz"}}
+
+
+def test_missing_attributes_are_groups(spark):
+    """A client without coordinator keeps its workers, cases and rate together."""
+    clients = spark.createDataFrame(
+        [("CLI-0001", "a", None, 4, None, "activo"), ("CLI-0002", "b", "X", 1, "c", "activo")], schemas.CLIENTES)
+    cases = spark.createDataFrame(
+        [(n, "CLI-0001", MONTH, "leve", 1, Decimal(5), MONTH, "abierto") for n in range(9)], schemas.CASOS)
+    billed = spark.createDataFrame([("CLI-0001", MONTH, 10, Decimal(1)), ("CLI-0002", MONTH, 5, Decimal(1))], schemas.FACTURACION)
+    own = Star(clients, cases, billed, spark.createDataFrame([], schemas.PREVENCION))
+    rates = {r.coordinador: (r.trabajadores, r.casos, r.tasa, r.estado) for r in segments.rate_vs_target(own, MONTH, MONTH, ["coordinador"]).collect()}
+    assert rates == {None: (10, 9, 90.0, "rojo"), "c": (5, 0, 0.0, "verde")}
+    series = {r.sector: (r.casos, r.trabajadores, r.clientes_riesgo_alto) for r in portfolio.monthly_series(own, MONTH, ["sector"]).filter(F.col("periodo") == MONTH).collect()}
+    assert series == {None: (9, 10, 1), "X": (0, 5, 0)}
+
+
+def test_target_table_takes_any_class_and_no_class_twice(spark):
+    schema = "clase_riesgo INT, meta_tasa DECIMAL(9,4)"
+    table = spark.createDataFrame([(1, Decimal("0.2")), (6, Decimal("3"))], schema)
+    assert targets_from_table(table).rate_by_class == {1: Decimal("0.2000"), 6: Decimal("3.0000")}
+    for row, problem in (((6, Decimal("4")), "repetida.*6"), ((7, None), "sin meta.*7")):
+        with pytest.raises(ValueError, match=problem):
+            targets_from_table(table.union(spark.createDataFrame([row], schema)))

@@ -134,10 +134,10 @@ def quality_controls(
     )
 
 
-def blocking_failures(controls: DataFrame) -> list[str]:
-    """Codes that forbid publication; at most one row per control comes to the driver."""
-    failed = controls.filter((F.col("severidad") == BLOCKING) & (F.col("resultado") == FAIL))
-    return [row.control for row in failed.select("control").collect()]
+def failures(controls: DataFrame) -> tuple[list[str], list[str]]:
+    """Codes that forbid publication and codes to warn of; at most one row per control comes to the driver."""
+    rows = controls.filter(F.col("resultado") == FAIL).select("control", "severidad").orderBy("control").collect()
+    return [r.control for r in rows if r.severidad == BLOCKING], [r.control for r in rows if r.severidad != BLOCKING]
 
 
 def control_history(history: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -21,7 +22,7 @@ from vigia.functions.targets import class_target, expected_cases
 from vigia.operators.cardinality import one_per_key
 from vigia.operators.spine import entity_months
 from vigia.operators.streaks import streaks
-from vigia.sources.star import Star, StarTables
+from vigia.sources.star import StarTables
 
 SERIES = (
     "periodo", "casos", "graves", "dias_ausencia", "costo", "trabajadores", "casos_meta", "tasa",
@@ -36,7 +37,7 @@ def filter_portfolio(
     sectors: Sequence[str] | None = None,
     classes: Sequence[int] | None = None,
     active_only: bool = False,
-) -> Star:
+) -> StarTables:
     """The star of the chosen clients; ``None`` leaves a filter out."""
     clients = star.clientes
     if sectors is not None:
@@ -50,12 +51,27 @@ def filter_portfolio(
     return star.with_clients(clients)
 
 
-def assigned_portfolio(star: StarTables, assignments: DataFrame, user: str) -> Star:
+def assigned_portfolio(star: StarTables, assignments: DataFrame, user: str) -> StarTables:
     """The star of the clients assigned to a user (``usuario``, ``id_cliente``)."""
     own = assignments.filter(F.col("usuario") == user).select("id_cliente")
     return star.with_clients(star.clientes.join(own, "id_cliente", "left_semi"))
 
 
+def portfolio_sizes(star: StarTables) -> DataFrame:
+    """Rows and clients of the four tables; facts are counted per client before they meet the choice of clients."""
+    ids = star.clientes.select("id_cliente")
+    parts = [ids.groupBy("id_cliente").agg(F.count(F.lit(1)).alias("_n")).select(F.lit("clientes").alias("tabla"), "_n")]
+    for name in ("facturacion", "casos", "prevencion"):
+        per_client = star.fact(name).groupBy("id_cliente").agg(F.count(F.lit(1)).alias("_n"))
+        if star.restricted:
+            per_client = per_client.join(ids, "id_cliente", "left_semi")
+        parts.append(per_client.select(F.lit(name).alias("tabla"), "_n"))
+    names = F.array(*[F.lit(n) for n in ("clientes", "facturacion", "casos", "prevencion")])
+    parts.append(ids.sparkSession.range(1).select(F.explode(names).alias("tabla"), F.lit(0).cast("bigint").alias("_n")))
+    return reduce(DataFrame.unionByName, parts).groupBy("tabla").agg(
+        F.sum("_n").alias("filas"), F.count_if(F.col("_n") > 0).alias("clientes"))
+
+
 CASE_MEASURES = ("casos", "graves", "dias_ausencia", "costo")
 
 
@@ -65,18 +81,18 @@ def _in_window(frame: DataFrame, window: MonthWindow) -> DataFrame:
 
 def _cases_by_month(star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow) -> DataFrame:
     """Case measures per group and month; cases go to one row per client and month before any join."""
-    facts = _in_window(star.casos, window)
+    facts = _in_window(star.fact("casos"), window)
     measures = [
         F.count("id_caso").alias("casos"),
         F.count_if(F.col("tipo") == B.SERIOUS).alias("graves"),
         F.sum("dias_ausencia").alias("dias_ausencia"),
         F.sum("costo").alias("costo"),
     ]
-    if not by:
+    if not by and not star.restricted:
         return facts.groupBy("periodo").agg(*measures)
+    per_client = facts.groupBy("id_cliente", "periodo").agg(*measures)
     return (
-        facts.groupBy("id_cliente", "periodo").agg(*measures)
-        .join(clients.select("id_cliente", *by), "id_cliente")
+        per_client.join(clients.select("id_cliente", *by), "id_cliente", "inner" if by else "left_semi")
         .groupBy(*by, "periodo").agg(*[F.sum(c).alias(c) for c in CASE_MEASURES])
     )
 
@@ -85,7 +101,7 @@ def _workers_by_month(
     star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
 ) -> DataFrame:
     # One row per client and month whatever the table holds: no client can crowd the join.
-    billed = _in_window(star.facturacion, window).groupBy("id_cliente", "periodo").agg(
+    billed = _in_window(star.fact("facturacion"), window).groupBy("id_cliente", "periodo").agg(
         F.sum("trabajadores_activos").alias("_n"))
     return (
         billed.join(one_per_key(clients, "id_cliente"), "id_cliente")
@@ -100,26 +116,28 @@ def _workers_by_month(
 def _group_months(
     star: StarTables, clients: DataFrame, by: list[str], window: MonthWindow, targets: B.Targets
 ) -> DataFrame:
-    """Months of groups larger than a client: one aggregate per fact, joined at group and month."""
-    keys = [*by, "periodo"]
+    """Months of groups larger than a client: one aggregate per fact, stacked and summed.
+
+    Nothing is joined at the group, so a missing sector is a group like any other.
+    """
     # Today's high-risk list is the denominator of every month.
     exposed = clients.filter(high_risk(F.col("clase_riesgo")))
     visited = (
-        _in_window(star.prevencion, window).select("id_cliente", "periodo").distinct()
+        _in_window(star.fact("prevencion"), window).select("id_cliente", "periodo").distinct()
         .join(exposed.select("id_cliente", *by), "id_cliente", "inner" if by else "left_semi")
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("riesgo_alto_con_prevencion"))
-    )
-    counted = exposed.groupBy(*by).agg(F.count(F.lit(1)).alias("clientes_riesgo_alto"))
-    if by:
-        axis = entity_months(clients.select(*by).distinct(), window).join(counted, by, "left")
-    else:
-        # A count without groups is one row even when there is nothing to count.
-        axis = entity_months(counted, window)
-    return (
-        axis.join(_cases_by_month(star, clients, by, window), keys, "left")
-        .join(_workers_by_month(star, clients, by, window, targets), keys, "left")
-        .join(visited, keys, "left")
+        .groupBy(*by, "periodo").agg(F.count(F.lit(1)).alias("riesgo_alto_con_prevencion"))
     )
+    # A count without groups is one row even when there is nothing to count.
+    counted = clients.groupBy(*by).agg(
+        F.count_if(high_risk(F.col("clase_riesgo"))).alias("clientes_riesgo_alto"), F.lit(True).alias("_eje"))
+    stacked = entity_months(counted, window)
+    for part in (
+        _cases_by_month(star, clients, by, window), _workers_by_month(star, clients, by, window, targets), visited
+    ):
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    sums = (*CASE_MEASURES, "trabajadores", "casos_meta", "clientes_riesgo_alto", "riesgo_alto_con_prevencion")
+    return stacked.groupBy(*by, "periodo").agg(
+        F.max("_eje").alias("_eje"), *[F.sum(c).alias(c) for c in sums]).filter("_eje")
 
 
 def _client_months(
@@ -131,12 +149,12 @@ def _client_months(
     Rows of clients outside the dimension have no axis row and drop out.
     """
     axis = entity_months(clients, window).withColumn("_eje", F.lit(1))
-    cases = _in_window(star.casos, window).select(
+    cases = _in_window(star.fact("casos"), window).select(
         "id_cliente", "periodo", F.when(F.col("id_caso").isNotNull(), 1).alias("casos"),
         F.when(F.col("tipo") == B.SERIOUS, 1).alias("graves"), "dias_ausencia", "costo")
-    billed = _in_window(star.facturacion, window).select(
+    billed = _in_window(star.fact("facturacion"), window).select(
         "id_cliente", "periodo", F.col("trabajadores_activos").alias("trabajadores"))
-    visits = _in_window(star.prevencion, window).select("id_cliente", "periodo", F.lit(1).alias("_visitas"))
+    visits = _in_window(star.fact("prevencion"), window).select("id_cliente", "periodo", F.lit(1).alias("_visitas"))
     stacked = axis
     for fact in (cases, billed, visits):
         stacked = stacked.unionByName(fact, allowMissingColumns=True)
@@ -173,8 +191,10 @@ def monthly_series(
     clients = star.clientes.select(*dict.fromkeys(["id_cliente", "clase_riesgo", *by]))
     if by == ["id_cliente"]:
         series = _client_months(star, clients, window, targets)
-    elif "id_cliente" in by:
-        raise ValueError("id_cliente already is the finest group: use it alone")
+    elif "id_cliente" in by:  # the client determines its other columns
+        others = [c for c in by if c not in ("id_cliente", "clase_riesgo")]
+        series = _client_months(star, clients.select("id_cliente", "clase_riesgo"), window, targets).join(
+            clients.select("id_cliente", *others), "id_cliente")
     else:
         series = _group_months(star, clients, by, window, targets)
     people = F.col("trabajadores").cast("double")

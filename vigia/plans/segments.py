@@ -36,23 +36,29 @@ def rate_vs_target(
     # Both facts shrink to the client (and month, if asked for) before they meet the clients.
     per_client = ["id_cliente", "periodo"] if "periodo" in by else ["id_cliente"]
     billed = (
-        star.facturacion.filter(months).groupBy(*per_client).agg(F.sum("trabajadores_activos").alias("_n"))
+        star.fact("facturacion").filter(months).groupBy(*per_client).agg(F.sum("trabajadores_activos").alias("_n"))
         .join(one_per_key(clients, "id_cliente"), "id_cliente")
         .groupBy(*by)
         .agg(
             F.sum("_n").alias("trabajadores"),
             expected_cases(F.col("_n"), F.col("clase_riesgo"), targets).alias("casos_meta"),
+            F.lit(True).alias("_facturado"),
         )
     )
     happened = (
-        star.casos.filter(months).groupBy(*per_client).agg(F.count(F.lit(1)).alias("_n"))
+        star.fact("casos").filter(months).groupBy(*per_client).agg(F.count(F.lit(1)).alias("_n"))
         .join(clients.select(*dict.fromkeys(["id_cliente", *own])), "id_cliente")
         .groupBy(*by).agg(F.sum("_n").alias("casos"))
     )
     people = F.col("trabajadores").cast("double")
+    # Stacked and summed instead of joined: a missing sector is a group like any other.
     rated = (
-        billed.join(happened, by, "left")
-        .withColumn("casos", F.coalesce("casos", F.lit(0)))
+        billed.unionByName(happened, allowMissingColumns=True).groupBy(*by)
+        .agg(
+            F.sum("trabajadores").alias("trabajadores"), F.sum("casos_meta").alias("casos_meta"),
+            F.coalesce(F.sum("casos"), F.lit(0)).alias("casos"), F.max("_facturado").alias("_facturado"),
+        )
+        .filter("_facturado")
         .withColumns(
             {
                 "tasa": ratio(F.col("casos"), people) * 100,
@@ -106,7 +112,7 @@ def persistent_red(by_month: DataFrame, month: date, months: int = 3) -> DataFra
 def case_distribution(star: StarTables, month: date) -> DataFrame:
     """Cases of the month by risk class and type; the five classes are always there."""
     per_client = (
-        star.casos.filter(F.col("periodo") == day(month))
+        star.fact("casos").filter(F.col("periodo") == day(month))
         .groupBy("id_cliente")
         .agg(
             F.count_if(F.col("tipo") == B.MILD).alias("leve"),

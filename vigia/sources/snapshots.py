@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SNAPSHOT_SCHEMA = (
     "id_cliente STRING, nombre STRING, sector STRING, clase_riesgo INT, casos_mes BIGINT, "
@@ -30,19 +32,21 @@ class SnapshotStore:
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str) -> SnapshotStore:
-        """The store in ``folder``; its tables are created empty where they do not exist."""
-        for name, schema in TABLES.items():
-            empty = spark.createDataFrame([], T.StructType.fromDDL(schema))
-            empty.write.mode("append").partitionBy("fecha_corte").parquet(f"{folder}/{name}")
+        """The store in ``folder``; a table that was never written reads as empty."""
         return cls(spark, folder)
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
-
-    def _replace_days(self, frame: DataFrame, name: str) -> None:
-        """Only the days present in ``frame`` are replaced, so a day can be run again."""
-        (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("fecha_corte").parquet(f"{self.folder}/{name}"))
+        try:
+            return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], TABLES[name])
+
+    def _replace_day(self, frame: DataFrame, name: str, cutoff: date) -> None:
+        """The named day holds the frame's rows of that day, and nothing else, also if there are none."""
+        rows = frame.filter(F.col("fecha_corte") == F.lit(cutoff)).drop("fecha_corte")
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/fecha_corte={cutoff}")
 
     def staged(self) -> DataFrame:
         return self._read(STAGED)
@@ -53,11 +57,15 @@ class SnapshotStore:
     def history(self) -> DataFrame:
         return self._read(HISTORY)
 
-    def stage(self, snapshot: DataFrame) -> None:
-        self._replace_days(snapshot, STAGED)
+    def stage(self, snapshot: DataFrame, cutoff: date) -> None:
+        self._replace_day(snapshot, STAGED, cutoff)
+
+    def publish(self, snapshot: DataFrame, cutoff: date) -> None:
+        self._replace_day(snapshot, PUBLISHED, cutoff)
 
-    def publish(self, snapshot: DataFrame) -> None:
-        self._replace_days(snapshot, PUBLISHED)
+    def served_day(self) -> date | None:
+        """The last published day: what readers see until a later one is published."""
+        return self.published().agg(F.max("fecha_corte").alias("d")).head().d
 
     def append_history(self, controls: DataFrame) -> None:
         (controls.coalesce(1).write.mode("append").partitionBy("fecha_corte")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,14 +27,47 @@ class StarTables:
             "prevencion": self.prevencion,
         }
 
-    def with_clients(self, clientes: DataFrame) -> Star:
+    #: Whether facts hold clients that ``clientes`` does not.
+    restricted = False
+
+    def fact(self, name: str) -> DataFrame:
+        """A fact for a job that shrinks it first and then joins it to ``clientes``."""
+        return getattr(self, name)
+
+    def with_clients(self, clientes: DataFrame) -> RestrictedStar:
         """Restrict the dimension and, with it, every fact."""
-        ids = clientes.select("id_cliente")
+        return RestrictedStar(self, clientes)
+
+
+class RestrictedStar(StarTables):
+    """The star of some clients. The choice is applied where the job meets the clients.
+
+    ``fact`` gives whole facts, so a job moves one row per client and not every case.
+    The attributes ``casos``, ``facturacion`` and ``prevencion`` are filtered row by row.
+    """
+
+    restricted = True
 
-        def kept(fact: DataFrame) -> DataFrame:
-            return fact.join(ids, "id_cliente", "left_semi")
+    def __init__(self, base: StarTables, clientes: DataFrame):
+        self._base, self.clientes = base, clientes
 
-        return Star(clientes, kept(self.casos), kept(self.facturacion), kept(self.prevencion))
+    def fact(self, name: str) -> DataFrame:
+        return self._base.fact(name)
+
+    def _of_clients(self, name: str) -> DataFrame:
+        return self._base.fact(name).join(self.clientes.select("id_cliente"), "id_cliente", "left_semi")
+
+    @cached_property
+    def casos(self) -> DataFrame:
+        return self._of_clients("casos")
+
+    @cached_property
+    def facturacion(self) -> DataFrame:
+        return self._of_clients("facturacion")
+
+    @cached_property
+    def prevencion(self) -> DataFrame:
+        return self._of_clients("prevencion")
 
 
 @dataclass(frozen=True)
@@ -78,8 +112,22 @@ def target_table(spark: SparkSession, targets: Targets | None = None) -> DataFra
 
 
 def targets_from_table(table: DataFrame, targets: Targets | None = None) -> Targets:
-    """Take the class targets from a table the business maintains (one row per class)."""
-    rows = table.filter(F.col("clase_riesgo").isin(*RATE_TARGET_BY_CLASS)).select(
-        "clase_riesgo", F.col("meta_tasa").cast("decimal(9,4)")
-    ).groupBy("clase_riesgo").agg(F.max("meta_tasa").alias("meta_tasa")).collect()
+    """Take the class targets from a table the business maintains (one row per class, any class).
+
+    A repeated class or a missing target is an error that names the class.
+    """
+    rows = table.groupBy("clase_riesgo").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("meta_tasa").cast("decimal(9,4)")).alias("meta_tasa")
+    ).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"La tabla de metas tiene más de {MAX_CLASSES} clases")
+    for row in rows:
+        if row.n > 1:
+            raise ValueError(f"Clase de riesgo repetida en la tabla de metas: {row.clase_riesgo}")
+        if row.clase_riesgo is None or row.meta_tasa is None:
+            raise ValueError(f"Clase de riesgo sin meta en la tabla de metas: {row.clase_riesgo}")
     return replace(targets or Targets(), rate_by_class={r.clase_riesgo: r.meta_tasa for r in rows})
+
+
+#: Targets become one expression; a table of more classes than this is a mistake.
+MAX_CLASSES = 1000
