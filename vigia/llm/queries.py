@@ -29,7 +29,7 @@ def op2_line_crf(spark: SparkSession, folder: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, rule = _table(spark, folder, "documents"), toxic_mil.ToxicRule()
     model = toxic_mil.train(docs, _table(spark, folder, "labels"), rule, crc_of_id(F.col("doc_id")) % 5 != 0)
-    return toxic_mil.score(docs, model, rule).select(
+    return toxic_mil.score(docs, model).select(
         "doc_id", (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
     )
 
