@@ -107,8 +107,14 @@ def train(docs: DataFrame, rule: LanguageRule = LanguageRule(), allowed: Column
     ids = usable.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     rows_of = ids.groupBy("lang").count().collect()  # one row for each language
     share = rule.max_training_docs // max(1, len(rows_of))
+    # Thinned by hash to about four times the share before the window, so that no language is gathered whole.
+    parts = 1 << 20
+    limit = F.lit(0)
+    for row in rows_of:
+        limit = F.when(F.col("lang") == row["lang"], F.lit(min(parts, -(-4 * share * parts // row["count"])))).otherwise(limit)
+    few = ids.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(parts)) < limit)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= share).drop("place")
+    chosen = few.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= share).drop("place")
     texts = usable.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")  # at most max_training_docs rows
 
