@@ -21,7 +21,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose noisy-or score is below one half; the model learns from the labelled ones among them."""
     rule = toxic_mil.ToxicRule()
     model = toxic_mil.train(docs, _table(spark, sf_dir, "labels"), rule, crc_of_id(F.col("doc_id")) % 5 != 0)
-    return toxic_mil.clean(docs, model, rule)
+    return toxic_mil.clean(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
