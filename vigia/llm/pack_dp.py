@@ -6,8 +6,8 @@ is packed by itself. Within a block the ids stay in order and the programme
 chooses where windows end. Window ends are document ends (free), sentence ends
 (`sentence_penalty`) and, where a sentence is longer than `max_gap`, points
 inside it (`inner_penalty`). The cost of a window is its padding, in ids, plus
-the penalty of its end; a window whose length is a power of two needs no
-padding.
+the penalty of its end; a window whose length is a power of two, from
+`least_exact` up, needs no padding.
 
 With f(j) the least cost of the ids before j,
     f(j) = penalty(j) + min(min over j-L <= i < j of f(i) + L - (j - i),
@@ -44,6 +44,7 @@ class Packing:
     sentence_penalty: int = 8
     inner_penalty: int = 64
     max_gap: int = 256
+    least_exact: int = 256
     block_tokens: int = 1 << 20
     chunk_bytes: int = 4 << 20
 
@@ -54,18 +55,17 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, spec: Packing) -> tuple[np.ndarray, np.ndarray]:
     """Positions at which a window may end, ascending and without 0, and the penalty of each."""
-    at = np.unique(np.concatenate([doc_ends, sentence_ends, [0]]))
+    cost = np.full(int(doc_ends[-1]) + 1, -1, dtype=np.int32)
+    cost[0] = 0
+    cost[sentence_ends] = spec.sentence_penalty
+    cost[doc_ends] = 0
+    at = np.flatnonzero(cost >= 0)
     gaps = np.diff(at)
-    more = -(-gaps // spec.max_gap) - 1  # points needed inside each gap
-    if more.any():
-        base, size, parts = at[:-1][more > 0], gaps[more > 0], more[more > 0] + 1
-        step = np.concatenate([np.arange(1, n) for n in parts])
-        at = np.union1d(at, np.repeat(base, parts - 1) + step * np.repeat(size, parts - 1) // np.repeat(parts, parts - 1))
-    at = at[at > 0]
-    penalty = np.full(len(at), spec.inner_penalty)
-    penalty[np.isin(at, sentence_ends)] = spec.sentence_penalty
-    penalty[np.isin(at, doc_ends)] = 0
-    return at, penalty
+    for base, size in zip(at[:-1][gaps > spec.max_gap].tolist(), gaps[gaps > spec.max_gap].tolist(), strict=True):
+        parts = -(-size // spec.max_gap)
+        cost[base + np.arange(1, parts) * size // parts] = spec.inner_penalty
+    at = np.flatnonzero(cost >= 0)[1:]
+    return at, cost[at]
 
 
 def window_ends(at: np.ndarray, penalty: np.ndarray, spec: Packing) -> np.ndarray:
@@ -75,7 +75,7 @@ def window_ends(at: np.ndarray, penalty: np.ndarray, spec: Packing) -> np.ndarra
     index[0] = 0
     index[at] = np.arange(1, len(at) + 1)
     exact: dict[int, list[int]] = {}
-    size = 1
+    size = spec.least_exact
     while size <= min(spec.window, total):
         later = at[at >= size]
         source = index[later - size]

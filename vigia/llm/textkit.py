@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -222,11 +223,11 @@ class MemoTokenizer:
 
     Both kinds of vocabulary file cut the text at a blank before merging, so
     the ids of a text are those of its blank-separated parts. A part keeps its
-    blank (`keep_blank`, byte-level files) or blanks are dropped (word files).
+    blank (`keep_blank`, byte-level files) or blanks and case are dropped (word files).
     New parts are encoded together, many to a call, with a marker between them.
     """
 
-    LIMIT = 400_000
+    LIMIT, KEPT = 400_000, 150_000  # parts held; those learned first, the frequent ones, outlive the limit
     _RUN, _CALL = 256, 32  # parts to a text, texts to a call
 
     def __init__(self, path: str, keep_blank: bool):
@@ -245,13 +246,15 @@ class MemoTokenizer:
             self.ends_sentence[i] = token.removesuffix("</w>").endswith((".", "!", "?"))
         # A character of its own id marks where one part ends and the next begins.
         self.mark, self.mark_id = next((c, ids[0]) for c in "^~|@`" if len(ids := self._flat([c])[0]) == 1)
-        self._clear()
-
-    def _clear(self) -> None:
         self.memo: dict[str, int] = {}
         self.begin = np.zeros(1, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.int32)
 
+    def _shrink(self) -> None:
+        self.memo = dict(islice(self.memo.items(), self.KEPT))
+        self.begin = self.begin[: self.KEPT + 1].copy()
+        self.pool = self.pool[: self.begin[-1]].copy()
+
     def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the number of each."""
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -299,8 +302,8 @@ class MemoTokenizer:
         if self.keep_blank and self._blank_runs(texts):
             return self._plain(texts)
         if len(self.memo) > self.LIMIT:
-            self._clear()
-        lists = pc.split_pattern(texts, " ") if self.keep_blank else pc.ascii_split_whitespace(texts)
+            self._shrink()
+        lists = pc.split_pattern(texts, " ") if self.keep_blank else pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = lists.flatten().dictionary_encode()
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
