@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -15,6 +16,7 @@ import pytest
 from llm_cases import LONG, odd, prose, rows, table
 
 import corpus_pipeline
+from vigia.durable import stored
 from vigia.llm import bench_wand, order_minhash, queries, secret_index, textkit
 
 SF = "/root/testdata/sf0.001"
@@ -236,7 +238,7 @@ def test_queries_and_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
     kept, sizes = docs, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = textkit.stored(stage(spark, kept, SF), name)
+        after = stored(stage(spark, kept, SF), name)
         assert after.schema.simpleString() == docs.schema.simpleString()
         sizes.append(after.count())
         kept = after
@@ -249,6 +251,48 @@ def test_queries_and_pipeline(spark):
     assert packed.select("doc_id").distinct().count() == sizes[3]
 
 
+def test_pipeline_against_brute_force(spark):
+    """Lines, copies, items and ids again in plain Python, over all pairs; the trained filter is taken as it is."""
+    from test_lines_and_units import key_of
+    from tokenizers import Tokenizer
+
+    toxic = {r.doc_id for r in queries.op3_toxicity(spark, SF).where("predicted = 1").collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.doc_id not in toxic}
+    often = Counter(k for t in texts.values() for k in {key_of(x) for x in t.split("\n")} if k)
+    texts = {d: "\n".join(x for x in t.split("\n") if often[key_of(x)] < 10) for d, t in texts.items()}
+    _, _, words = textkit.terms(textkit.text_array(pa.array(list(texts.values()))))
+    ids = list(texts)
+    sequences = [words.digest[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
+    root = {d: d for d in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(ids)), 2):
+        limit = int(0.2 * max(len(sequences[i]), len(sequences[j])) + 1e-9)
+        if order_minhash.edit_within(sequences[i], sequences[j], limit) is not None:
+            a, b = find(ids[i]), find(ids[j])
+            root[max(a, b)] = min(a, b)
+    texts = {d: t for d, t in texts.items() if find(d) == d}
+    items = [" ".join(words_of(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = {d: t for d, t in texts.items() if not any(f" {x} " in f" {' '.join(words_of(t))} " for x in items)}
+    library = Tokenizer.from_file(queries.public_tokenizers.path("word_bpe_49k.json"))
+    expected = {d: [*library.encode(t, add_special_tokens=False).ids, 1] for d, t in texts.items()}
+    pieces: dict[int, list] = {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert pieces.keys() == expected.keys()
+    for doc_id, own in pieces.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r.start):
+            part = np.array(expected[doc_id][at : at + r.length], "<u4").tobytes()
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(expected[doc_id]), zlib.crc32(part))
+            at += r.length
+        assert at == len(expected[doc_id])
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_against_sql(spark, name):
     from compare import difference, oracle_connection

@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.textkit import SPACES, chunks, fresh, stored
+from vigia.durable import stored
+from vigia.llm.textkit import SPACES, chunks, fresh
 
 
 @dataclass(frozen=True)
@@ -191,7 +192,7 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule()) -> tuple[D
         lines = F.when(is_first, F.slice("lines", 2, F.size("lines"))).otherwise(lines)
     of_id, of_text, drop, n_lines, n_dropped, kept, own = fresh(docs, "of_id", "of_text", "drop_lines", "n_lines", "n_dropped", "kept_text", "own_text")
     drops = hits.groupBy(F.col("doc_id").alias(of_id), F.col("text_digest").alias(of_text)).agg(
-        F.array_distinct(F.flatten(F.collect_list(lines))).alias(drop)
+        F.array_distinct(F.flatten(F.collect_set(lines))).alias(drop)  # a set: copies of a row add nothing
     )
     return _without(docs, drops, of_id, of_text, drop, n_lines, n_dropped, kept), [n_lines, n_dropped, kept]
 

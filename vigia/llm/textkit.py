@@ -19,8 +19,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.durable import scratch_path
-
 CHUNK_BYTES = 2 << 20
 _SEGMENT = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
@@ -59,13 +57,6 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back, so that a lost executor costs a re-read."""
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 def tasks_for(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

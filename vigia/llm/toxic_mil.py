@@ -29,8 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigia.durable import stored
 from vigia.llm.fit import Adam, labelled, repeat_until
-from vigia.llm.textkit import byte_table, chunks, code_points, digests, distinct, mixed, pieces, raw_bytes, stored, terms
+from vigia.llm.textkit import byte_table, chunks, code_points, digests, distinct, mixed, pieces, raw_bytes, terms
 
 
 @dataclass(frozen=True)

@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigia.llm.textkit import Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, stored, terms
+from vigia.durable import stored
+from vigia.llm.textkit import Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, terms
 
 
 @dataclass(frozen=True)
