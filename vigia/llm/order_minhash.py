@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigia.llm.textkit import Pieces, chunks, fresh, grams, mixed, stored, terms
+from vigia.durable import stored
+from vigia.llm.textkit import Pieces, chunks, fresh, grams, mixed, terms
 
 
 @dataclass(frozen=True)
@@ -276,9 +277,10 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     second = bucketed(again).join(checked.select("same", "hub"), ["same", "hub"], "left_anti")
     links = stored(checked.unionByName(verified(stored(second, "second-pairs"), texts, rule)).where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b")), "links")
     roots = components(links, rule.max_rounds)
-    named = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key"))
+    named = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key")), "named")
     # A name is the least id; the key tells classes apart where ids are missing or repeated.
-    heads = named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "same")).alias("head"))
+    # Both sides of the join are stored, so that the planner can split the key of a large class.
+    heads = stored(named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "same")).alias("head")), "heads")
     by_same = stored(named.join(heads, "class_key").select("same", "class_key", "head"), "class-names")
     return rows.select("doc_id", "same").join(by_same, "same").select("doc_id", F.col("head.doc_id").alias("class_id"), "same", "class_key", "head")
 
