@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -218,7 +217,7 @@ class MemoTokenizer:
     New parts are encoded together, many to a call, with a marker between them.
     """
 
-    LIMIT, KEPT = 400_000, 150_000  # parts held; those learned first, the frequent ones, outlive the limit
+    LIMIT, KEPT = 500_000, 250_000  # parts held; those learned first, the frequent ones, outlive the limit
     _RUN, _CALL = 256, 32  # parts to a text, texts to a call
 
     def __init__(self, path: str, keep_blank: bool):
@@ -237,12 +236,14 @@ class MemoTokenizer:
             self.ends_sentence[i] = token.removesuffix("</w>").endswith((".", "!", "?"))
         # A character of its own id marks where one part ends and the next begins.
         self.mark, self.mark_id = next((c, ids[0]) for c in "^~|@`" if len(ids := self._flat([c])[0]) == 1)
-        self.memo: dict[str, int] = {}
+        self.memo: dict[str, int] = {}  # part -> its place in begin
+        self.firsts: dict[str, int] = {}  # the same for parts that open a text, without a blank
         self.begin = np.zeros(1, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.int32)
 
     def _shrink(self) -> None:
-        self.memo = dict(islice(self.memo.items(), self.KEPT))
+        self.memo = {part: i for part, i in self.memo.items() if i < self.KEPT}
+        self.firsts = {part: i for part, i in self.firsts.items() if i < self.KEPT}
         self.begin = self.begin[: self.KEPT + 1].copy()
         self.pool = self.pool[: self.begin[-1]].copy()
 
@@ -284,9 +285,12 @@ class MemoTokenizer:
             (shared, self._together(shared)),
             (alone, self._flat([" " * self.keep_blank + w for w in alone])),
         ):
-            self.memo.update(zip(some, range(len(self.begin) - 1, len(self.begin) - 1 + len(some)), strict=True))
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
-            self.pool = np.concatenate([self.pool, ids])
+            self._add(self.memo, some, ids, sizes)
+
+    def _add(self, memo: dict[str, int], parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        memo.update(zip(parts, range(len(self.begin) - 1, len(self.begin) - 1 + len(parts)), strict=True))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+        self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and where each text begins (one more than texts)."""
@@ -301,17 +305,18 @@ class MemoTokenizer:
         words = coded.dictionary.to_pylist()
         self._learn([w for w in words if w not in self.memo])
         where = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        begin, pool = self.begin, self.pool
         at = where[codes]
         if self.keep_blank:  # a text's first part has no blank before it
             heads = bounds[:-1][np.diff(bounds) > 0]
-            ids, sizes = self._flat([words[i] for i in codes[heads]])
-            at[heads] = len(begin) - 1 + np.arange(len(heads))
-            begin = np.concatenate([begin, begin[-1] + np.cumsum(sizes)])
-            pool = np.concatenate([pool, ids])
+            firsts = [words[i] for i in codes[heads]]
+            new = list(dict.fromkeys(f for f in firsts if f not in self.firsts))
+            self._add(self.firsts, new, *self._flat(new))
+            at[heads] = [self.firsts[f] for f in firsts]
+        begin, pool = self.begin, self.pool
         length = np.diff(begin)[at]
         total = np.concatenate([[0], np.cumsum(length)])
-        return pool[np.repeat(begin[at] - total[:-1], length) + np.arange(total[-1])], total[bounds]
+        step = np.arange(total[-1], dtype=np.int32)
+        return pool[np.repeat((begin[at] - total[:-1]).astype(np.int32), length) + step], total[bounds]
 
     @staticmethod
     def _blank_runs(texts: pa.Array) -> bool:

@@ -37,7 +37,7 @@ class TokenFile:
     stripe_bytes: int = 16 << 20
     row_index_stride: int = 1000
     bloom_fpp: float = 0.01
-    chunk_bytes: int = 4 << 20
+    chunk_bytes: int = 6 << 20
 
 
 SCHEMA = "doc_id bigint, shard int, shard_start bigint, n_tokens int, ids array<int>"
