@@ -202,6 +202,23 @@ def test_recall_of_all_pairs(spark):
     assert all(a // 4 == b // 4 for a, b in itertools.combinations(out, 2) if out[a] == out[b])
 
 
+def test_recall_at_the_similarity_of_links(spark):
+    """Pairs of edit similarity 0.8 to 0.95 by scattered edits; all pairs are compared."""
+    texts, draw = [], random.Random(12)
+    for i in range(240):
+        base = words_of(prose(i, (5, 5, 25, 1)[i % 4]))
+        other, limit = list(base), int(len(base) * (0.2, 0.15, 0.1, 0.2)[i % 4])
+        for at in draw.sample(range(len(base)), limit):
+            other[at] = f"new{draw.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(other)]
+    _, _, words = textkit.terms(textkit.text_array(pa.array(texts)))
+    ids = [words.digest[a:b] for a, b in itertools.pairwise(words.first)]
+    near = [(a, b) for a, b in itertools.combinations(range(len(ids)), 2) if order_minhash.edit_within(ids[a], ids[b], int(0.2 * max(len(ids[a]), len(ids[b])) + 1e-9)) is not None]
+    out = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(table(spark, rows(texts))).collect()}
+    assert len(near) >= 240
+    assert [p for p in near if out[p[0]] != out[p[1]]] == []
+
+
 def test_one_of_each(spark):
     docs, data = odd(spark, extra=True)
     kept = order_minhash.one_of_each(docs)

@@ -6,11 +6,15 @@
    the text. For each of `bands` hash functions the `ell` labelled runs of least
    hash are taken and listed in text order; the digest of that list is the
    band's key. Texts that agree in these runs and in their order, that is texts
-   of small edit distance, share keys.
+   of small edit distance, share keys. Scattered edits leave few runs of `k` words,
+   so further `word_bands` bands take the `word_ell` labelled single words of least hash,
+   and texts of at most `short_words` words have `short_bands` of `short_ell` words besides:
+   they propose pairs down to the edit similarity that step 4 asks for.
 3. Within each bucket (band, key) every member is compared with the bucket's
    hub, the member of least digest: a pair for each member, never all pairs. Members
    that do not match their hub meet again in a second round, by a key that
    joins two neighbouring bands, with hubs among themselves.
+   Pairs whose counts of words by hash already rule out the similarity are dropped unread.
 4. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
    does not exceed it.
@@ -44,6 +48,11 @@ class OrderRule:
     k: int = 5
     bands: int = 24
     ell: int = 3
+    word_bands: int = 44
+    word_ell: int = 4
+    short_bands: int = 24
+    short_ell: int = 2
+    short_words: int = 40
     similarity: float = 0.8
     narrow: int = 12
     max_rounds: int = 50
@@ -63,36 +72,64 @@ def occurrence_labelled(doc: np.ndarray, digest: np.ndarray) -> np.ndarray:
 
 
 def sketches(words: Pieces, rule: OrderRule) -> np.ndarray:
-    """A row for each text with `bands` keys; texts with fewer than `k` words have zeros."""
+    """A row for each text with the keys of all kinds of bands; zero where a text has none of that kind."""
+    size = np.diff(words.first)
+    runs = banded_keys(words, rule.k, rule.bands, rule.ell)
+    single = banded_keys(words, 1, rule.word_bands, rule.word_ell, rule.bands)
+    single[size < rule.k] = 0
+    brief = size <= rule.short_words
+    mine = brief[words.doc]
+    some = Pieces(words.doc[mine], words.start[mine], words.end[mine], words.digest[mine], np.concatenate([[0], np.cumsum(np.where(brief, size, 0))]))
+    short = banded_keys(some, 1, rule.short_bands, rule.short_ell, rule.bands + rule.word_bands)
+    short[size < rule.k] = 0
+    return np.concatenate([runs, single, short], axis=1)
+
+
+def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0) -> np.ndarray:
+    """A row for each text with `bands` keys, for hash functions from number `begin` on; zeros below `k` words."""
     n = len(words.first) - 1
-    at, digest = grams(words, rule.k)
+    at, digest = grams(words, k)
     doc = words.doc[at]
     labelled = occurrence_labelled(doc, digest)
     some, first = np.unique(doc, return_index=True)
-    out = np.zeros((n, rule.bands), dtype=np.uint64)
+    out = np.zeros((n, bands), dtype=np.uint64)
     if not len(some):
         return out
     size = np.diff(np.append(first, len(doc)))
     row = np.repeat(np.arange(len(some)), size)
-    picked = np.empty((rule.ell, len(some)), dtype=np.int64)
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    # Only hashes below a bound, about 4 * ell of a text, are sorted; texts with too few of them are sorted whole.
+    bound = np.where(size <= 4 * ell, 1.0, 4 * ell / size) * float(1 << 64)
+    bound = np.where(bound >= float(1 << 64), np.uint64(0xFFFFFFFFFFFFFFFF), np.minimum(bound, float(1 << 63) * 1.99).astype(np.uint64))[row]
     with np.errstate(over="ignore"):
-        for band in range(rule.bands):
+        for band in range(begin, begin + bands):
             a, b = (mixed(np.array([2 * band + j + 1], dtype=np.uint64))[0] for j in (0, 1))
             value = (labelled ^ a) * (b | np.uint64(1))
             value ^= value >> np.uint64(32)
-            for j in range(rule.ell):
-                least = np.minimum.reduceat(value, first)
-                hit = np.flatnonzero(value == least[row])
-                _, head = np.unique(row[hit], return_index=True)
-                picked[j] = hit[head]
-                value[picked[j]] = top
-            # A text with fewer runs than ell repeats its last ones; the order is that of the text.
-            order = np.sort(picked, axis=0)
+            low = value <= bound
+            few = np.bincount(row[low], minlength=len(some)) < np.minimum(ell, size)
+            if few.any():
+                low |= few[row]
+            low = np.flatnonzero(low)
+            low = low[np.lexsort((value[low], row[low]))]
+            head = np.searchsorted(row[low], np.arange(len(some)))
+            # A text with fewer runs than ell repeats its last one; the order is that of the text.
+            order = np.sort(low[head + np.minimum(np.arange(ell)[:, None], size - 1)], axis=0)
             key = np.zeros(len(some), dtype=np.uint64)
-            for j in range(rule.ell):
+            for j in range(ell):
                 key = mixed(key * np.uint64(31) + labelled[order[j]] + np.uint64(band + 1))
-            out[some, band] = key
+            out[some, band - begin] = key
+    return out
+
+
+def word_counts(words: Pieces) -> np.ndarray:
+    """A row for each text: how many words fall to each of 256 hash values, at most 255."""
+    n = len(words.first) - 1
+    out = np.empty((n, 256), dtype=np.uint8)
+    for a in range(0, n, 4096):
+        b = min(n, a + 4096)
+        some = slice(words.first[a], words.first[b])
+        cell = (words.doc[some] - a) * 256 + (words.digest[some] & np.uint64(255)).astype(np.int64)
+        out[a:b] = np.minimum(np.bincount(cell, minlength=(b - a) * 256), 255).reshape(-1, 256)
     return out
 
 
@@ -108,8 +145,8 @@ def _sames(words: Pieces) -> list[bytes]:
 
 
 def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
-    """doc_id, same (digest of the word sequence), keys (of the bands; null below `k` words)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    """doc_id, same (digest of the word sequence), n (words), keys (of the bands; none below `k` words), counts (likewise)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,12 +154,13 @@ def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
                 _, _, words = terms(texts)
                 found = sketches(words, rule).view(np.int64)
                 size = np.diff(words.first)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(size >= rule.k, rule.bands, 0))]).astype(np.int32))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(size >= rule.k, found.shape[1], 0))]).astype(np.int32))
                 keys = pa.ListArray.from_arrays(offsets, pa.array(found[size >= rule.k].ravel()))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sames(words), pa.binary()), keys], schema=schema)
+                counts = pa.array([c.tobytes() if m >= rule.k else b"" for c, m in zip(word_counts(words), size.tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sames(words), pa.binary()), pa.array(size.astype(np.int32)), keys, counts], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id bigint, same binary, keys array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, same binary, n int, keys array<bigint>, counts binary")
 
 
 def bucketed(members: DataFrame) -> DataFrame:
@@ -135,6 +173,27 @@ def bucketed(members: DataFrame) -> DataFrame:
     return held.join(hubs, ["band", "key"]).where(F.col("same") != F.col("hub")).select("same", "hub").distinct()
 
 
+def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame:
+    """The pairs (same, hub) that the word counts do not rule out: an edit changes each sum of excesses by one at most."""
+    schema = pa.schema([("same", pa.binary()), ("hub", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for i in (3, 4))
+            limit = ((1 - rule.similarity) * batch.column(2).to_numpy() + 1e-9).astype(np.int64)
+            near = np.maximum(np.maximum(x - y, 0).sum(axis=1), np.maximum(y - x, 0).sum(axis=1)) <= limit
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(near))
+
+    counts = classes.where(F.size("keys") > 0)
+    both = pairs.join(counts.select("same", F.col("n").alias("m"), F.col("counts").alias("x")), "same")
+    both = both.join(counts.select(F.col("same").alias("hub"), "n", F.col("counts").alias("y")), "hub")
+    most = F.greatest("n", "m")
+    both = both.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
+    return both.select("same", "hub", most.alias("most"), "x", "y").mapInArrow(run, "same binary, hub binary")
+
+
 def edit_within(a: np.ndarray, b: np.ndarray, limit: int, narrow: int = 12) -> int | None:
     """The word edit distance if it is at most `limit`, else None; only cells within the band are filled."""
     if abs(len(a) - len(b)) > limit:
@@ -265,9 +324,9 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     class also where ids are missing or repeated, and `head` is its first document.
     """
     rows = stored(word_classes(docs, rule), "word-classes")
-    classes = stored(rows.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "classes")
-    members = classes.where(F.size("keys") > 0).select("same", F.posexplode("keys").alias("band", "key"))
-    pairs = stored(bucketed(members), "pairs")
+    classes = stored(rows.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts")), "classes")
+    members = classes.where(F.size("keys") > 0).select("same", F.posexplode("keys").alias("band", "key")).where("key <> 0")
+    pairs = stored(possible(bucketed(members), classes, rule), "pairs")
     texts = stored(_texts_of(docs, classes.join(pairs.select("same").union(pairs.select("hub")).distinct(), "same", "left_semi").select("doc_id")), "pair-texts")
     checked = stored(verified(pairs, texts, rule), "checked-pairs")
     failed = checked.where(~F.col("linked")).select("same").distinct()
@@ -275,7 +334,7 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
         F.transform(F.sequence(F.lit(0), F.lit(rule.bands - 1)), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", (i + 1) % rule.bands)))
     ).alias("band", "key"))
     second = bucketed(again).join(checked.select("same", "hub"), ["same", "hub"], "left_anti")
-    links = stored(checked.unionByName(verified(stored(second, "second-pairs"), texts, rule)).where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b")), "links")
+    links = stored(checked.unionByName(verified(stored(possible(second, classes, rule), "second-pairs"), texts, rule)).where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b")), "links")
     roots = components(links, rule.max_rounds)
     named = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key")), "named")
     # A name is the least id; the key tells classes apart where ids are missing or repeated.
