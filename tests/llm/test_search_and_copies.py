@@ -219,6 +219,28 @@ def test_recall_at_the_similarity_of_links(spark):
     assert [p for p in near if out[p[0]] != out[p[1]]] == []
 
 
+def test_pairs_in_a_template_family(spark):
+    """Pairs of near copies among many texts that share four fifths of their words with all others."""
+    draw, texts = random.Random(8), []
+    template = words_of(prose(1, 9))[:100]
+    own = draw.sample(range(100), 30)
+    for i in range(150):
+        base = list(template)
+        for at in own:
+            base[at] = f"own{i}x{at}"
+        other = list(base)
+        for at in draw.sample(range(100), 18):
+            other[at] = f"new{draw.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(other)]
+    # With two bands of each kind every pair that shares a key must be found by that key alone.
+    rule = order_minhash.OrderRule(bands=2, ell=1, word_bands=2, word_ell=1)
+    keys = order_minhash.sketches(textkit.terms(textkit.text_array(pa.array(texts)))[2], rule)
+    shared = ((keys[::2] == keys[1::2]) & (keys[::2] != 0)).any(axis=1)
+    out = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(table(spark, rows(texts)), rule).collect()}
+    assert shared.sum() > 75
+    assert out == {d: d - d % 2 if shared[d // 2] else d for d in range(len(texts))}
+
+
 def test_one_of_each(spark):
     docs, data = odd(spark, extra=True)
     kept = order_minhash.one_of_each(docs)

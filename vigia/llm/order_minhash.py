@@ -11,9 +11,10 @@
    and texts of at most `short_words` words have `short_bands` of `short_ell` words besides:
    they propose pairs down to the edit similarity that step 4 asks for.
 3. Within each bucket (band, key) every member is compared with the bucket's
-   hub, the member of least digest: a pair for each member, never all pairs. Members
-   that do not match their hub meet again in a second round, by a key that
-   joins two neighbouring bands, with hubs among themselves.
+   hub, the member of least digest: a pair for each member. The links found so far
+   connect texts; in buckets whose members are not all connected, each member
+   outside the hub's component is then compared with every member of another
+   component, so that no pair of a bucket is left open.
    Pairs whose counts of words by hash already rule out the similarity are dropped unread.
 4. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
@@ -194,6 +195,24 @@ def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame
     return both.select("same", "hub", most.alias("most"), "x", "y").mapInArrow(run, "same binary, hub binary")
 
 
+def across(members: DataFrame, classes: DataFrame, roots: DataFrame, rule: OrderRule) -> DataFrame:
+    """Pairs (same, hub) of members of one bucket in different components, one of them outside that of the bucket's hub."""
+    rooted = classes.select("same", "n").join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
+    held = members.join(stored(rooted, "rooted"), "same")
+    mixed_buckets = held.groupBy("band", "key").agg(F.min_by("root", "same").alias("main"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed_buckets = mixed_buckets.where("low <> high").drop("low", "high")
+    held = stored(held.join(mixed_buckets, ["band", "key"]), "mixed-buckets")
+    other = held.where("root <> main").select("band", "key", F.col("same").alias("x"), F.col("n").alias("m"), F.col("root").alias("of_x"))
+    pairs = other.join(held, ["band", "key"]).where("root <> of_x")
+    most = F.greatest("n", "m")
+    pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
+    return pairs.select(F.greatest("x", "same").alias("same"), F.least("x", "same").alias("hub")).distinct()
+
+
+def linked(checked: DataFrame) -> DataFrame:
+    return checked.where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b"))
+
+
 def edit_within(a: np.ndarray, b: np.ndarray, limit: int, narrow: int = 12) -> int | None:
     """The word edit distance if it is at most `limit`, else None; only cells within the band are filled."""
     if abs(len(a) - len(b)) > limit:
@@ -329,12 +348,11 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     pairs = stored(possible(bucketed(members), classes, rule), "pairs")
     texts = stored(_texts_of(docs, classes.join(pairs.select("same").union(pairs.select("hub")).distinct(), "same", "left_semi").select("doc_id")), "pair-texts")
     checked = stored(verified(pairs, texts, rule), "checked-pairs")
-    failed = checked.where(~F.col("linked")).select("same").distinct()
-    again = classes.join(failed, "same", "left_semi").select("same", F.posexplode(
-        F.transform(F.sequence(F.lit(0), F.lit(rule.bands - 1)), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", (i + 1) % rule.bands)))
-    ).alias("band", "key"))
-    second = bucketed(again).join(checked.select("same", "hub"), ["same", "hub"], "left_anti")
-    links = stored(checked.unionByName(verified(stored(possible(second, classes, rule), "second-pairs"), texts, rule)).where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b")), "links")
+    first = stored(components(linked(checked), rule.max_rounds), "first-roots")
+    second = stored(possible(across(members, classes, first, rule).join(checked.select("same", "hub"), ["same", "hub"], "left_anti"), classes, rule), "second-pairs")
+    texts = _texts_of(docs, classes.join(second.select("same").union(second.select("hub")).distinct(), "same", "left_semi").select("doc_id"))
+    more = linked(verified(second, stored(texts, "second-texts"), rule))
+    links = stored(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
     roots = components(links, rule.max_rounds)
     named = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key")), "named")
     # A name is the least id; the key tells classes apart where ids are missing or repeated.
