@@ -192,6 +192,21 @@ def test_units_of_odd_texts(spark):
     assert unit_dedup.repeats(table(spark, rows([None, "", "..."])), unit_dedup.UnitRule()).count() == 0
 
 
+def cut_texts(spark, texts):
+    """The texts of the spans to cut, by document."""
+    found = defaultdict(list)
+    for r in sorted(unit_dedup.repeats(table(spark, rows(texts))).collect(), key=lambda r: (r.doc_id, r.start)):
+        found[r.doc_id].append(texts[r.doc_id][r.start : r.end].strip())
+    return found
+
+
+def test_short_repeated_lines_go(spark):
+    notice = "All rights reserved. See the licence file"
+    texts = [f"fresh line number {i} of mine\n{notice}\nother words {i} here too" for i in range(4)]
+    texts.append("Some start. See the licence file")  # a sentence inside a line, not a line
+    assert cut_texts(spark, texts) == {i: [notice] for i in (1, 2, 3)}
+
+
 def test_digests_do_not_depend_on_the_chunk():
     texts = [t for t in ODD_TEXTS if t]
     data, offsets = textkit.raw_bytes(textkit.text_array(pa.array(texts)))

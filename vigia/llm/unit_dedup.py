@@ -5,7 +5,9 @@ lines. Its key is the sequence of its lower-cased words, as two 64-bit digests.
 Keys of all documents are grouped; the earliest occurrence, by doc_id, then
 copy, then place, keeps its unit. Other occurrences are repeats. Neighbouring
 repeats of a document form a run, and runs of at least `min_run_words` words
-are reported: single short sentences that happen to recur stay.
+are reported: single short sentences that happen to recur stay. A whole line of
+at least `min_line_words` words that repeats an earlier whole line is reported
+whatever its length.
 
 Cases: null, empty and wordless texts have no units; rows with equal ids are
 told apart by a number of their own (`copy`), the first of equal rows keeps its
@@ -24,12 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.durable import stored
-from vigia.llm.textkit import Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, terms
+from vigia.llm.textkit import IN_LINE, Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, terms
 
 
 @dataclass(frozen=True)
 class UnitRule:
     min_run_words: int = 20
+    min_line_words: int = 3
     min_unit_words: int = 2
 
 
@@ -54,8 +57,11 @@ def sequence_digests(words: Pieces, begin: np.ndarray, end: np.ndarray) -> list[
 
 
 def units(docs: DataFrame, rule: UnitRule) -> DataFrame:
-    """doc_id, copy, unit (its number among those of the text), start, end (characters), words, a, b."""
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "copy")] + [(n, pa.int32()) for n in ("unit", "start", "end", "words")] + [(n, pa.int64()) for n in ("a", "b")])
+    """doc_id, copy, unit (its number among those of the text), start, end (characters), words, n, a, b.
+
+    `n` is 0 for a unit; a row of a whole line has the number of its first unit and in `n` how many it has.
+    """
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "copy")] + [(n, pa.int32()) for n in ("unit", "start", "end", "words", "n")] + [(n, pa.int64()) for n in ("a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TaskContext.get().partitionId() << 40
@@ -71,15 +77,26 @@ def units(docs: DataFrame, rule: UnitRule) -> DataFrame:
                 a, b = sequence_digests(words, begin[kept], end[kept])
                 chars, doc = code_points(data), where.doc[kept]
                 zero = chars(offsets[doc])
+                number = np.arange(len(kept)) - np.searchsorted(doc, doc)
+                lines = pieces(lower, lower_offsets, IN_LINE, hashed=False)
+                line_begin, line_end = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
+                head, stop = np.searchsorted(begin[kept], line_begin), np.searchsorted(begin[kept], line_end)
+                whole = np.flatnonzero((line_end - line_begin >= rule.min_line_words) & (stop > head))
+                head, stop, line_begin, line_end = head[whole], stop[whole], line_begin[whole], line_end[whole]
+                line_a, line_b = sequence_digests(words, line_begin, line_end)
+                start, close = chars(where.start[kept]) - zero, chars(where.end[kept]) - zero
+                doc = np.concatenate([doc, doc[head]])
                 columns = (
-                    rows.column(0).cast(pa.int64()).take(pa.array(doc)), seen + doc, np.arange(len(kept)) - np.searchsorted(doc, doc),
-                    chars(where.start[kept]) - zero, chars(where.end[kept]) - zero, (end - begin)[kept], a.view(np.int64), b.view(np.int64),
+                    rows.column(0).cast(pa.int64()).take(pa.array(doc)), seen + doc, np.concatenate([number, number[head]]),
+                    np.concatenate([start, start[head]]), np.concatenate([close, close[stop - 1]]),
+                    np.concatenate([(end - begin)[kept], line_end - line_begin]), np.concatenate([np.zeros(len(kept), np.int64), stop - head]),
+                    np.concatenate([a, line_a]).view(np.int64), np.concatenate([b, line_b]).view(np.int64),
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) if isinstance(c, np.ndarray) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
                 seen += rows.num_rows
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id bigint, copy bigint, unit int, start int, end int, words int, a bigint, b bigint")
+    return source.mapInArrow(run, "doc_id bigint, copy bigint, unit int, start int, end int, words int, n int, a bigint, b bigint")
 
 
 def repeats(docs: DataFrame, rule: UnitRule = UnitRule()) -> DataFrame:
@@ -88,21 +105,28 @@ def repeats(docs: DataFrame, rule: UnitRule = UnitRule()) -> DataFrame:
     `first_doc_ids` lists the documents that keep the units of the span.
     """
     all_units = stored(units(docs, rule), "units")
+    is_line = F.col("n") > 0
     keys = stored(
-        all_units.groupBy("a", "b")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "copy", "unit")).alias("first"))
-        .where(F.col("n") > 1).drop("n"),
+        all_units.groupBy(is_line.alias("line"), "a", "b")
+        .agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "copy", "unit")).alias("first"))
+        .where(F.col("times") > 1).drop("times"),
         "unit-keys",
     )
     mine = F.struct("doc_id", "copy", "unit")
-    later = all_units.join(keys, ["a", "b"]).where(~mine.eqNullSafe(F.col("first")))
+    later = all_units.withColumn("line", is_line).join(keys, ["line", "a", "b"]).where(~mine.eqNullSafe(F.col("first"))).repartition("copy")
+    # A line gives a mark to each of its units; those of a repeated line are repeats, or too short to be units of their own.
+    later = later.withColumn("unit", F.explode(F.sequence("unit", F.col("unit") + F.greatest(F.col("n") - 1, F.lit(0)))))
+    own = F.when(~F.col("line"), F.struct("doc_id", "start", "end", "words", F.col("first.doc_id").alias("from_id")))
+    later = later.groupBy("copy", "unit").agg(F.max("line").alias("whole"), F.max(own).alias("own")).where(F.col("own").isNotNull()).select("copy", "unit", "whole", "own.*")
     place = Window.partitionBy("copy").orderBy("unit")
     marked = later.withColumn("run", F.col("unit") - F.row_number().over(place))
+    marked = marked.withColumn("long", F.sum("words").over(Window.partitionBy("copy", "run")) >= rule.min_run_words).where("long OR whole")
+    marked = marked.withColumn("run", F.col("unit") - F.row_number().over(place))
     runs = marked.groupBy("copy", "run").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.count("*").alias("n_units"), F.sum("words").alias("n_words"), F.sort_array(F.collect_set("first.doc_id")).alias("first_doc_ids"),
+        F.count("*").alias("n_units"), F.sum("words").alias("n_words"), F.sort_array(F.collect_set("from_id")).alias("first_doc_ids"),
     )
-    return runs.where(F.col("n_words") >= rule.min_run_words).select("doc_id", "copy", "start", "end", "n_units", "n_words", "first_doc_ids")
+    return runs.select("doc_id", "copy", "start", "end", "n_units", "n_words", "first_doc_ids")
 
 
 def kept_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
