@@ -207,6 +207,14 @@ def test_short_repeated_lines_go(spark):
     assert cut_texts(spark, texts) == {i: [notice] for i in (1, 2, 3)}
 
 
+def test_fresh_words_between_repeats_stay(spark):
+    lines = [f"{x} in the long form that all of us have to fill" for x in ("name", "street", "city")]
+    texts = ["\n".join(x for i, line in enumerate(lines) for x in (line, f"own{k}{i}")) for k in range(3)]
+    assert cut_texts(spark, texts) == {1: lines, 2: lines}
+    listed = [w for i in range(15) for w in (f"item {i}", "yes" if i % 2 else "no")]
+    assert cut_texts(spark, ["\n".join(listed), "\n".join(["no", *listed])]) == {1: ["\n".join(listed)]}
+
+
 def test_digests_do_not_depend_on_the_chunk():
     texts = [t for t in ODD_TEXTS if t]
     data, offsets = textkit.raw_bytes(textkit.text_array(pa.array(texts)))

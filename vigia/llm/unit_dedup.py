@@ -2,6 +2,9 @@
 
 A unit is a line cut further at sentence ends, because passages recur inside
 lines. Its key is the sequence of its lower-cased words, as two 64-bit digests.
+A unit of fewer than `min_unit_words` words has the unit before it in its key: such
+a word is a repeat only where both recur together. Every unit with a word is
+numbered, so that a fresh one ends a run and stays.
 Keys of all documents are grouped; the earliest occurrence, by doc_id, then
 copy, then place, keeps its unit. Other occurrences are repeats. Neighbouring
 repeats of a document form a run, and runs of at least `min_run_words` words
@@ -73,9 +76,13 @@ def units(docs: DataFrame, rule: UnitRule) -> DataFrame:
                 where = pieces(data, offsets, _IN_UNIT, hashed=False)
                 mine = pieces(lower, lower_offsets, _IN_UNIT, hashed=False)
                 begin, end = np.searchsorted(words.start, mine.start), np.searchsorted(words.start, mine.end)
-                kept = np.flatnonzero(end - begin >= rule.min_unit_words)
-                a, b = sequence_digests(words, begin[kept], end[kept])
+                kept = np.flatnonzero(end > begin)
                 chars, doc = code_points(data), where.doc[kept]
+                keyed = begin[kept].copy()
+                after = np.flatnonzero((end - begin)[kept][1:] < rule.min_unit_words) + 1
+                after = after[doc[after] == doc[after - 1]]
+                keyed[after] = begin[kept][after - 1]
+                a, b = sequence_digests(words, keyed, end[kept])
                 zero = chars(offsets[doc])
                 number = np.arange(len(kept)) - np.searchsorted(doc, doc)
                 lines = pieces(lower, lower_offsets, IN_LINE, hashed=False)
@@ -114,7 +121,7 @@ def repeats(docs: DataFrame, rule: UnitRule = UnitRule()) -> DataFrame:
     )
     mine = F.struct("doc_id", "copy", "unit")
     later = all_units.withColumn("line", is_line).join(keys, ["line", "a", "b"]).where(~mine.eqNullSafe(F.col("first"))).repartition("copy")
-    # A line gives a mark to each of its units; those of a repeated line are repeats, or too short to be units of their own.
+    # A line gives a mark to each of its units; a first word of a line may be no repeat by itself.
     later = later.withColumn("unit", F.explode(F.sequence("unit", F.col("unit") + F.greatest(F.col("n") - 1, F.lit(0)))))
     own = F.when(~F.col("line"), F.struct("doc_id", "start", "end", "words", F.col("first.doc_id").alias("from_id")))
     later = later.groupBy("copy", "unit").agg(F.max("line").alias("whole"), F.max(own).alias("own")).where(F.col("own").isNotNull()).select("copy", "unit", "whole", "own.*")
