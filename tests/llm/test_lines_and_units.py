@@ -215,6 +215,15 @@ def test_fresh_words_between_repeats_stay(spark):
     assert cut_texts(spark, ["\n".join(listed), "\n".join(["no", *listed])]) == {1: ["\n".join(listed)]}
 
 
+def test_passages_inside_sentences_go(spark):
+    passage = " ".join(prose(5, 6).replace(".", "").lower().split()[:55])
+    texts = [" ".join([prose(50 + i, 3)[:-1].replace(".", "").replace("\n", " "), "é", passage, prose(80 + i, 3).replace(".", "").replace("\n", " ")]) for i in range(4)]
+    found = cut_texts(spark, texts)
+    assert found.keys() == {1, 2, 3}
+    for spans in found.values():
+        assert len(spans) == 1 and spans[0] in passage and len(spans[0].split()) > 35
+
+
 def test_digests_do_not_depend_on_the_chunk():
     texts = [t for t in ODD_TEXTS if t]
     data, offsets = textkit.raw_bytes(textkit.text_array(pa.array(texts)))

@@ -5,6 +5,9 @@ lines. Its key is the sequence of its lower-cased words, as two 64-bit digests.
 A unit of fewer than `min_unit_words` words has the unit before it in its key: such
 a word is a repeat only where both recur together. Every unit with a word is
 numbered, so that a fresh one ends a run and stays.
+A unit of more than `max_unit_words` words is cut after words whose digest is
+the least of the seven around them, within the unit: a passage inside a longer
+sentence has the same cuts in each document.
 Keys of all documents are grouped; the earliest occurrence, by doc_id, then
 copy, then place, keeps its unit. Other occurrences are repeats. Neighbouring
 repeats of a document form a run, and runs of at least `min_run_words` words
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.durable import stored
-from vigia.llm.textkit import IN_LINE, Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, terms
+from vigia.llm.textkit import IN_LINE, IN_TERM, Pieces, byte_table, chunks, code_points, mixed, pieces, raw_bytes, terms
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,7 @@ class UnitRule:
     min_run_words: int = 20
     min_line_words: int = 3
     min_unit_words: int = 2
+    max_unit_words: int = 14
 
 
 _IN_UNIT = ~byte_table(b".!?\n")
@@ -59,6 +63,20 @@ def sequence_digests(words: Pieces, begin: np.ndarray, end: np.ndarray) -> list[
     return out
 
 
+def inner_cuts(words: Pieces, begin: np.ndarray, end: np.ndarray, most: int, reach: int = 3) -> np.ndarray:
+    """Numbers of the words after which a range of more than `most` words is cut; the ranges cover all words."""
+    size = end - begin
+    unit = np.repeat(np.arange(len(begin)), size)
+    place = np.arange(len(unit)) - begin[unit]
+    least = (size[unit] > most) & (place >= 1) & (place <= size[unit] - 3)
+    value = mixed(words.digest)
+    for d in range(1, reach + 1):
+        same = unit[d:] == unit[:-d]
+        least[d:] &= ~(same & (value[:-d] <= value[d:]))
+        least[:-d] &= ~(same & (value[d:] < value[:-d]))
+    return np.flatnonzero(least)
+
+
 def units(docs: DataFrame, rule: UnitRule) -> DataFrame:
     """doc_id, copy, unit (its number among those of the text), start, end (characters), words, n, a, b.
 
@@ -77,26 +95,31 @@ def units(docs: DataFrame, rule: UnitRule) -> DataFrame:
                 mine = pieces(lower, lower_offsets, _IN_UNIT, hashed=False)
                 begin, end = np.searchsorted(words.start, mine.start), np.searchsorted(words.start, mine.end)
                 kept = np.flatnonzero(end > begin)
-                chars, doc = code_points(data), where.doc[kept]
-                keyed = begin[kept].copy()
-                after = np.flatnonzero((end - begin)[kept][1:] < rule.min_unit_words) + 1
+                begin, end, raw_start, raw_end = begin[kept], end[kept], where.start[kept], where.end[kept]
+                cuts = inner_cuts(words, begin, end, rule.max_unit_words)
+                raw_words = pieces(data, offsets, IN_TERM, hashed=False)
+                begin, end = np.sort(np.concatenate([begin, cuts + 1])), np.sort(np.concatenate([end, cuts + 1]))
+                raw_start, raw_end = (np.sort(np.concatenate([x, raw_words.end[cuts]])) for x in (raw_start, raw_end))
+                chars, doc = code_points(data), words.doc[begin]
+                keyed = begin.copy()
+                after = np.flatnonzero((end - begin)[1:] < rule.min_unit_words) + 1
                 after = after[doc[after] == doc[after - 1]]
-                keyed[after] = begin[kept][after - 1]
-                a, b = sequence_digests(words, keyed, end[kept])
+                keyed[after] = begin[after - 1]
+                a, b = sequence_digests(words, keyed, end)
                 zero = chars(offsets[doc])
-                number = np.arange(len(kept)) - np.searchsorted(doc, doc)
+                number = np.arange(len(begin)) - np.searchsorted(doc, doc)
                 lines = pieces(lower, lower_offsets, IN_LINE, hashed=False)
                 line_begin, line_end = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
-                head, stop = np.searchsorted(begin[kept], line_begin), np.searchsorted(begin[kept], line_end)
+                head, stop = np.searchsorted(begin, line_begin), np.searchsorted(begin, line_end)
                 whole = np.flatnonzero((line_end - line_begin >= rule.min_line_words) & (stop > head))
                 head, stop, line_begin, line_end = head[whole], stop[whole], line_begin[whole], line_end[whole]
                 line_a, line_b = sequence_digests(words, line_begin, line_end)
-                start, close = chars(where.start[kept]) - zero, chars(where.end[kept]) - zero
+                start, close = chars(raw_start) - zero, chars(raw_end) - zero
                 doc = np.concatenate([doc, doc[head]])
                 columns = (
                     rows.column(0).cast(pa.int64()).take(pa.array(doc)), seen + doc, np.concatenate([number, number[head]]),
                     np.concatenate([start, start[head]]), np.concatenate([close, close[stop - 1]]),
-                    np.concatenate([(end - begin)[kept], line_end - line_begin]), np.concatenate([np.zeros(len(kept), np.int64), stop - head]),
+                    np.concatenate([end - begin, line_end - line_begin]), np.concatenate([np.zeros(len(begin), np.int64), stop - head]),
                     np.concatenate([a, line_a]).view(np.int64), np.concatenate([b, line_b]).view(np.int64),
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) if isinstance(c, np.ndarray) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
