@@ -134,6 +134,23 @@ def test_contamination(spark):
     assert bench_wand.contaminated(table(spark, []), items).count() == 0
 
 
+def test_items_with_changed_words_are_confirmed():
+    draw = random.Random(3)
+    items = [(i, " ".join(words_of(prose(i, 1, 10))) + "\n" + " ".join(words_of(prose(900 + i, 1, 8)))) for i in range(40)]
+    index = bench_wand.BenchIndex(items, bench_wand.BenchRule())
+    for n_changed in (1, 2):
+        texts = []
+        for i, item in items:
+            words = words_of(item)
+            for at in draw.sample(range(len(words)), n_changed):
+                words[at] = f"new{draw.randrange(10**6)}"
+            texts.append(" ".join([*words_of(prose(300 + i, 4)), *words, *words_of(prose(400 + i, 4))]))
+        got = {(doc, item) for doc, item, *_ in bench_wand.confirmed(index, textkit.text_array(pa.array(texts)))}
+        assert got == {(i, i) for i in range(40)}
+    other = [" ".join([*words_of(prose(300 + i, 4)), item.split("\n")[0], *words_of(prose(400 + i, 4))]) for i, item in items]
+    assert not list(bench_wand.confirmed(index, textkit.text_array(pa.array(other))))
+
+
 def plain_edit(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

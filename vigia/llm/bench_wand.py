@@ -15,7 +15,10 @@ only blocks whose bound reaches the threshold are opened, and their entries
 scored in full. All passages of a chunk advance together in numpy.
 
 An item is confirmed for a document when at least `overlap` of the five-word
-shingles of its question (first line) and of its answer (other lines) occur there.
+shingles of its question (first line) and of its answer (other lines) occur there,
+or, since a changed word takes up to five of them, when a stretch of the document is
+that side but for word edits of at most a share of 1 - `aligned` of its words. A side
+passes either way; its overlap is the larger of the two shares.
 
 Items are indexed in panels of at most `panel_bytes` of text, which bounds what
 reaches the executors; all documents are read once for each panel.
@@ -44,6 +47,7 @@ from vigia.llm.textkit import Pieces, chunks, distinct, grams, terms, text_array
 class BenchRule:
     threshold: float = 0.6
     overlap: float = 0.8
+    aligned: float = 0.7
     shingle: int = 5
     entry_words: int = 64
     passage_words: int = 128
@@ -98,6 +102,7 @@ class BenchIndex:
         parts = [((t or "").split("\n", 1) + [""])[:2] for t in texts.to_pylist()]
         sides = [shingles(terms(text_array(pa.array([p[k] for p in parts], pa.string())))[2], rule.shingle) for k in (0, 1)]
         self.question, self.answer = sides
+        self.sides = [terms(text_array(pa.array([p[k] for p in parts], pa.string())))[2] for k in (0, 1)]
         entries = [(i, a, min(a + rule.entry_words, int(words.first[i + 1]))) for i in range(len(items)) for a in range(int(words.first[i]), int(words.first[i + 1]), rule.entry_words)]
         self.item_of = np.array([e[0] for e in entries], dtype=np.int64)
         self.vocabulary = np.unique(words.digest)
@@ -182,6 +187,19 @@ def _overlap(side: tuple[int, np.ndarray], text: Pieces, found: dict[int, np.nda
     return float(np.isin(digests, found[size]).mean())
 
 
+def aligned_share(side: np.ndarray, text: np.ndarray) -> float:
+    """1 less the word edits, as a share of the side, that turn the side into the stretch of the text most like it."""
+    if not len(side):
+        return 1.0
+    row, steps = np.zeros(len(text) + 1, dtype=np.int64), np.arange(len(text) + 1)
+    for i, word in enumerate(side.tolist(), 1):
+        best = row + 1
+        best[1:] = np.minimum(best[1:], row[:-1] + (text != np.uint64(word)))
+        best[0] = i
+        row = np.minimum.accumulate(best - steps) + steps
+    return 1.0 - float(row.min()) / len(side)
+
+
 def confirmed(index: BenchIndex, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
     """Number of the text and of the item, score, and both overlaps, of the pairs that overlap confirms."""
     _, _, words = terms(texts)
@@ -189,8 +207,13 @@ def confirmed(index: BenchIndex, texts: pa.Array) -> Iterator[tuple[int, int, fl
     for doc, item, score in zip(*(x.tolist() for x in index.search(words)), strict=True):
         if doc != last:
             last, text, found = doc, _of_text(words, doc), {}
-        overlaps = [_overlap(side[item], text, found) for side in (index.question, index.answer)]
-        if min(overlaps) >= index.rule.overlap:
+        overlaps, passed = [], True
+        for side, own in zip((index.question, index.answer), index.sides, strict=True):
+            share = _overlap(side[item], text, found)
+            near = aligned_share(_of_text(own, item).digest, text.digest) if share < index.rule.overlap else 0.0
+            passed = passed and (share >= index.rule.overlap or near >= index.rule.aligned - 1e-9)
+            overlaps.append(max(share, near))
+        if passed:
             yield doc, item, min(score, 1.0), *overlaps
 
 
