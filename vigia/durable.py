@@ -1,8 +1,9 @@
 """Reliable cut points of a lineage.
 
 Frames that several branches read, or whose partitioning must not change
-between two readings, are checkpointed to the shared folder of the session, so
-that a lost executor costs a re-read and never a different answer.
+between two readings, are written to the shared folder of the session, so that
+a lost executor costs a re-read and never a different answer. A ``Workspace`` owns
+the tables of one job and deletes them when its result no longer reads them.
 """
 
 from __future__ import annotations
@@ -34,11 +35,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
-
-
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written as Parquet under the shared folder and read back.
 
@@ -53,3 +49,42 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a path, on whatever file system it is, if it is there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Workspace:
+    """The intermediate tables of one job.
+
+    ``with Workspace(spark) as work``: ``work.stored`` keeps a table until the end of the block or
+    until ``work.drop``; ``work.kept`` stores what the job returns. A table may be dropped once
+    everything computed from it is stored; then no reader, and no task that is repeated after
+    the loss of an executor, goes back to it. A job that fails leaves nothing behind.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._own: list[tuple[DataFrame, str]] = []
+
+    def stored(self, frame: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+        """The stored frame; the tables it replaces are dropped when it is complete."""
+        path = scratch_path(self._spark, name)
+        frame.write.parquet(path)
+        table = self._spark.read.schema(frame.schema).parquet(path)
+        self._own.append((table, path))
+        self.drop(*instead_of)
+        return table
+
+    def kept(self, frame: DataFrame, name: str) -> DataFrame:
+        """A table that outlives the block."""
+        return stored(frame, name)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this workspace; others are left alone."""
+        for table, path in [own for own in self._own if any(own[0] is t for t in tables)]:
+            remove(self._spark, path)
+        self._own = [own for own in self._own if not any(own[0] is t for t in tables)]
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop(*[table for table, _ in self._own])
