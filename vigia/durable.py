@@ -62,14 +62,15 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
-        self._own: list[tuple[DataFrame, str]] = []
+        self._own: list[tuple[DataFrame | None, str]] = []
 
     def stored(self, frame: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
         """The stored frame; the tables it replaces are dropped when it is complete."""
         path = scratch_path(self._spark, name)
+        self._own.append((None, path))
         frame.write.parquet(path)
         table = self._spark.read.schema(frame.schema).parquet(path)
-        self._own.append((table, path))
+        self._own[-1] = (table, path)
         self.drop(*instead_of)
         return table
 
@@ -87,4 +88,6 @@ class Workspace:
         return self
 
     def __exit__(self, *_: object) -> None:
-        self.drop(*[table for table, _ in self._own])
+        for _, path in self._own:
+            remove(self._spark, path)
+        self._own = []
