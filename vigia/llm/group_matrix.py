@@ -3,16 +3,16 @@
 A text is the set of its distinct runs of `words` words; tokens are 64-bit digests of such runs. Texts of
 one set are one class and take part once.
 
-1. **Groups.** Classes that agree in the first token of a global order, or in a second key, are compared
-   in small blocks, and the links found are joined to components. A group is at most `group_members` classes of one component
-   (most groups are a single class). Whatever this step misses, the next one finds.
+1. **Groups.** Classes with the same first token of a global order (rare tokens first), mostly texts that are alike, form
+   groups of at most `group_members`. In blocks of such classes, and of classes that agree in another key (the least of their first tokens by other digests), links are searched at once and joined
+   to components, so that families of copies are connected before the next step. Whatever this misses, the next step finds.
 2. **Matrix.** Stored are the tokens of each group, the union over its members, restricted to what a link
-   cannot avoid: with tokens ordered by how common they are, rare ones first, two linked sets share a token among the first n - ceil(0.85 n) + 1 of the
-   longer and the first n - ceil(2 * 0.85 n / 1.85) + 1 of the shorter. A class meets the groups of other components that share such a token
-   and hold members of a fitting size. Components without such a token in common with others drop out before any join.
-3. **Bound and opening.** For a class and a group the overlap of the class with the group's whole union
-   bounds the overlap with every member. Only groups that reach the needed overlap are opened and their members
-   compared exactly; one link tells all, since the members of a group are connected already.
+   cannot avoid: two linked sets share a token among the first n - ceil(0.85 n) + 1 of the
+   longer and the first n - ceil(2 * 0.85 n / 1.85) + 1 of the shorter. A class meets the groups that share such a token
+   and hold a member of a fitting size and of another component. Tokens of one component only drop out before any join.
+3. **Bound and opening.** Each class and each group's whole union also has a bit map with several places for each token (a long map
+   folds onto a shorter one). Places of the class that the union lacks bound the overlap with every member from above. Only groups that
+   can reach the needed overlap are opened: their members outside the class's component are compared exactly.
 4. **Components** of both kinds of links.
 
 How common a token is comes from counting the tokens met twice or more within a piece of the input; the
@@ -53,6 +53,8 @@ class JaccardRule:
     group_members: int = 64
     group_tokens: int = 1 << 17  # a group or block is closed when its members have so many tokens together
     common_tokens: int = 1 << 18
+    more_keys: int = 4  # keys besides the first token, by which links are searched before the matrix
+    places: int = 8  # bits of a map for each token
     queries_per_task: int = 512  # classes that meet one group in one task
 
     def needed(self, n: np.ndarray) -> np.ndarray:
@@ -118,6 +120,27 @@ def _spans(first: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.repeat(first[chosen] - start[:-1], size) + np.arange(start[-1])
 
 
+def _maps(scrambled: np.ndarray, doc: np.ndarray, size: np.ndarray, rule: JaccardRule) -> pa.Array:
+    """A bit map of each set: a power of two of places, at least `places` for each token."""
+    width = (1 << np.ceil(np.log2(np.maximum(8, rule.places * size))).astype(np.int64)).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(width)])
+    marks = np.zeros(start[-1], dtype=bool)
+    marks[start[doc] + (scrambled & (width[doc] - 1).astype(np.uint64)).astype(np.int64)] = True
+    packed = np.packbits(marks, bitorder="little")
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(start // 8), pa.py_buffer(packed)]).cast(pa.binary())
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """The map with `width` bytes, each standing for all that fall on it."""
+    return bits if len(bits) == width else np.bitwise_or.reduce(bits.reshape(-1, width), axis=0)
+
+
+def most_common(bits: np.ndarray, n: int, other: np.ndarray) -> int:
+    """The set of n tokens has at most so many in common with what the other map covers: each place of its own that the other lacks is a token it lacks."""
+    width = min(len(bits), len(other))
+    return n - int(np.bitwise_count(folded(bits, width) & ~folded(other, width)).sum())
+
+
 def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
@@ -163,9 +186,9 @@ def _common(described: DataFrame, work: Workspace, rule: JaccardRule) -> tuple[n
 
 
 def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], rule: JaccardRule) -> DataFrame:
-    """vertex, n, tokens, key, other: the first tokens of each class in the global order, and two grouping keys."""
+    """vertex, n, tokens, key, other, bits: the first tokens of each class in the global order, more grouping keys, and its bit map."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
-    names = ["vertex", "n", "tokens", "key", "other"]
+    names = ["vertex", "n", "tokens", "key", "others", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
@@ -190,11 +213,12 @@ def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], rule: Jacc
                 take = rule.probed(size)
                 begin = np.concatenate([[0], np.cumsum(take)])
                 head = order[np.repeat(start[:-1] - begin[:-1], take) + np.arange(begin[-1])]
-                other = np.minimum.reduceat(mixed(tokens[head] ^ np.uint64(0x9B05688C2B3E6C1F)), begin[:-1])
+                others = [np.minimum.reduceat(mixed(tokens[head] ^ mixed(np.array([seed]))[0]), begin[:-1]) for seed in range(1, rule.more_keys + 1)]
+                others = np.stack(others, axis=1).ravel() if others else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(vertex[once]), pa.array(size), _lists(tokens[head], take), pa.array(tokens[head[begin[:-1]]].view(np.int64)), pa.array(other.view(np.int64))], names=names)
+                    [pa.array(vertex[once]), pa.array(size), _lists(tokens[head], take), pa.array(tokens[head[begin[:-1]]].view(np.int64)), _lists(others, np.full(len(size), rule.more_keys)), _maps(scrambled, doc, size, rule)], names=names)
 
-    found = _source(docs).select("text").mapInArrow(run, "vertex bigint, n bigint, tokens array<bigint>, key bigint, other bigint")
+    found = _source(docs).select("text").mapInArrow(run, "vertex bigint, n bigint, tokens array<bigint>, key bigint, others array<bigint>, bits binary")
     return found.dropDuplicates(["vertex"])
 
 
@@ -260,22 +284,24 @@ def _blocks(members: DataFrame, key: str, chained: bool, rule: JaccardRule) -> D
 
 
 def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
-    """Consecutive rows with equal keys; lists as numpy arrays of tokens."""
+    """Consecutive rows with equal keys; token lists and bit maps as numpy arrays."""
     held: list[dict] = []
     for batch in batches:
-        tokens = batch.column(batch.schema.get_field_index("tokens"))
-        flat, ends = tokens.values.to_numpy(zero_copy_only=False).view(np.uint64), tokens.offsets.to_numpy()
-        plain = [c for c in batch.schema.names if c != "tokens"]
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in plain]
-        for i, row in enumerate(zip(*columns, strict=True)):
-            made = dict(zip(plain, row, strict=True))
-            made["tokens"] = flat[ends[i] : ends[i + 1]]
+        columns = {}
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if name == "tokens":
+                flat, ends = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
+                columns[name] = [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)]  # no views of a batch that goes
+            elif name == "bits":
+                columns[name] = [np.frombuffer(x, dtype=np.uint8) for x in column.to_pylist()]
+            else:
+                columns[name] = column.to_pylist()
+        for row in zip(*columns.values(), strict=True):
+            made = dict(zip(columns, row, strict=True))
             if held and any(held[0][k] != made[k] for k in keys):
                 yield held
                 held = []
             held.append(made)
-        for row in held:
-            row["tokens"] = row["tokens"].copy()  # not a view of a batch that goes
     if held:
         yield held
 
@@ -318,6 +344,34 @@ def links_within(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def _promising(blocks: DataFrame, prefixes: DataFrame, rule: JaccardRule) -> DataFrame:
+    """block, vertex: the members that their bit maps allow to link with another one of their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, vertex = [], []
+        for rows in _runs(batches, "block"):
+            rows.sort(key=lambda r: (r["n"], r["vertex"]))
+            needed = rule.needed(np.array([r["n"] for r in rows]))
+            kept = [False] * len(rows)
+            for j in range(1, len(rows)):
+                for i in range(j - 1, -1, -1):
+                    if rows[i]["n"] < needed[j]:
+                        break
+                    if kept[i] and kept[j]:
+                        continue
+                    short, long = rows[i], rows[j]
+                    if most_common(short["bits"], short["n"], long["bits"]) >= needed[j] and most_common(long["bits"], long["n"], short["bits"]) >= needed[j]:
+                        kept[i] = kept[j] = True
+            for row, one in zip(rows, kept, strict=True):
+                if one:
+                    block.append(row["block"])
+                    vertex.append(row["vertex"])
+        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(vertex, pa.int64())], names=["block", "vertex"])
+
+    joined = blocks.select("block", "vertex").join(prefixes.select("vertex", "n", "bits"), "vertex")
+    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block bigint, vertex bigint")
+
+
 def _links_in_blocks(blocks: DataFrame, sets: DataFrame, rule: JaccardRule) -> DataFrame:
     """a, b: links between classes of one block, enough to connect them."""
 
@@ -349,7 +403,7 @@ def _passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 
 
 def _candidates(prefixes: DataFrame, grouped: DataFrame, work: Workspace, rule: JaccardRule) -> DataFrame:
-    """vertex, block: classes and the groups of other components that may hold a link."""
+    """vertex, comp, block: classes and the groups that may hold a link to another component."""
     percent = rule.percent
     shorter = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
     cells = grouped.join(prefixes.select("vertex", "tokens"), "vertex").select("vertex", "comp", "block", "n", F.posexplode("tokens").alias("at", "token"))
@@ -358,41 +412,74 @@ def _candidates(prefixes: DataFrame, grouped: DataFrame, work: Workspace, rule:
     between = cells.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("short").alias("short")).where("low <> high and short")
     between = work.stored(between.select("token"), "matrix-tokens")
     shared = work.stored(_passing(cells, "token", between), "matrix", (cells,))
-    columns = shared.where("short").groupBy("token", F.col("block").alias("group"), F.col("comp").alias("of")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = (F.col("of") != F.col("comp")) & (F.col("least") <= F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
-    met = shared.select("token", "vertex", "comp", "n").join(columns, "token").where(fits)
-    return met.select("vertex", "comp", F.col("group").alias("block"), F.col("of").alias("block_comp")).distinct()
+    columns = shared.where("short").groupBy("token", F.col("block").alias("group")).agg(
+        F.min(F.struct("n", "vertex")).alias("least"), F.max("n").alias("most"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    other = (F.col("low") != F.col("comp")) | (F.col("high") != F.col("comp"))
+    # Of two classes the longer asks, of equally long ones that of greater number.
+    fits = (F.col("least") < F.struct("n", "vertex")) & (100 * F.col("most") >= percent * F.col("n"))
+    met = shared.select("token", "vertex", "comp", "n").join(columns, "token").where(other & fits)
+    return met.select("vertex", "comp", F.col("group").alias("block")).distinct()
+
+
+def _unions(grouped: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """block, union_bits: the bit map of all tokens of each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, union = [], []
+        for rows in _runs(batches, "block"):
+            width = min(len(r["bits"]) for r in rows)
+            block.append(rows[0]["block"])
+            union.append(np.bitwise_or.reduce([folded(r["bits"], width) for r in rows]).tobytes())
+            if len(block) == 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(union, pa.binary())], names=["block", "union_bits"])
+                block, union = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(union, pa.binary())], names=["block", "union_bits"])
+
+    joined = grouped.select("block", "vertex").join(prefixes.select("vertex", "bits"), "vertex")
+    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block bigint, union_bits binary")
+
+
+def _qualifying(candidates: DataFrame, grouped: DataFrame, prefixes: DataFrame, rule: JaccardRule) -> DataFrame:
+    """The candidates whose group's union may hold as much of the class as a link needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits, union, n = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("bits", "union_bits", "n"))
+            needed = rule.needed(np.array(n, dtype=np.int64))
+            passed = [most_common(np.frombuffer(x, np.uint8), size, np.frombuffer(y, np.uint8)) >= need for x, y, size, need in zip(bits, union, n, needed, strict=True)]
+            yield batch.filter(pa.array(passed, pa.bool_())).select(["vertex", "comp", "block"])
+
+    met = grouped.join(candidates.select("block").distinct(), "block", "left_semi")
+    joined = candidates.join(prefixes.select("vertex", "n", "bits"), "vertex").join(_unions(met, prefixes), "block")
+    return joined.select("vertex", "comp", "block", "n", "bits", "union_bits").mapInArrow(run, "vertex bigint, comp bigint, block bigint")
 
 
 def _links_across(candidates: DataFrame, grouped: DataFrame, sets: DataFrame, work: Workspace, rule: JaccardRule) -> DataFrame:
-    """a, b: components of which a class of one links with a member of a group of the other."""
+    """a, b: components of which a class of one links with a class of the other, from opened groups."""
     salts = candidates.groupBy("block").agg(F.count("*").alias("n_rows")).select("block", "n_rows", F.expr(f"1 + n_rows div {rule.queries_per_task}").cast("int").alias("salts"))
     salts = work.stored(salts, "group-queries")
     queries = lookup(candidates, salts, ["block"], "n_rows").select(
-        "block", F.pmod(F.xxhash64("vertex"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "vertex", "comp", "block_comp")
+        "block", F.pmod(F.xxhash64("vertex"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "vertex", "comp")
     members = grouped.join(salts.drop("n_rows"), "block").select(
-        "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "vertex", "comp", F.col("comp").alias("block_comp"))
+        "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "vertex", "comp")
     rows = queries.unionByName(members).join(sets.select("vertex", "tokens"), "vertex")
     percent = rule.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for found in _runs(batches, "block", "salt"):
-            sets_of = [r["tokens"] for r in found if r["role"] == 0]
-            whole = np.concatenate(sets_of)
-            size = np.array([len(s) for s in sets_of])
-            owner = np.repeat(np.arange(len(sets_of)), size)
-            union = np.unique(whole)
-            for query in found[len(sets_of) :]:
+            members = [r for r in found if r["role"] == 0]
+            size = np.array([len(r["tokens"]) for r in members])
+            comp = np.array([r["comp"] for r in members])
+            whole, owner = np.concatenate([r["tokens"] for r in members]), np.repeat(np.arange(len(size)), size)
+            for query in found[len(members) :]:
                 own = query["tokens"]
-                place = np.minimum(np.searchsorted(union, own), len(union) - 1)
-                if int((union[place] == own).sum()) < rule.needed(len(own)):
-                    continue  # no member can share enough: the group stays closed
                 place = np.minimum(np.searchsorted(own, whole), len(own) - 1)
                 common = np.bincount(owner[own[place] == whole], minlength=len(size))
-                if _linked(common, size, len(own), percent).any():
+                hits = _linked(common, size, len(own), percent) & (comp != query["comp"])
+                for of in np.unique(comp[hits]).tolist():
                     a.append(query["comp"])
-                    b.append(query["block_comp"])
+                    b.append(of)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return rows.repartition("block", "salt").sortWithinPartitions("block", "salt", "role", "vertex").mapInArrow(run, "a bigint, b bigint").distinct()
@@ -415,23 +502,23 @@ def linked_documents(docs: DataFrame, rule: JaccardRule = JaccardRule()) -> Data
             raise ValueError("two sets of shingles have one digest: change the seeds of _set_digests")
         prefixes = work.stored(_prefixes(docs, _common(described, work, rule), rule), "prefixes")
 
-        # Groups: blocks of classes with a key in common.
-        keys = work.stored(prefixes.select("vertex", "n", F.explode(F.array_distinct(F.array("key", "other"))).alias("key")), "keys")
+        # Groups: classes with a key in common.
+        keys = work.stored(prefixes.select("vertex", "n", F.explode(F.array_distinct(F.concat(F.array("key"), "others"))).alias("key")), "keys")
         popular = work.stored(keys.groupBy("key").agg(F.count("*").alias("n_rows")).where("n_rows > 1").withColumn("met", F.lit(True)), "popular-keys")
         members = lookup(keys, popular, ["key"], "n_rows").where("met").select("key", "vertex", "n")
         blocks = work.stored(_blocks(members, "key", True, rule), "blocks", (keys, popular))
-        wanted = classes.join(blocks.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "doc_id")
-        sets = work.stored(_fetched(docs, work.stored(wanted, "wanted"), rule), "block-sets")
-        roots = components(work.stored(_links_in_blocks(blocks, sets, rule), "block-links", (sets, blocks)))
-        comps = work.stored(_rooted(classes.select(F.col("vertex").alias("comp"), "vertex", "n"), "comp", roots).select("comp", "vertex", "n"), "first-components")
-        grouped = work.stored(_blocks(comps, "comp", False, rule), "groups")
-
-        # Matrix: classes against the groups of other components.
-        candidates = work.stored(_candidates(prefixes, grouped, work, rule), "candidates", (prefixes,))
-        opened = grouped.join(candidates.select("block").distinct(), "block", "left_semi").select("vertex")
-        wanted = classes.join(opened.unionByName(candidates.select("vertex")).distinct(), "vertex", "left_semi").select("vertex", "doc_id")
-        sets = work.stored(_fetched(docs, work.stored(wanted, "wanted"), rule), "candidate-sets")
-        roots = components(work.stored(_links_across(candidates, grouped, sets, work, rule), "group-links", (sets,)))
+        blocks = work.stored(_promising(blocks, prefixes, rule), "promising", (blocks,))
+        wanted = work.stored(classes.join(blocks.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "doc_id"), "wanted")
+        roots = components(work.stored(_links_in_blocks(blocks, _fetched(docs, wanted, rule), rule), "block-links", (blocks, wanted)))
+        comps = work.stored(_rooted(prefixes.select(F.col("vertex").alias("comp"), "vertex", "n", "key"), "comp", roots), "first-components")
+        grouped = work.stored(_blocks(comps.select("key", "vertex", "n", "comp"), "key", False, rule).select("vertex", "n", "comp", "block"), "groups")
+
+        # Matrix: classes against the groups that hold other components.
+        candidates = work.stored(_candidates(prefixes, grouped, work, rule), "candidates")
+        candidates = work.stored(_qualifying(candidates, grouped, prefixes, rule), "qualifying", (candidates, prefixes))
+        opened = work.stored(grouped.join(candidates.select("block").distinct(), "block", "left_semi"), "opened")
+        wanted = work.stored(classes.join(opened.select("vertex").union(candidates.select("vertex")).distinct(), "vertex", "left_semi").select("vertex", "doc_id"), "wanted")
+        roots = components(work.stored(_links_across(candidates, opened, _fetched(docs, wanted, rule), work, rule), "group-links", (wanted, opened)))
 
         # Names: the least id of a component, brought back to the rows; a class or a component may hold any share of them.
         final = work.stored(_rooted(comps, "comp", roots).join(classes.select("vertex", "doc_id", "n_rows"), "vertex"), "components")
