@@ -3,16 +3,17 @@
 A text is the set of its distinct runs of `words` words; tokens are 64-bit digests of such runs. Texts of
 one set are one class and take part once.
 
-1. **Groups.** Classes with the same first token of a global order (rare tokens first), mostly texts that are alike, form
-   groups of at most `group_members`. In blocks of such classes, and of classes that agree in another key (the least of their first tokens by other digests), links are searched at once and joined
-   to components, so that families of copies are connected before the next step. Whatever this misses, the next step finds.
+1. **Groups.** Classes with the same first token of a global order (rare tokens first), or with another key in common (the least of
+   their first tokens by other digests), meet in blocks; links found there are joined to components, so that families of copies are
+   connected before the next step, and whatever this misses the next step finds. A group is at most `group_members` classes: of one component, or
+   single classes with the same last token (the most common one: texts of one family share it).
 2. **Matrix.** Stored are the tokens of each group, the union over its members, restricted to what a link
-   cannot avoid: two linked sets share a token among the first n - ceil(0.85 n) + 1 of the
-   longer and the first n - ceil(2 * 0.85 n / 1.85) + 1 of the shorter. A class meets the groups that share such a token
-   and hold a member of a fitting size and of another component. Tokens of one component only drop out before any join.
+   cannot avoid: two linked sets share a token among the first n - ceil(0.85 n) + 1 of both. A class meets the groups that share such a token
+   and hold a member of a fitting size and of a larger component (of equally large ones, that of greater number), so a
+   few texts at the edge of a large family ask, and not the family. Tokens of one component only drop out before any join.
 3. **Bound and opening.** Each class and each group's whole union also has a bit map with several places for each token (a long map
    folds onto a shorter one). Places of the class that the union lacks bound the overlap with every member from above. Only groups that
-   can reach the needed overlap are opened: their members outside the class's component are compared exactly.
+   can reach the needed overlap are opened: their members outside the class's component are compared, by their own maps and then exactly.
 4. **Components** of both kinds of links.
 
 How common a token is comes from counting the tokens met twice or more within a piece of the input; the
@@ -62,13 +63,9 @@ class JaccardRule:
         return -(-self.percent * n // 100)
 
     def probed(self, n: np.ndarray) -> np.ndarray:
-        """So many first tokens of the longer set meet the first tokens of the shorter."""
+        """So many first tokens of a set meet as many of each set it links with."""
         return np.where(n > 0, n - self.needed(n) + 1, 0)
 
-    def indexed(self, n: np.ndarray) -> np.ndarray:
-        """The same for the shorter set."""
-        return np.where(n > 0, n - -(-2 * self.percent * n // (100 + self.percent)) + 1, 0)
-
 
 # -- sets of tokens ---------------------------------------------------------------
 
@@ -186,9 +183,9 @@ def _common(described: DataFrame, work: Workspace, rule: JaccardRule) -> tuple[n
 
 
 def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], rule: JaccardRule) -> DataFrame:
-    """vertex, n, tokens, key, other, bits: the first tokens of each class in the global order, more grouping keys, and its bit map."""
+    """vertex, n, tokens, key, others, last, bits: the first tokens of each class in the global order, grouping keys, its last token, and its bit map."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
-    names = ["vertex", "n", "tokens", "key", "others", "bits"]
+    names = ["vertex", "n", "tokens", "key", "others", "last", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
@@ -216,9 +213,9 @@ def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], rule: Jacc
                 others = [np.minimum.reduceat(mixed(tokens[head] ^ mixed(np.array([seed]))[0]), begin[:-1]) for seed in range(1, rule.more_keys + 1)]
                 others = np.stack(others, axis=1).ravel() if others else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(vertex[once]), pa.array(size), _lists(tokens[head], take), pa.array(tokens[head[begin[:-1]]].view(np.int64)), _lists(others, np.full(len(size), rule.more_keys)), _maps(scrambled, doc, size, rule)], names=names)
+                    [pa.array(vertex[once]), pa.array(size), _lists(tokens[head], take), pa.array(tokens[head[begin[:-1]]].view(np.int64)), _lists(others, np.full(len(size), rule.more_keys)), pa.array(tokens[order[start[1:] - 1]].view(np.int64)), _maps(scrambled, doc, size, rule)], names=names)
 
-    found = _source(docs).select("text").mapInArrow(run, "vertex bigint, n bigint, tokens array<bigint>, key bigint, others array<bigint>, bits binary")
+    found = _source(docs).select("text").mapInArrow(run, "vertex bigint, n bigint, tokens array<bigint>, key bigint, others array<bigint>, last bigint, bits binary")
     return found.dropDuplicates(["vertex"])
 
 
@@ -405,64 +402,64 @@ def _passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 def _candidates(prefixes: DataFrame, grouped: DataFrame, work: Workspace, rule: JaccardRule) -> DataFrame:
     """vertex, comp, block: classes and the groups that may hold a link to another component."""
     percent = rule.percent
-    shorter = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
-    cells = grouped.join(prefixes.select("vertex", "tokens"), "vertex").select("vertex", "comp", "block", "n", F.posexplode("tokens").alias("at", "token"))
-    # One more than the exact figure never harms: it guards against the rounding of the quotient.
-    cells = work.stored(cells.select("token", "vertex", "comp", "block", "n", (F.col("at") <= shorter).alias("short")), "matrix-cells")
-    between = cells.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("short").alias("short")).where("low <> high and short")
+    cells = grouped.join(prefixes.select("vertex", "tokens"), "vertex").select("vertex", "comp", "many", "block", "n", F.explode("tokens").alias("token"))
+    cells = work.stored(cells, "matrix-cells")
+    between = cells.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     between = work.stored(between.select("token"), "matrix-tokens")
     shared = work.stored(_passing(cells, "token", between), "matrix", (cells,))
-    columns = shared.where("short").groupBy("token", F.col("block").alias("group")).agg(
-        F.min(F.struct("n", "vertex")).alias("least"), F.max("n").alias("most"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    other = (F.col("low") != F.col("comp")) | (F.col("high") != F.col("comp"))
-    # Of two classes the longer asks, of equally long ones that of greater number.
-    fits = (F.col("least") < F.struct("n", "vertex")) & (100 * F.col("most") >= percent * F.col("n"))
-    met = shared.select("token", "vertex", "comp", "n").join(columns, "token").where(other & fits)
+    columns = shared.groupBy("token", F.col("block").alias("group")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.struct("many", "comp")).alias("top"))
+    fits = (percent * F.col("least") <= 100 * F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
+    met = shared.select("token", "vertex", "comp", "many", "n").join(columns, "token").where(fits & (F.struct("many", "comp") < F.col("top")))
     return met.select("vertex", "comp", F.col("group").alias("block")).distinct()
 
 
-def _unions(grouped: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """block, union_bits: the bit map of all tokens of each group."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, union = [], []
-        for rows in _runs(batches, "block"):
-            width = min(len(r["bits"]) for r in rows)
-            block.append(rows[0]["block"])
-            union.append(np.bitwise_or.reduce([folded(r["bits"], width) for r in rows]).tobytes())
-            if len(block) == 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(union, pa.binary())], names=["block", "union_bits"])
-                block, union = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(union, pa.binary())], names=["block", "union_bits"])
+def _qualifying(candidates: DataFrame, grouped: DataFrame, prefixes: DataFrame, work: Workspace, rule: JaccardRule) -> DataFrame:
+    """block, salt, role, vertex, comp: groups to be opened, with the classes that ask (role 1) and the members they may link with (role 0).
 
-    joined = grouped.select("block", "vertex").join(prefixes.select("vertex", "bits"), "vertex")
-    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block bigint, union_bits binary")
+    A group that very many classes meet is dealt out, with its members, to several tasks.
+    """
+    salts = candidates.groupBy("block").agg(F.count("*").alias("n_rows")).withColumn("salts", F.expr(f"1 + n_rows div {rule.queries_per_task}").cast("int"))
+    salts = work.stored(salts, "group-queries")
+    queries = lookup(candidates, salts, ["block"], "n_rows").select(
+        "block", F.pmod(F.xxhash64("vertex"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "vertex", "comp")
+    members = grouped.join(salts.drop("n_rows"), "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "vertex", "comp")
+    rows = queries.unionByName(members).join(prefixes.select("vertex", "n", "bits"), "vertex")
+    percent = rule.percent
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _runs(batches, "block", "salt"):
+            members = [r for r in found if r["role"] == 0]
+            width = min(len(r["bits"]) for r in members)
+            union = np.bitwise_or.reduce([folded(r["bits"], width) for r in members])
+            asked: set[int] = set()
+            kept = []
+            for query in found[len(members) :]:
+                n, bits = query["n"], query["bits"]
+                if most_common(bits, n, union) < -(-percent * n // 100):
+                    continue  # no member can share enough: the group stays closed
+                some = False
+                for i, member in enumerate(members):
+                    m = member["n"]
+                    needed = -(-percent * (n + m) // (100 + percent))
+                    if member["comp"] != query["comp"] and needed <= min(n, m) and most_common(bits, n, member["bits"]) >= needed and most_common(member["bits"], m, bits) >= needed:
+                        asked.add(i)
+                        some = True
+                if some:
+                    kept.append(query)
+            kept += [members[i] for i in asked]
+            yield pa.RecordBatch.from_pylist([{k: r[k] for k in ("block", "salt", "role", "vertex", "comp")} for r in kept], schema=_OPENED)
 
-def _qualifying(candidates: DataFrame, grouped: DataFrame, prefixes: DataFrame, rule: JaccardRule) -> DataFrame:
-    """The candidates whose group's union may hold as much of the class as a link needs."""
+    return rows.repartition("block", "salt").sortWithinPartitions("block", "salt", "role").mapInArrow(run, "block bigint, salt int, role int, vertex bigint, comp bigint")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits, union, n = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("bits", "union_bits", "n"))
-            needed = rule.needed(np.array(n, dtype=np.int64))
-            passed = [most_common(np.frombuffer(x, np.uint8), size, np.frombuffer(y, np.uint8)) >= need for x, y, size, need in zip(bits, union, n, needed, strict=True)]
-            yield batch.filter(pa.array(passed, pa.bool_())).select(["vertex", "comp", "block"])
 
-    met = grouped.join(candidates.select("block").distinct(), "block", "left_semi")
-    joined = candidates.join(prefixes.select("vertex", "n", "bits"), "vertex").join(_unions(met, prefixes), "block")
-    return joined.select("vertex", "comp", "block", "n", "bits", "union_bits").mapInArrow(run, "vertex bigint, comp bigint, block bigint")
+_OPENED = pa.schema([("block", pa.int64()), ("salt", pa.int32()), ("role", pa.int32()), ("vertex", pa.int64()), ("comp", pa.int64())])
 
 
-def _links_across(candidates: DataFrame, grouped: DataFrame, sets: DataFrame, work: Workspace, rule: JaccardRule) -> DataFrame:
+def _links_across(opened: DataFrame, sets: DataFrame, rule: JaccardRule) -> DataFrame:
     """a, b: components of which a class of one links with a class of the other, from opened groups."""
-    salts = candidates.groupBy("block").agg(F.count("*").alias("n_rows")).select("block", "n_rows", F.expr(f"1 + n_rows div {rule.queries_per_task}").cast("int").alias("salts"))
-    salts = work.stored(salts, "group-queries")
-    queries = lookup(candidates, salts, ["block"], "n_rows").select(
-        "block", F.pmod(F.xxhash64("vertex"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "vertex", "comp")
-    members = grouped.join(salts.drop("n_rows"), "block").select(
-        "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "vertex", "comp")
-    rows = queries.unionByName(members).join(sets.select("vertex", "tokens"), "vertex")
+    rows = opened.join(sets.select("vertex", "tokens"), "vertex")
     percent = rule.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -510,15 +507,17 @@ def linked_documents(docs: DataFrame, rule: JaccardRule = JaccardRule()) -> Data
         blocks = work.stored(_promising(blocks, prefixes, rule), "promising", (blocks,))
         wanted = work.stored(classes.join(blocks.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "doc_id"), "wanted")
         roots = components(work.stored(_links_in_blocks(blocks, _fetched(docs, wanted, rule), rule), "block-links", (blocks, wanted)))
-        comps = work.stored(_rooted(prefixes.select(F.col("vertex").alias("comp"), "vertex", "n", "key"), "comp", roots), "first-components")
-        grouped = work.stored(_blocks(comps.select("key", "vertex", "n", "comp"), "key", False, rule).select("vertex", "n", "comp", "block"), "groups")
+        comps = work.stored(_rooted(prefixes.select(F.col("vertex").alias("comp"), "vertex", "n", "last"), "comp", roots), "first-components")
+        sizes = work.stored(comps.groupBy("comp").agg(F.count("*").alias("many"), F.count("*").alias("n_rows")), "component-sizes")
+        alike = F.when(F.col("many") > 1, F.col("comp")).otherwise(F.col("last")).alias("alike")
+        grouped = lookup(comps, sizes, ["comp"], "n_rows").select(alike, "vertex", "n", "comp", "many")
+        grouped = work.stored(_blocks(grouped, "alike", False, rule).drop("alike"), "groups")
 
         # Matrix: classes against the groups that hold other components.
         candidates = work.stored(_candidates(prefixes, grouped, work, rule), "candidates")
-        candidates = work.stored(_qualifying(candidates, grouped, prefixes, rule), "qualifying", (candidates, prefixes))
-        opened = work.stored(grouped.join(candidates.select("block").distinct(), "block", "left_semi"), "opened")
-        wanted = work.stored(classes.join(opened.select("vertex").union(candidates.select("vertex")).distinct(), "vertex", "left_semi").select("vertex", "doc_id"), "wanted")
-        roots = components(work.stored(_links_across(candidates, opened, _fetched(docs, wanted, rule), work, rule), "group-links", (wanted, opened)))
+        opened = work.stored(_qualifying(candidates, grouped, prefixes, work, rule), "qualifying", (candidates, prefixes))
+        wanted = work.stored(classes.join(opened.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "doc_id"), "wanted")
+        roots = components(work.stored(_links_across(opened, _fetched(docs, wanted, rule), rule), "group-links", (wanted, opened)))
 
         # Names: the least id of a component, brought back to the rows; a class or a component may hold any share of them.
         final = work.stored(_rooted(comps, "comp", roots).join(classes.select("vertex", "doc_id", "n_rows"), "vertex"), "components")
