@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import io
 import json
+import random
 from datetime import date
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 from vigia.business import BillingLimits
@@ -179,10 +182,14 @@ def test_unusable_files(spark, tmp_path):
             read_billing_file(spark, str(empty))
 
 
+def _read(spark, path):
+    return [tuple(r) for r in read_billing_file(spark, str(path)).orderBy("fila_origen").collect()]
+
+
 def test_damaged_records_make_a_file_unreadable(spark, tmp_path):
-    """A decimal comma, a line break inside a field and a quote that never closes; a short line is only incomplete."""
+    """A decimal comma and a quote that never closes; a short line is only incomplete."""
     for n, (line, problem) in enumerate({
-        "4,2026-09,10,1500,75": "Fila 3: más campos", '4,2026-09,10,"5\n6"': "Fila 3: comillas", '4,"2026-09,10,5': "Fila 3: comillas",
+        "4,2026-09,10,1500,75": "Fila 3: más campos", '4,"2026-09,10,5': "Fila 3: comillas", '4,2026-09,1,"5""': "Fila 3: comillas",
     }.items()):
         path = tmp_path / f"malo-{n}.csv"
         path.write_text(HEADER + "1,2026-09,1,5\n" + line + "\n2,2026-09,1,5\n")
@@ -190,8 +197,78 @@ def test_damaged_records_make_a_file_unreadable(spark, tmp_path):
             read_billing_file(spark, str(path))
     short = tmp_path / "incompleto.csv"
     short.write_text(HEADER + '1,2026-09\n2,2026-09,"1,5",9\n')
-    rows = [tuple(r) for r in read_billing_file(spark, str(short)).orderBy("fila_origen").collect()]
-    assert rows == [(2, "1", "2026-09", "", ""), (3, "2", "2026-09", "1,5", "9")]
+    assert _read(spark, short) == [(2, "1", "2026-09", "", ""), (3, "2", "2026-09", "1,5", "9")]
+
+
+def test_quotes_and_line_breaks_as_in_the_reports_of_users(spark, tmp_path):
+    """A stray quote is text, a quoted field may go on in the next lines, and both are judged by the rules."""
+    path = tmp_path / "comillas.csv"
+    path.write_text(HEADER + 'CLI-0001,2026-08-01,5",20\nCLI-0002,2026-08-01,10,"5\n6"\n \t\n"CLI-""3""",2026-08,"1"0,"\n\n"\n4,2026-08,1,5\n')
+    assert _read(spark, path) == [
+        (2, "CLI-0001", "2026-08-01", '5"', "20"), (3, "CLI-0002", "2026-08-01", "10", "5\n6"),
+        (4, 'CLI-"3"', "2026-08", "10", "\n\n"), (5, "4", "2026-08", "1", "5")]
+    judged = bq.apply_rules(bq.normalize_billing(read_billing_file(spark, str(path))), date(2026, 8, 20))
+    assert rules_by_line(judged) == {2: "VAL_03", 3: "VAL_05", 4: "COM_04; VAL_01"}
+
+
+def _untidy_csv(seed: int, records: int) -> str:
+    draw = random.Random(seed)
+    pieces = ["a", "1", ",", '"', '""', "\n", "\n\n", " ", "é", "x,y", '",', '\n"']
+
+    def cell():
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(5)))
+        if draw.random() < 0.6:
+            return '"' + text.replace('"', '""') + '"' + draw.choice(["", "", "z", 'q"r'])
+        return draw.choice(["", "b"]) + text.replace(",", "").replace("\n", "").replace('"', draw.choice(["", "x"])) + draw.choice(["", '"s'])
+
+    rows = []
+    for n in range(records):
+        cells = [f"id{n}", *[cell() for _ in range(3)]]
+        cells[1:] = ["k" + c if c.startswith('"') and not c.endswith('"') and c.count('"') % 2 else c for c in cells[1:]]
+        rows.append(",".join(cells))
+        if draw.random() < 0.1:
+            rows.append(draw.choice(["", "  "]))
+    return HEADER + "\n".join(rows) + "\n"
+
+
+@pytest.mark.parametrize("seed", (1, 2, 5))
+def test_records_over_many_splits_equal_reading_in_one_go(spark, tmp_path, seed):
+    """Files cut into splits of 60 bytes: most splits begin inside a record, many inside quotes."""
+    content = _untidy_csv(seed, 40)
+    try:
+        expected = pd.read_csv(io.StringIO(content), dtype=str, keep_default_na=False)
+    except pd.errors.ParserError as problem:
+        expected = problem
+    path = tmp_path / "cortes.csv"
+    path.write_text(content, encoding="utf-8", newline="")
+    options = {"spark.sql.files.maxPartitionBytes": "60", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        if isinstance(expected, Exception):
+            with pytest.raises(BillingFileError):
+                read_billing_file(spark, str(path))
+        else:
+            rows = _read(spark, path)
+            assert rows == [(i + 2, *r) for i, r in enumerate(expected.itertuples(index=False, name=None))]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_text_is_scanned_once(spark, tmp_path, monkeypatch):
+    """All that is read after the first stored table are stored tables."""
+    path = tmp_path / "a.csv"
+    path.write_text(HEADER + '1,2026-09,10,"5\n"\n')
+    reads = []
+    reader = type(spark.read)
+    text = reader.text
+    monkeypatch.setattr(reader, "text", lambda self, *a, **k: (reads.append(a), text(self, *a, **k))[1])
+    plans = []
+    for frame in (read_billing_file(spark, str(path)), bq.validate_billing(spark, str(path), LOAD, str(tmp_path / "o")).judged):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+    assert len(reads) == 2 and not any("FileScan text" in plan for plan in plans)
 
 
 def test_every_file_has_its_own_column_order(spark, tmp_path):

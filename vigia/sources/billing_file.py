@@ -1,23 +1,23 @@
 """The incoming billing files: everything is text until the rules have seen it.
 
-Files are read as lines. Each file has its own header, so files with other column
-orders can arrive together; fields are matched by name. A line with more fields
-than its header, or with an open quote (a field that goes on in the next line),
-makes the file unreadable and is named. Missing fields at the end are blank.
+A field may be quoted and then hold commas, doubled quotes and line breaks; a quote anywhere else is text.
+Each file has its own header, so files with other column
+orders can arrive together; fields are matched by name. A record with more fields
+than its header, or a quote that never closes, makes the file unreadable and is named. Missing fields at the end are blank.
 """
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vigia.durable import remove
-from vigia.operators.ordinal import numbered_lines
+from vigia.durable import Workspace, remove
+from vigia.operators.lookup import lookup
+from vigia.operators.ordinal import numbered_records
 from vigia.schemas import BILLING_COLUMNS
 
 # A quote inside a quoted field is doubled; a backslash is an ordinary character.
@@ -46,63 +46,54 @@ class BillingLines:
     problems: DataFrame
 
 
-def _names(header: str) -> list[str]:
-    fields = next(csv.reader([header.removeprefix("﻿")]), [])
-    return [name.strip().lower() for name in fields]
-
-
-def _fields(line: Column) -> Column:
-    """Number of fields of a line; commas inside quotes do not count."""
-    bare = F.regexp_replace(line, '"[^"]*"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-
-
-def _open_quote(line: Column) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-
-
-def _parsed(lines: DataFrame, names: list[str]) -> DataFrame:
-    schema = ", ".join(f"_c{i} STRING" for i in range(len(names)))
-    row = F.from_csv("value", F.lit(schema), {**DIALECT, "mode": "PERMISSIVE"})
-    return lines.withColumn("_campos", row).select(
-        "archivo", "fila_origen",
-        *[F.coalesce(F.col("_campos").getField(f"_c{names.index(c)}"), F.lit("")).alias(c) for c in BILLING_COLUMNS])
+def _names(header: list[str]) -> tuple[str, ...]:
+    return tuple(name.strip().lower() for name in header)
 
 
 def read_billing_files(spark: SparkSession, paths: list[str], root: str | None = None) -> BillingLines:
-    """Read files of any number; ``archivo`` is the path below ``root`` or the last part of the path."""
-    lines = numbered_lines(spark, paths)
-    full = F.url_decode(F.replace("_archivo", F.lit("+"), F.lit("%2B")))
-    if root is None:
-        name = F.element_at(F.split(full, "/"), -1)
-    else:
-        name = F.substring_index(full, f"{root.rstrip('/').split(':')[-1].lstrip('/')}/", -1)
-    lines = lines.withColumns({"archivo": name, "fila_origen": F.col("_fila")})
-    header = lines.filter("_fila = 1").select("_archivo", F.col("value").alias("_encabezado"))
-    body = lines.filter("_fila > 1").join(header, "_archivo")
-    # One row per spelling of the header, however many files there are.
-    spellings = {h: _names(h) for (h,) in header.select("_encabezado").distinct().collect()}
-    good = {h: names for h, names in spellings.items() if set(BILLING_COLUMNS) <= set(names)}
-    wrong = [(h, f"Faltan columnas obligatorias: {[c for c in BILLING_COLUMNS if c not in names]}")
-             for h, names in spellings.items() if h not in good]
-    fields = reduce(
-        lambda made, item: made.when(F.col("_encabezado") == item[0], len(item[1])), spellings.items(),
-        F.when(F.lit(False), F.lit(0)))
-    damage = F.when(_open_quote(F.col("value")), "comillas sin cerrar").when(
-        _fields(F.col("value")) > fields, "más campos que el encabezado")
-    state = body.withColumn("_dano", damage).groupBy("archivo").agg(
-        F.min(F.when(F.col("_dano").isNotNull(), F.struct("fila_origen", "_dano"))).alias("_primero"))
-    files = lines.filter("_fila = 1").select("archivo", F.col("value").alias("_encabezado")).join(state, "archivo", "left")
-    has_rows = body.select("archivo").distinct().withColumn("_hay", F.lit(True))
-    missing = reduce(lambda made, item: made.when(F.col("_encabezado") == item[0], item[1]), wrong, F.when(F.lit(False), ""))
-    problem = F.coalesce(
-        missing, F.when(F.col("_hay").isNull(), NO_RECORDS),
-        F.when(F.col("_primero").isNotNull(), F.format_string(
-            "Fila %d: %s", F.col("_primero.fila_origen"), F.col("_primero._dano"))))
-    problems = files.join(has_rows, "archivo", "left").select("archivo", problem.alias("problema")).filter("problema IS NOT NULL")
-    parts = [_parsed(body.filter(F.col("_encabezado") == h), names) for h, names in good.items()]
-    empty = spark.createDataFrame([], ", ".join(["archivo STRING", "fila_origen BIGINT", *(f"{c} STRING" for c in BILLING_COLUMNS)]))
-    return BillingLines(reduce(DataFrame.unionByName, parts) if parts else empty, problems)
+    """Read files of any number; ``archivo`` is the path below ``root`` or the last part of the path.
+
+    The text is scanned once; records, headers and problems come from the stored records.
+    """
+    with Workspace(spark) as work:
+        found = numbered_records(spark, paths, work)
+        full = F.url_decode(F.replace("archivo", F.lit("+"), F.lit("%2B")))
+        if root is None:
+            name = F.element_at(F.split(full, "/"), -1)
+        else:
+            name = F.substring_index(full, f"{root.rstrip('/').split(':')[-1].lstrip('/')}/", -1)
+        # One row per file; one spelling of the header for many files.
+        headers = found.records.filter("fila = 1").select("archivo", F.col("campos").alias("_encabezado"))
+        sizes = found.records.filter("fila > 1").groupBy("archivo").agg(F.count(F.lit(1)).alias("_n"))
+        files = work.stored(headers.join(sizes, "archivo", "full").fillna(0, ["_n"]), "archivos")
+        spellings = {tuple(r._encabezado): _names(r._encabezado) for r in files.filter("_encabezado IS NOT NULL").select("_encabezado").distinct().collect()}
+
+        def by_header(value):
+            """A literal for each spelling of the header."""
+            return reduce(
+                lambda made, item: made.when(F.col("_encabezado") == F.array(*[F.lit(n) for n in item[0]]), value(item[1])),
+                spellings.items(), F.when(F.lit(False), value(())))
+
+        body = lookup(found.records.filter("fila > 1"), files, ["archivo"], "_n")
+        expected = by_header(lambda names: F.lit(len(names)))
+        cells = by_header(lambda names: F.array(*[
+            F.coalesce(F.get("campos", F.lit(names.index(c))), F.lit("")) if c in names else F.lit("") for c in BILLING_COLUMNS]))
+        damaged = F.size("campos") > F.coalesce(expected, F.lit(0))
+        read = work.kept(
+            body.select("archivo", F.col("fila").alias("fila_origen"), damaged.alias("_danado"), cells.alias("_celdas")).select(
+                name.alias("archivo"), "fila_origen", "_danado", *[F.get("_celdas", F.lit(i)).alias(c) for i, c in enumerate(BILLING_COLUMNS)]),
+            "facturacion-texto")
+
+        damage = read.filter("_danado").groupBy("archivo").agg(F.min("fila_origen").alias("_larga"))
+        missing = by_header(lambda names: F.lit(
+            None if set(BILLING_COLUMNS) <= set(names) else f"Faltan columnas obligatorias: {[c for c in BILLING_COLUMNS if c not in names]}").cast("string"))
+        state = files.join(found.unclosed.withColumnRenamed("fila", "_abierta"), "archivo", "full").select(
+            name.alias("archivo"), "_encabezado", F.coalesce("_n", F.lit(0)).alias("_n"), "_abierta").join(damage, "archivo", "left")
+        line = F.least("_larga", "_abierta")
+        why = F.when(line == F.col("_abierta"), "comillas sin cerrar").otherwise("más campos que el encabezado")
+        problem = F.coalesce(missing, F.when(line.isNotNull(), F.format_string("Fila %d: %s", line, why)), F.when(F.col("_n") == 0, NO_RECORDS))
+        problems = work.kept(state.select("archivo", problem.alias("problema")).filter("problema IS NOT NULL"), "cargas-ilegibles")
+        return BillingLines(read.drop("_danado"), problems)
 
 
 def read_billing_file(spark: SparkSession, path: str) -> DataFrame:
@@ -119,13 +110,15 @@ def read_billing_file(spark: SparkSession, path: str) -> DataFrame:
     first = read.problems.filter(F.col("problema") != NO_RECORDS).orderBy("archivo").first()
     if first is not None:
         raise BillingFileError(f"{first.archivo}: {first.problema}")
-    if read.records.isEmpty():
-        raise BillingFileError(NO_RECORDS)
     # Part files are one file: what they hold before, without their headers, is added. A row per part file.
     sizes = read.records.groupBy("archivo").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select(
-        "archivo", (F.sum("_n").over(Window.orderBy("archivo")) - F.col("_n")).alias("_antes"))
-    return read.records.join(before, "archivo").select(
+    before = sizes.withColumn("_antes", F.sum("_n").over(Window.orderBy("archivo")) - F.col("_n"))
+    counted = before.agg(F.count(F.lit(1)).alias("archivos")).head().archivos
+    if counted == 0:
+        raise BillingFileError(NO_RECORDS)
+    if counted == 1:
+        return read.records.drop("archivo")
+    return lookup(read.records, before, ["archivo"], "_n").select(
         (F.col("fila_origen") + F.col("_antes")).alias("fila_origen"), *BILLING_COLUMNS)
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vigia.business import BillingLimits
-from vigia.durable import stored
 from vigia.plans.billing_quality import validate_loads
 from vigia.sources.billing_file import read_billing_files, write_unreadable
 
@@ -44,9 +43,8 @@ def validate_arrivals(
         if not paths:
             return
         read = read_billing_files(batch.sparkSession, paths, incoming)
-        problems = stored(read.problems, "cargas-ilegibles")
-        write_unreadable(problems, day, output)
-        validate_loads(read.records.join(problems, "archivo", "left_anti"), day, output, limits)
+        write_unreadable(read.problems, day, output)
+        validate_loads(read.records.join(read.problems, "archivo", "left_anti"), day, output, limits)
 
     # The content column is not selected, so files are listed and not read here.
     arrivals = (
