@@ -103,11 +103,12 @@ def _begins(state: str) -> Column:
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """One row per split: the states in which it begins and ends, and the records of its file that begin before and in it."""
+    """One row per split: the states in which it begins and ends, the records of its file that begin before and in it, and whether its lines are other than one record each."""
     both = _with_states(lines.select(*_SPLIT, "_id", "_vacia", "_efecto"), {"_e0": F.lit(0), "_e1": F.lit(1)})
     summed = both.groupBy(*_SPLIT).agg(
         *[F.max_by(f"_e{e}_fin", "_id").alias(f"_fin{e}") for e in (0, 1)],
-        *[F.count_if(_begins(f"_e{e}")).alias(f"_n{e}") for e in (0, 1)])
+        *[F.count_if(_begins(f"_e{e}")).alias(f"_n{e}") for e in (0, 1)],
+        F.min("_id").alias("_primero"), F.max(F.col("_vacia") | (F.col("_e0") == 1) | (F.col("_e0_fin") == 1)).alias("_partida"))
     in_file = Window.partitionBy("_archivo").orderBy("_bloque")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     # The same composition over the splits of a file, which begins outside quotes.
@@ -116,7 +117,7 @@ def _splits(lines: DataFrame) -> DataFrame:
     chained = chained.withColumn("_sale", _after(F.lit(0), in_file)).withColumn("_entra", F.coalesce(F.lag("_sale").over(in_file), F.lit(0)))
     own = F.when(F.col("_entra") == 0, F.col("_n0")).otherwise(F.col("_n1"))
     return chained.withColumn("_propios", own).select(
-        *_SPLIT, "_entra", "_sale", "_propios",
+        *_SPLIT, "_entra", "_sale", "_propios", "_primero", (F.col("_partida") | (F.col("_entra") == 1)).alias("_partida"),
         F.coalesce(F.sum("_propios").over(before), F.lit(0)).alias("_previos"))
 
 
@@ -141,7 +142,10 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     unclosed = work.stored(
         ends.where((F.col("_bloque") == F.col("_ultimo")) & (F.col("_sale") == 1)).select(F.col("_archivo").alias("archivo"), F.col("_total").alias("fila")),
         "comillas-abiertas")
-    states = _with_states(lines.join(splits, _SPLIT), {"_estado": F.col("_entra")})
+    met = lines.join(splits, _SPLIT)
+    # Where every line of a split is a record its place is its number; only other splits are put in order.
+    straight = met.where(~F.col("_partida")).select("_archivo", (F.col("_previos") + F.col("_id") - F.col("_primero") + 1).alias("_fila"), "value")
+    states = _with_states(met.where("_partida"), {"_estado": F.col("_entra")})
     order = Window.partitionBy(*_SPLIT).orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = states.withColumn("_fila", F.col("_previos") + F.count_if(_begins("_estado")).over(order))
     alone = _begins("_estado") & (F.col("_estado_fin") == 0)
@@ -151,5 +155,5 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     parts = parts.join(unclosed.select(F.col("archivo").alias("_archivo"), F.col("fila").alias("_fila")), ["_archivo", "_fila"], "left_anti")
     joined = parts.groupBy("_archivo", "_fila").agg(F.array_sort(F.collect_list(F.struct("_bloque", "_id", "value"))).alias("_partes")).select(
         "_archivo", "_fila", F.array_join(F.transform("_partes", lambda p: F.coalesce(p["value"], F.lit(""))), "\n").alias("value"))
-    records = whole.unionByName(joined).select(F.col("_archivo").alias("archivo"), F.col("_fila").alias("fila"), fields(F.col("value")).alias("campos"))
+    records = straight.unionByName(whole).unionByName(joined).select(F.col("_archivo").alias("archivo"), F.col("_fila").alias("fila"), fields(F.col("value")).alias("campos"))
     return NumberedRecords(work.stored(records, "registros", (lines, splits)), unclosed)
