@@ -361,3 +361,29 @@ def test_arriving_files_are_validated_once_each(spark, tmp_path):
     assert states == {"a.csv": "APROBADA", "otros/a.csv": "APROBADA", "c.csv": "BLOQUEADA"}
     errors = [p.read_text() for p in (out / "cargas_con_error").rglob("*.json")]
     assert any("Faltan columnas" in e for e in errors)
+
+
+def test_a_corrected_file_is_validated_again(spark, tmp_path):
+    """The same name with other content: results are replaced, those of files left alone are not touched."""
+    incoming, out, state = tmp_path / "entrada", tmp_path / "salida", tmp_path / "estado"
+    incoming.mkdir()
+
+    def run(day=LOAD):
+        query = validate_arrivals(spark, str(incoming), str(out), str(state), day)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        valid = spark.read.schema("id_cliente STRING, trabajadores_activos INT, carga DATE, origen STRING").parquet(f"{out}/facturacion_validos")
+        return sorted((r.origen, str(r.carga), r.id_cliente, r.trabajadores_activos) for r in valid.collect())
+
+    (incoming / "a.csv").write_text(HEADER + "1,2026-09,10,5\n")
+    (incoming / "b c.csv").write_text(HEADER + "1,2026-09,11,5\n")
+    first = [("a.csv", "2026-09-26", "CLI-0001", 10), ("b c.csv", "2026-09-26", "CLI-0001", 11)]
+    assert run() == first and run() == first
+    before = {p: p.stat().st_mtime_ns for p in (out / "facturacion_validos").rglob("*b c.csv*/*.parquet")}
+    (incoming / "a.csv").write_text(HEADER + "1,2026-09,77,5\n2,2026-09,5,5\n")
+    assert run() == [("a.csv", "2026-09-26", "CLI-0001", 77), ("a.csv", "2026-09-26", "CLI-0002", 5), first[1]]
+    assert before == {p: p.stat().st_mtime_ns for p in (out / "facturacion_validos").rglob("*b c.csv*/*.parquet")} and before
+    (incoming / "a.csv").write_text("periodo\n1\n")
+    (incoming / "d.csv").write_text(HEADER + "4,2026-09,4,4\n")
+    assert run(date(2026, 9, 27)) == [first[1], ("d.csv", "2026-09-27", "CLI-0004", 4)]
+    assert len(list((out / "cargas_con_error").rglob("*.json"))) == 1

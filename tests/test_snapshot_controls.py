@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from vigia.calendar import DailyCutoff
 from vigia.plans import controls, publish, snapshot
@@ -138,3 +139,30 @@ def test_publication_gate(spark, tmp_path):
 @pytest.mark.parametrize("name", [c[0] for c in controls.CONTROLS])
 def test_catalogue_is_complete(name):
     assert name == f"C{int(name[1:]):02d}"
+
+
+def test_readers_see_a_day_whole_while_it_is_replaced(spark, tmp_path, monkeypatch):
+    """The job that replaces a day fails after writing it: readers still get the old day, and all of it."""
+    store = SnapshotStore.open(spark, str(tmp_path))
+    assert store.published().count() == 0 and store.served_day() is None
+    rows = spark.createDataFrame([(f"CLI-{n}", n, DAY.day) for n in range(40)], "id_cliente STRING, casos_mes BIGINT, fecha_corte DATE")
+    full = spark.createDataFrame([], store.published().schema).unionByName(rows, allowMissingColumns=True)
+    store.publish(full, DAY.day)
+    store.publish(full.withColumn("fecha_corte", F.lit(date(2026, 9, 9))), date(2026, 9, 9))
+    reading = store.published()   # a reader that has begun
+    with monkeypatch.context() as patch:
+        def fail(*_):
+            raise RuntimeError("ended half-way")
+
+        patch.setattr(SnapshotStore, "_point", fail)
+        with pytest.raises(RuntimeError):
+            store.publish(full.filter("casos_mes < 3"), DAY.day)
+    assert store.published().filter(F.col("fecha_corte") == DAY.day).count() == 40
+    store.publish(full.filter("casos_mes < 5"), DAY.day)
+    assert store.published().groupBy("fecha_corte").count().orderBy("fecha_corte").collect() == [(date(2026, 9, 9), 40), (DAY.day, 5)]
+    assert reading.count() == 80 and store.served_day() == DAY.day
+    store.publish(full.filter("casos_mes < 0"), DAY.day)   # an empty day
+    assert store.published().filter(F.col("fecha_corte") == DAY.day).count() == 0
+    assert len(list((tmp_path / "publicado" / f"fecha_corte={DAY.day}").glob("version=*"))) == 2
+    plan = store.published().filter(F.col("fecha_corte") == date(2026, 9, 9))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fecha_corte" in plan

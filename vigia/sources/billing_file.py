@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -50,6 +51,11 @@ def _names(header: list[str]) -> tuple[str, ...]:
     return tuple(name.strip().lower() for name in header)
 
 
+def load_name(path: str, root: str) -> str:
+    """The name of a load: the path of its file below ``root``."""
+    return unquote(path).rsplit(f"{root.rstrip('/').split(':')[-1].lstrip('/')}/", 1)[-1]
+
+
 def read_billing_files(spark: SparkSession, paths: list[str], root: str | None = None) -> BillingLines:
     """Read files of any number; ``archivo`` is the path below ``root`` or the last part of the path.
 

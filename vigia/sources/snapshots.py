@@ -1,13 +1,21 @@
-"""Stored snapshots and control results, partitioned by cut-off date."""
+"""Stored snapshots and control results, partitioned by cut-off date.
+
+A day of snapshots is written to a version folder of its own, and a small pointer file names the version
+that is read. Readers resolve the pointers first; replacing a pointer is one rename, so they see the
+old day whole or the new day whole, also when the job that writes it fails or is repeated half-way.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vigia.durable import remove
+
 SNAPSHOT_SCHEMA = (
     "id_cliente STRING, nombre STRING, sector STRING, clase_riesgo INT, casos_mes BIGINT, "
     "graves_mes BIGINT, casos_mes_ant_mismo_corte BIGINT, variacion_casos BIGINT, "
@@ -20,6 +28,7 @@ CONTROL_SCHEMA = (
     "resultado STRING, fecha_ejecucion TIMESTAMP, fecha_corte DATE"
 )
 STAGED, PUBLISHED, HISTORY = "preparado", "publicado", "historial_controles"
+POINTERS = "punteros"
 TABLES = {STAGED: SNAPSHOT_SCHEMA, PUBLISHED: SNAPSHOT_SCHEMA, HISTORY: CONTROL_SCHEMA}
 
 
@@ -43,16 +52,60 @@ class SnapshotStore:
                 raise
             return self.spark.createDataFrame([], TABLES[name])
 
+    def _pointers(self, name: str) -> dict[str, str]:
+        """The version served for each day: one small file a day."""
+        try:
+            found = self.spark.read.text(f"{self.folder}/{name}/{POINTERS}").select("value", F.col("_metadata.file_name").alias("day")).collect()
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        return {row.day: row.value for row in found}
+
+    def _versions(self, name: str) -> DataFrame:
+        """The served versions of all days, read by day: filters on the day skip the folders of the others."""
+        base = f"{self.folder}/{name}"
+        paths = [f"{base}/fecha_corte={day}/version={version}" for day, version in self._pointers(name).items()]
+        if not paths:
+            return self.spark.createDataFrame([], TABLES[name])
+        schema = self.spark.createDataFrame([], TABLES[name]).schema.add("version", "string")
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("version")
+
     def _replace_day(self, frame: DataFrame, name: str, cutoff: date) -> None:
-        """The named day holds the frame's rows of that day, and nothing else, also if there are none."""
+        """The named day holds the frame's rows of that day, and nothing else, also if there are none.
+
+        The version served before stays for those who are reading it; older ones are deleted.
+        """
         rows = frame.filter(F.col("fecha_corte") == F.lit(cutoff)).drop("fecha_corte")
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/fecha_corte={cutoff}")
+        version, before = uuid.uuid4().hex, self._pointers(name).get(str(cutoff))
+        day = f"{self.folder}/{name}/fecha_corte={cutoff}"
+        rows.write.parquet(f"{day}/version={version}")
+        self._point(name, cutoff, version)
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(day)
+        for status in folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder):
+            found = status.getPath().getName()
+            if found not in (f"version={version}", f"version={before}"):
+                remove(self.spark, status.getPath().toString())
+
+    def _point(self, name: str, cutoff: date, version: str) -> None:
+        """Serve a version from now on: the pointer is written aside and renamed over the old one."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path
+        pointer, aside = path(f"{self.folder}/{name}/{POINTERS}/{cutoff}"), path(f"{self.folder}/{name}/{POINTERS}/.{version}")
+        out = aside.getFileSystem(conf).create(aside, True)
+        out.write(bytearray(version.encode()))
+        out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.getFileSystem(conf).getUri(), conf)
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+        options[0] = getattr(jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+        context.rename(aside, pointer, options)
 
     def staged(self) -> DataFrame:
-        return self._read(STAGED)
+        return self._versions(STAGED)
 
     def published(self) -> DataFrame:
-        return self._read(PUBLISHED)
+        return self._versions(PUBLISHED)
 
     def history(self) -> DataFrame:
         return self._read(HISTORY)
