@@ -21,7 +21,7 @@ from vigia.plans import (
     billing_quality as bq, client_risk, controls, portfolio, priority, publish, segments, snapshot,
     worklists)
 from vigia.operators.ranking import dense_rank_desc, percent_ranks
-from vigia.sources.billing_file import AS_RECEIVED, read_billing_file
+from vigia.sources.billing_file import AS_RECEIVED, read_billing_file, read_billing_files
 from vigia.sources.mapped import MappedTables
 from vigia.sources.snapshots import SnapshotStore
 from vigia.sources.star import Star, read_star, targets_from_table, write_star
@@ -323,6 +323,25 @@ def s04(spark, folder):
     return read_billing_file(spark, _billing_csv(spark, folder))
 
 
+@query("s01_quoted_records")
+def s01(spark, folder):
+    """Files with line breaks, doubled quotes and commas inside quoted fields, and stray quotes elsewhere, read back."""
+    path = scratch_path(spark, "facturacion-comillas")
+    n = F.floor(F.col("fila_origen") / 10) % 5
+    workers = F.when(n == 1, '7"').when(n == 2, '"a"" ""b"').otherwise("8")
+    value = F.when(n == 2, '"1\n\n2"').when(n == 3, '"x,"y"z').when(n == 4, 'm"n"').otherwise("9")
+    record = F.concat_ws(",", F.concat(F.lit("F"), F.col("fila_origen")), F.lit("2001-06"), workers, value)
+    group = F.floor(F.col("fila_origen") / 100_000) % 32
+    header = spark.range(32).select(F.col("id").alias("grupo"), F.lit(-1).cast("bigint").alias("fila_origen"), F.lit(",".join(bq.BILLING_COLUMNS)).alias("value"))
+    lines = _raw(spark, folder).select(group.alias("grupo"), "fila_origen", record.alias("value"))
+    lines = lines.unionByName(header.join(lines.select("grupo").distinct(), "grupo"))
+    lines.repartition("grupo").sortWithinPartitions("grupo", "fila_origen").drop("fila_origen").write.partitionBy("grupo").text(path)
+    read = read_billing_files(spark, [path], path).records
+    fila = F.col("id_cliente").substr(F.lit(2), F.length("id_cliente")).cast("bigint")
+    return read.groupBy("periodo", "trabajadores_activos", "valor_contrato", (F.floor(fila / 10) % 5).alias("clase")).agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("fila_origen").alias("suma_filas"), F.max("fila_origen").alias("ultima"))
+
+
 # -- portfolio indicators ------------------------------------------------------
 
 
