@@ -8,6 +8,7 @@ the tables of one job and deletes them when its result no longer reads them.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) and re.match(r"(file:|/|[^:]*$)", folder):
+            raise ValueError(f"{folder} may be a folder of one machine: set {SETTING} to a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -22,6 +22,7 @@ RANKED = {
     "tendencia": "p_tendencia",
     "dias_sin_prevencion": "p_prevencion",
 }
+# The columns of the published list, in its order.
 TOP_COLUMNS = (
     "prioridad", "id_cliente", "nombre", "sector", "clase_riesgo", "trabajadores_activos",
     "casos_90d", "graves_90d", "graves_abiertos", "incidencia_90d", "casos_90d_previos",
