@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -237,3 +238,73 @@ def test_digests_do_not_depend_on_the_chunk():
         for w, d in zip(words, one.digest.tolist()):
             assert seen.setdefault(w, d) == d
     assert len(set(seen.values())) == len(seen)
+
+
+def whole_rule_units(text, rule):
+    """Units (start, end, words, key) and lines (first unit, units, key) of a text of ASCII characters, word by word."""
+    value = {}
+    units, lines, at = [], [], 0
+    for line in text.split("\n"):
+        head = len(units)
+        for part in re.finditer(r"[^.!?]+", line):
+            found = list(re.finditer(r"[0-9A-Za-z]+", part.group()))
+            if not found:
+                continue
+            words = [w.group().lower() for w in found]
+            for w in words:
+                value.setdefault(w, int(textkit.mixed(textkit.terms(textkit.text_array(pa.array([w])))[2].digest)[0]))
+            v = [value[w] for w in words]
+            cuts = [j for j in range(1, len(v) - 2) if len(v) > rule.max_unit_words and all(v[j] < x for x in v[max(0, j - 3) : j]) and all(v[j] <= x for x in v[j + 1 : j + 4])]
+            edges = [-1, *cuts, len(v) - 1]
+            for x, y in itertools.pairwise(edges):
+                start = part.start() if x < 0 else found[x].end()
+                end = part.end() if y == len(v) - 1 else found[y].end()
+                own = tuple(words[x + 1 : y + 1])
+                key = own if len(own) >= rule.min_unit_words or not units else units[-1][2] + own
+                units.append((at + start, at + end, own, key))
+        spoken = tuple(w.lower() for w in re.findall(r"[0-9A-Za-z]+", line))
+        if len(spoken) >= rule.min_line_words:
+            lines.append((head, len(units) - head, spoken))
+        at += len(line) + 1
+    return units, lines
+
+
+def whole_rule_spans(texts, rule):
+    read = [whole_rule_units(t, rule) for t in texts]
+    first, first_line, out = {}, {}, set()
+    for d, (units, lines) in enumerate(read):
+        for i, u in enumerate(units):
+            first.setdefault(u[3], (d, i))
+        for j, (_, _, key) in enumerate(lines):
+            first_line.setdefault(key, (d, j))
+    for d, (units, lines) in enumerate(read):
+        own = [first[u[3]] != (d, i) for i, u in enumerate(units)]
+        whole = {i for j, (head, n, key) in enumerate(lines) if first_line[key] != (d, j) for i in range(head, head + n)}
+
+        def groups(marks):
+            return [[i for i, _ in g] for on, g in itertools.groupby(enumerate(marks), lambda p: p[1]) if on]
+
+        kept = [False] * len(units)
+        for run in groups(own):
+            long = sum(len(units[i][2]) for i in run) >= rule.min_run_words
+            for i in run:
+                kept[i] = long or i in whole
+        for run in groups(kept):
+            out.add((d, units[run[0]][0], units[run[-1]][1], len(run), sum(len(units[i][2]) for i in run), tuple(sorted({first[units[i][3]][0] for i in run}))))
+    return out
+
+
+@pytest.mark.parametrize("hot_keys", [10_000, 1])
+def test_all_units_and_lines_against_word_by_word(spark, hot_keys):
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    stock = [" ".join(draw.choice(words) for _ in range(draw.choice([1, 1, 2, 4, 9, 20, 45]))) for _ in range(40)]
+    texts = []
+    for _ in range(60):
+        parts = [draw.choice(stock) if draw.random() < 0.6 else " ".join(draw.choice(words) for _ in range(draw.randrange(1, 30))) for _ in range(12)]
+        texts.append("".join(p + draw.choice([". ", "! ", "\n", " ", "\n\n", "? "]) for p in parts))
+    rule = unit_dedup.UnitRule(hot_keys=hot_keys)
+    got = {(r.doc_id, r.start, r.end, r.n_units, r.n_words, tuple(r.first_doc_ids)) for r in unit_dedup.repeats(table(spark, rows(texts)), rule).collect()}
+    expected = whole_rule_spans(texts, rule)
+    assert got == expected and len(expected) > 100
+    assert any(len(u[2]) == 1 for t in texts for u in whole_rule_units(t, rule)[0])
