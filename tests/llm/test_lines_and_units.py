@@ -257,8 +257,8 @@ def whole_rule_units(text, rule):
             cuts = [j for j in range(1, len(v) - 2) if len(v) > rule.max_unit_words and all(v[j] < x for x in v[max(0, j - 3) : j]) and all(v[j] <= x for x in v[j + 1 : j + 4])]
             edges = [-1, *cuts, len(v) - 1]
             for x, y in itertools.pairwise(edges):
-                start = part.start() if x < 0 else found[x].end()
-                end = part.end() if y == len(v) - 1 else found[y].end()
+                start = part.start() + (0 if x < 0 else found[x].end())
+                end = part.end() if y == len(v) - 1 else part.start() + found[y].end()
                 own = tuple(words[x + 1 : y + 1])
                 key = own if len(own) >= rule.min_unit_words or not units else units[-1][2] + own
                 units.append((at + start, at + end, own, key))

@@ -354,3 +354,20 @@ def test_against_sql(spark, name):
     from compare import difference, oracle_connection
 
     assert difference(queries.QUERIES[name](spark, SF), oracle_connection(SF).execute(queries.ORACLES[name])) is None
+
+
+def test_alignment_of_many_pairs():
+    draw = random.Random(1)
+    for _ in range(60):
+        pairs, limits = [], []
+        for _ in range(40):
+            a = [draw.randrange(7) for _ in range(draw.randrange(60))]
+            b = list(a)
+            for _ in range(draw.randrange(15)):
+                i = draw.randrange(len(b) + 1)
+                b[i : i + draw.randrange(2)] = [draw.randrange(6)] * draw.randrange(2)
+            pairs.append((np.array(a, np.uint64), np.array(b, np.uint64)))
+            limits.append(draw.randrange(20))
+        got = order_minhash.edits_within(pairs, np.array(limits), draw.choice([1, 2, 12]))
+        assert got.tolist() == [plain_edit(a.tolist(), b.tolist()) <= limit for (a, b), limit in zip(pairs, limits)]
+    assert order_minhash.edits_within([], np.zeros(0, np.int64)).tolist() == []

@@ -1,7 +1,7 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
 1. A document is its sequence of lower-cased words. Documents of equal sequence
-   form a class; from here on a class is one row.
+   form a class; from here on a class is one row with a number.
 2. Each run of `k` words is labelled with how often it has occurred before in
    the text. For each of `bands` hash functions the `ell` labelled runs of least
    hash are taken and listed in text order; the digest of that list is the
@@ -11,12 +11,12 @@
    and texts of at most `short_words` words have `short_bands` of `short_ell` words besides:
    they propose pairs down to the edit similarity that step 4 asks for.
 3. Within each bucket (band, key) every member is compared with the bucket's
-   hub, the member of least digest: a pair for each member. The links found so far
+   hub, the member of least number: a pair for each member. Keys are counted before members move. The links found so far
    connect texts; in buckets whose members are not all connected, each member
    outside the hub's component is then compared with every member of another
    component, so that no pair of a bucket is left open.
    Pairs whose counts of words by hash already rule out the similarity are dropped unread.
-4. A pair is linked if alignment within a band of width
+4. Pairs of like length are aligned together. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
    does not exceed it.
 5. Connected components over the links, by iterated minima in Spark, name each
@@ -35,13 +35,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigia.durable import stored
+from vigia.durable import Workspace, stored
+from vigia.llm import idfilter
+from vigia.llm.links import components
 from vigia.llm.textkit import Pieces, chunks, fresh, grams, mixed, terms
+from vigia.operators.lookup import lookup
 
 
 @dataclass(frozen=True)
@@ -164,19 +169,37 @@ def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
     return source.mapInArrow(run, "doc_id bigint, same binary, n int, keys array<bigint>, counts binary")
 
 
-def bucketed(members: DataFrame) -> DataFrame:
-    """Pairs (same, hub) of the members (band, key, same) of buckets; a bucket's hub is its least member."""
-    held = stored(members, "band-members")
-    hubs = stored(
-        held.groupBy("band", "key").agg(F.min("same").alias("hub"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n"),
-        "band-hubs",
-    )
-    return held.join(hubs, ["band", "key"]).where(F.col("same") != F.col("hub")).select("same", "hub").distinct()
+def keyed(classes: DataFrame, passed: Broadcast | None = None) -> DataFrame:
+    """key, num of the bands of all classes, or of those whose key may be in the filter. A key names its band too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(1)
+            num = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(keys).to_numpy(zero_copy_only=False))
+            keys = keys.flatten().to_numpy(zero_copy_only=False)
+            at = keys != 0
+            if passed is not None:
+                at &= idfilter.contains(passed.value, keys.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(num[at])], names=["key", "num"])
+
+    return classes.select("num", "keys").where(F.size("keys") > 0).mapInArrow(run, "key bigint, num bigint")
+
+
+def bucketed(classes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The buckets (key, hub, n) of two members or more, and the pairs (num, hub) of their members; the hub is the least.
+
+    Keys are counted first. Members move only if a Bloom filter of the keys met twice or more lets them pass.
+    """
+    counts = keyed(classes).groupBy("key").agg(F.min("num").alias("hub"), F.count("*").alias("n"))
+    buckets = work.stored(counts.where("n > 1"), "buckets")
+    passed = classes.sparkSession.sparkContext.broadcast(idfilter.build(buckets.select("key")))
+    pairs = lookup(keyed(classes, passed), buckets, ["key"], "n").where("num > hub")
+    return buckets, pairs.select("num", "hub").distinct()
 
 
 def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame:
-    """The pairs (same, hub) that the word counts do not rule out: an edit changes each sum of excesses by one at most."""
-    schema = pa.schema([("same", pa.binary()), ("hub", pa.binary())])
+    """The pairs (num, hub) that the word counts do not rule out: an edit changes each sum of excesses by one at most."""
+    schema = pa.schema([("num", pa.int64()), ("hub", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,46 +211,42 @@ def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(near))
 
     counts = classes.where(F.size("keys") > 0)
-    both = pairs.join(counts.select("same", F.col("n").alias("m"), F.col("counts").alias("x")), "same")
-    both = both.join(counts.select(F.col("same").alias("hub"), "n", F.col("counts").alias("y")), "hub")
+    both = pairs.join(counts.select("num", F.col("n").alias("m"), F.col("counts").alias("x")), "num")
+    both = both.join(counts.select(F.col("num").alias("hub"), "n", F.col("counts").alias("y")), "hub")
     most = F.greatest("n", "m")
     both = both.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
-    return both.select("same", "hub", most.alias("most"), "x", "y").mapInArrow(run, "same binary, hub binary")
-
-
-def across(members: DataFrame, classes: DataFrame, roots: DataFrame, rule: OrderRule) -> DataFrame:
-    """Pairs (same, hub) of members of one bucket in different components, one of them outside that of the bucket's hub."""
-    rooted = classes.select("same", "n").join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
-    held = members.join(stored(rooted, "rooted"), "same")
-    mixed_buckets = held.groupBy("band", "key").agg(F.min_by("root", "same").alias("main"), F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed_buckets = mixed_buckets.where("low <> high").drop("low", "high")
-    held = stored(held.join(mixed_buckets, ["band", "key"]), "mixed-buckets")
-    other = held.where("root <> main").select("band", "key", F.col("same").alias("x"), F.col("n").alias("m"), F.col("root").alias("of_x"))
-    pairs = other.join(held, ["band", "key"]).where("root <> of_x")
+    return both.select("num", "hub", most.alias("most"), "x", "y").mapInArrow(run, "num bigint, hub bigint")
+
+
+def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
+    """Pairs (num, hub) of members of one bucket in different components, one of them outside that of the bucket's hub."""
+    sparkle = classes.sparkSession.sparkContext
+    rooted = classes.where(F.size("keys") > 0).select("num", "n").join(roots.withColumnRenamed("node", "num"), "num", "left")
+    rooted = work.stored(rooted.select("num", "n", F.coalesce("root", "num").alias("root")), "rooted")
+    passed = sparkle.broadcast(idfilter.build(buckets.select("key")))
+    # The keys travel with the root of their text; a bucket is open if its members have two roots.
+    held = keyed(classes, passed).join(rooted.select("num", "root"), "num")
+    spread = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "num").alias("main"), F.count("*").alias("size"))
+    spread = work.stored(spread.where("low <> high").drop("low", "high"), "open-buckets")
+    passed = sparkle.broadcast(idfilter.build(spread.select("key")))
+    held = lookup(keyed(classes, passed), spread, ["key"], "size").where("main IS NOT NULL")
+    held = work.stored(held.join(rooted, "num"), "open-members")
+    other = held.where("root <> main").select("key", F.col("num").alias("x"), F.col("n").alias("m"), F.col("root").alias("of_x"))
+    pairs = other.join(held, "key").where("root <> of_x")
     most = F.greatest("n", "m")
     pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
-    return pairs.select(F.greatest("x", "same").alias("same"), F.least("x", "same").alias("hub")).distinct()
+    return pairs.select(F.greatest("x", "num").alias("num"), F.least("x", "num").alias("hub")).distinct()
 
 
 def linked(checked: DataFrame) -> DataFrame:
-    return checked.where("linked").select(F.col("same").alias("a"), F.col("hub").alias("b"))
+    return checked.where("linked").select(F.col("num").alias("a"), F.col("hub").alias("b"))
 
 
 def edit_within(a: np.ndarray, b: np.ndarray, limit: int, narrow: int = 12) -> int | None:
     """The word edit distance if it is at most `limit`, else None; only cells within the band are filled."""
     if abs(len(a) - len(b)) > limit:
         return None
-    n = min(len(a), len(b))
-    same = a[:n] == b[:n]
-    head = n if same.all() else int(same.argmin())
-    a, b = a[head:], b[head:]
-    n = min(len(a), len(b))
-    if not n:
-        d = max(len(a), len(b))
-        return d if d <= limit else None
-    same = a[len(a) - n :][::-1] == b[len(b) - n :][::-1]
-    tail = n if same.all() else int(same.argmin())
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    a, b = _trimmed(a, b)
     if not len(a) or not len(b):
         d = max(len(a), len(b))
         return d if d <= limit else None
@@ -278,62 +297,137 @@ def _banded(a: np.ndarray, b: np.ndarray, width: int) -> int | None:
     return d if d <= width else None
 
 
+_CELLS = 1 << 16
+_FAR = 1 << 29
+
+
+def edits_within(pairs: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, narrow: int = 12) -> np.ndarray:
+    """For each pair of word sequences whether its edit distance is at most its limit; pairs of like length advance together."""
+    out = np.zeros(len(pairs), dtype=bool)
+    open_pairs: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for at, (a, b) in enumerate(pairs):
+        limit = int(limits[at])
+        a, b = _trimmed(a, b)
+        if not len(a) or not len(b):
+            out[at] = max(len(a), len(b)) <= limit
+        elif abs(len(a) - len(b)) <= limit and max(len(a), len(b)) - _shared(a, b) <= limit:
+            open_pairs.append((at, a, b))
+    width = narrow
+    while open_pairs:
+        # Pairs with a limit below the band's width use their own limit, so groups are of one width.
+        groups: dict[int, list] = {}
+        later = []
+        for pair in open_pairs:
+            own = min(width, int(limits[pair[0]]))
+            if abs(len(pair[1]) - len(pair[2])) <= own:
+                groups.setdefault(own, []).append(pair)
+            else:
+                later.append(pair)
+        for own, some in groups.items():
+            some.sort(key=lambda p: max(len(p[1]), len(p[2])))
+            at = 0
+            while at < len(some):
+                to = at + 1
+                while to < len(some) and (to - at + 1) * max(2 * own + 1, max(len(some[to][1]), len(some[to][2])) + own) <= _CELLS:
+                    to += 1
+                found = _banded_many([(a, b) for _, a, b in some[at:to]], own)
+                for (i, a, b), near in zip(some[at:to], found.tolist(), strict=True):
+                    if near:
+                        out[i] = True
+                    elif own < limits[i]:
+                        later.append((i, a, b))
+                at = to
+        open_pairs, width = later, 8 * width
+    return out
+
+
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences without what they have in common at the beginning and at the end."""
+    n = min(len(a), len(b))
+    same = a[:n] == b[:n]
+    head = n if same.all() else int(same.argmin())
+    a, b = a[head:], b[head:]
+    n = min(len(a), len(b))
+    same = a[len(a) - n :][::-1] == b[len(b) - n :][::-1]
+    tail = n if same.all() else int(same.argmin())
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
+def _banded_many(pairs: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarray:
+    """For each pair whether the distance is at most `width`; the distance tables of all pairs grow row by row together."""
+    n = np.array([len(a) for a, _ in pairs])
+    m = np.array([len(b) for _, b in pairs])
+    size = 2 * width + 1
+    steps = np.arange(size, dtype=np.int32)
+    rows = np.zeros((len(pairs), n.max()), dtype=np.uint64)
+    # Cell c of row i is column i + c - width of b; beyond b stands a word of its own, which costs an edit.
+    padded = np.zeros((len(pairs), width + 1 + max(m.max(), n.max() + width) + 1), dtype=np.uint64)
+    for k, (a, b) in enumerate(pairs):
+        rows[k, : len(a)] = a
+        padded[k, width + 1 : width + 1 + len(b)] = b
+    beyond = np.arange(padded.shape[1]) - (width + 1) >= m[:, None]
+    out, live = np.zeros(len(pairs), dtype=bool), np.arange(len(pairs))
+    row = np.broadcast_to(np.where(steps >= width, steps - width, _FAR).astype(np.int32), (len(pairs), size)).copy()
+    for i in range(1, int(n.max()) + 1):
+        best = row + ((padded[live, i : i + size] != rows[live, i - 1][:, None]) | beyond[live, i : i + size])
+        np.minimum(best[:, :-1], row[:, 1:] + 1, out=best[:, :-1])
+        if width - i >= 0:
+            best[:, : width - i + 1] = _FAR
+            best[:, width - i] = i
+        row = np.minimum.accumulate(best - steps, axis=1) + steps
+        ended = n[live] == i
+        if ended.any():
+            done = live[ended]
+            out[done] = row[ended, (m[done] - n[done]) + width] <= width
+        stays = ~ended & (row.min(axis=1) <= width) if i % 8 == 0 or ended.any() else None
+        if stays is not None and not stays.all():
+            live, row = live[stays], row[stays]
+            if not len(live):
+                break
+    return out
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """same, words (8-byte digests) of one text of each wanted class."""
+    """num, words (8-byte digests) of one text of each wanted class (num, same, doc_id).
+
+    A Bloom filter of the ids chooses the rows to read, without moving texts; rows without an id are read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(idfilter.build(wanted.select("doc_id").where("doc_id is not null")))
     schema = pa.schema([("same", pa.binary()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in chunks(batch):
+            ids = batch.column(0)
+            passed = idfilter.contains(shared.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)
+            for _, texts in chunks(batch.filter(pa.array(passed))):
                 _, _, words = terms(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(_sames(words), pa.binary()), pa.array(list(_payloads(words)), pa.binary())], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    rows = rows.join(wanted.withColumnRenamed("doc_id", "of_id"), F.col("doc_id").eqNullSafe(F.col("of_id")), "left_semi")
-    return rows.select("text").mapInArrow(run, "same binary, words binary").dropDuplicates(["same"])
+    read = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "same binary, words binary")
+    return read.dropDuplicates(["same"]).join(wanted.select("num", "same"), "same").select("num", "words")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rule: OrderRule) -> DataFrame:
     """The pairs with `linked`: whether alignment confirms the similarity."""
-    schema = pa.schema([("same", pa.binary()), ("hub", pa.binary()), ("linked", pa.bool_())])
+    schema = pa.schema([("num", pa.int64()), ("hub", pa.int64()), ("linked", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), dtype="<u8") for v in (x, y))
-                limit = int((1 - rule.similarity) * max(len(a), len(b)) + 1e-9)
-                linked.append(edit_within(a, b, limit, rule.narrow) is not None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], schema=schema)
+            both = [tuple(np.frombuffer(v.as_buffer(), dtype="<u8") for v in xy) for xy in zip(batch.column(2), batch.column(3), strict=True)]
+            limits = np.array([int((1 - rule.similarity) * max(len(a), len(b)) + 1e-9) for a, b in both], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(edits_within(both, limits, rule.narrow))], schema=schema)
 
-    both = pairs.join(texts.withColumnRenamed("words", "x"), "same").join(texts.select(F.col("same").alias("hub"), F.col("words").alias("y")), "hub")
-    return both.select("same", "hub", "x", "y").mapInArrow(run, "same binary, hub binary, linked boolean")
+    both = pairs.join(texts.withColumnRenamed("words", "x"), "num").join(texts.select(F.col("num").alias("hub"), F.col("words").alias("y")), "hub")
+    return both.select("num", "hub", "x", "y").mapInArrow(run, "num bigint, hub bigint, linked boolean")
 
 
-def components(links: DataFrame, max_rounds: int) -> DataFrame:
-    """node, root for every node of the links (a, b): the least node of its component.
-
-    Alternating large-star and small-star rounds; each node's neighbours are
-    reduced to a minimum by partial aggregation, so a hub of any degree is no burden.
-    """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "edges")
-    for _ in range(max_rounds):
-        # Large star: every larger neighbour of a node is hung on the node's least neighbour.
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large, "large-star")
-        # Small star: a node's smaller neighbours, and the node, are hung on the least of them.
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        after = stored(small.where(F.col("a") != F.col("b")).distinct(), "small-star")
-        done = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
-        edges = after
-        if done:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
+    """The pairs (num, hub) with `linked`, for the pairs that the word counts leave."""
+    left = work.stored(possible(pairs, classes, rule), "pairs")
+    sides = left.select("num").union(left.select("hub")).distinct()
+    wanted = work.stored(classes.select("num", "same", "doc_id").join(sides, "num", "left_semi"), "wanted")
+    texts = work.stored(_texts_of(docs, wanted), "pair-texts", (wanted,))
+    return work.stored(verified(left, texts, rule), "checked-pairs", (left, texts))
 
 
 def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame:
@@ -342,24 +436,27 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     `class_id` is the least doc_id of the class, `same` tells exact copies within it; `class_key` names the
     class also where ids are missing or repeated, and `head` is its first document.
     """
-    rows = stored(word_classes(docs, rule), "word-classes")
-    classes = stored(rows.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts")), "classes")
-    members = classes.where(F.size("keys") > 0).select("same", F.posexplode("keys").alias("band", "key")).where("key <> 0")
-    pairs = stored(possible(bucketed(members), classes, rule), "pairs")
-    texts = stored(_texts_of(docs, classes.join(pairs.select("same").union(pairs.select("hub")).distinct(), "same", "left_semi").select("doc_id")), "pair-texts")
-    checked = stored(verified(pairs, texts, rule), "checked-pairs")
-    first = stored(components(linked(checked), rule.max_rounds), "first-roots")
-    second = stored(possible(across(members, classes, first, rule).join(checked.select("same", "hub"), ["same", "hub"], "left_anti"), classes, rule), "second-pairs")
-    texts = _texts_of(docs, classes.join(second.select("same").union(second.select("hub")).distinct(), "same", "left_semi").select("doc_id"))
-    more = linked(verified(second, stored(texts, "second-texts"), rule))
-    links = stored(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
-    roots = components(links, rule.max_rounds)
-    named = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select("same", "doc_id", F.coalesce("root", "same").alias("class_key")), "named")
-    # A name is the least id; the key tells classes apart where ids are missing or repeated.
-    # Both sides of the join are stored, so that the planner can split the key of a large class.
-    heads = stored(named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "same")).alias("head")), "heads")
-    by_same = stored(named.join(heads, "class_key").select("same", "class_key", "head"), "class-names")
-    return rows.select("doc_id", "same").join(by_same, "same").select("doc_id", F.col("head.doc_id").alias("class_id"), "same", "class_key", "head")
+    with Workspace(docs.sparkSession) as work:
+        read = work.stored(word_classes(docs, rule), "word-classes")
+        rows = work.stored(read.select("doc_id", "same"), "words-of-rows")
+        classes = read.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts"))
+        # The number of a class is fixed by storing it; from here on it stands for the digest.
+        classes = work.stored(classes.withColumn("num", F.monotonically_increasing_id()), "classes", (read,))
+        buckets, pairs = bucketed(classes, work)
+        checked = _confirmed(pairs, classes, docs, rule, work)
+        first = work.stored(components(linked(checked), rule.max_rounds), "first-roots")
+        others = work.stored(across(classes, buckets, first, rule, work).join(checked.select("num", "hub"), ["num", "hub"], "left_anti"), "other-pairs", (buckets,))
+        more = _confirmed(others, classes, docs, rule, work)
+        links = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(linked(more))
+        roots = components(links, rule.max_rounds)
+        named = classes.select("num", "same", "doc_id").join(roots.withColumnRenamed("node", "num"), "num", "left")
+        named = work.stored(named.select("same", "doc_id", F.coalesce("root", "num").alias("class_key")), "named")
+        # A name is the least id; the key tells classes apart where ids are missing or repeated.
+        # Both sides of the join are stored, so that the planner can split the key of a large class.
+        heads = work.stored(named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "same")).alias("head")), "heads")
+        by_same = work.stored(named.join(heads, "class_key").select("same", "class_key", "head"), "class-names")
+        found = rows.join(by_same, "same").select("doc_id", F.col("head.doc_id").alias("class_id"), "same", "class_key", "head")
+        return work.kept(found, "near-duplicates")
 
 
 def one_of_each(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame:
