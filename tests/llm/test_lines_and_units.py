@@ -294,13 +294,13 @@ def whole_rule_spans(texts, rule):
     return out
 
 
-@pytest.mark.parametrize("hot_keys", [10_000, 1])
+@pytest.mark.parametrize("hot_keys", [10_000, 300, 1])
 def test_all_units_and_lines_against_word_by_word(spark, hot_keys):
     draw = random.Random(8)
     words = [f"w{i}" for i in range(60)]
     stock = [" ".join(draw.choice(words) for _ in range(draw.choice([1, 1, 2, 4, 9, 20, 45]))) for _ in range(40)]
     texts = []
-    for _ in range(60):
+    for _ in range(90):
         parts = [draw.choice(stock) if draw.random() < 0.6 else " ".join(draw.choice(words) for _ in range(draw.randrange(1, 30))) for _ in range(12)]
         texts.append("".join(p + draw.choice([". ", "! ", "\n", " ", "\n\n", "? "]) for p in parts))
     rule = unit_dedup.UnitRule(hot_keys=hot_keys)

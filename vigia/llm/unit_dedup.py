@@ -24,8 +24,9 @@ How the keys of all documents are grouped:
    of the digests met twice or more then lets pass the occurrences that may be repeats.
 3. What passes is grouped by both digests and read in the order of `place`: the
    first occurrence stays. Digests above 1/`hot_keys` of all occurrences are kept
-   apart; their firsts, fewer than `hot_keys`, are found by a partial aggregation and broadcast.
-4. Repeats return to the row of their document, where runs are formed.
+   apart; their firsts, fewer than `hot_keys` digests, are found by a partial aggregation and broadcast,
+   and the document's own row marks their repeats, so popular keys never move.
+4. Other repeats return to the row of their document, where runs are formed.
 
 Cases: null, empty and wordless texts have no units; rows with equal ids are
 told apart by a number of their own (`copy`, in an order by text), the first of equal rows keeps its
@@ -43,6 +44,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigia.durable import Workspace
 from vigia.llm import idfilter
@@ -92,6 +94,7 @@ def inner_cuts(words: Pieces, begin: np.ndarray, end: np.ndarray, most: int, rea
     return np.flatnonzero(least)
 
 
+_MARK = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("from_id", T.LongType())])
 _LINE_KEYS = np.uint64(0xC2B2AE3D27D4EB4F)
 _UNIT_ROWS = (
     "base bigint, doc_id bigint, a array<bigint>, b array<bigint>, gap array<int>, size array<int>, "
@@ -185,6 +188,35 @@ def _occurrences(rows: DataFrame, repeated: Broadcast, hot: Broadcast, popular:
     return rows.select("base", "doc_id", "a", "b").mapInArrow(run, "a bigint, b bigint, place bigint, i int, doc_id bigint")
 
 
+def _with_popular(rows: DataFrame, firsts: Broadcast) -> DataFrame:
+    """The rows without keys, with the repeats of popular keys in `popular` (i, from_id)."""
+    kept = ["base", "doc_id", "gap", "size", "words", "line_head", "line_units"]
+    mark = pa.list_(pa.struct([("i", pa.int32()), ("from_id", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first_a, first_b, first_place, from_id = firsts.value
+        for batch in batches:
+            base, a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("base", "a", "b"))
+            per_row = pc.list_value_length(a).to_numpy(zero_copy_only=False)
+            a, b = a.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(per_row)), per_row)
+            number = np.arange(len(a)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+            low, high = np.searchsorted(first_a, a), np.searchsorted(first_a, a, side="right")
+            found = np.full(len(a), -1)
+            for step in range(int((high - low).max(initial=0))):  # firsts of one digest a differ in b
+                at = np.flatnonzero(low + step < high)
+                at = at[first_b[low[at] + step] == b[at]]
+                found[at] = low[at] + step
+            at = np.flatnonzero(found >= 0)
+            at = at[base.to_numpy()[row[at]] + number[at] > first_place[found[at]]]
+            marks = pa.StructArray.from_arrays([pa.array(number[at], pa.int32()), from_id.take(pa.array(found[at]))], fields=list(mark.value_type))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row[at], minlength=len(per_row)))]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.ListArray.from_arrays(offsets, marks)], names=[*kept, "popular"])
+
+    schema = [rows.schema[c] for c in kept]
+    return rows.mapInArrow(run, T.StructType([*schema, T.StructField("popular", T.ArrayType(_MARK))]))
+
+
 def _runs(rows: DataFrame, rule: UnitRule) -> DataFrame:
     """The spans of rows that have their repeats in `marks` (i, from_id)."""
 
@@ -254,14 +286,17 @@ def repeats(docs: DataFrame, rule: UnitRule = UnitRule()) -> DataFrame:
         hot = spark.sparkContext.broadcast(np.array(hot, dtype=np.int64))
         suspected = spark.sparkContext.broadcast(idfilter.build(repeated.select("a")))
         popular = _occurrences(rows, suspected, hot, True)
-        firsts = popular.groupBy("a", "b").agg(F.min("place").alias("first"), F.min_by("doc_id", "place").alias("from_id"))
-        popular = popular.join(F.broadcast(work.stored(firsts, "popular-firsts")), ["a", "b"]).where("place > first")
+        found = popular.groupBy("a", "b").agg(F.min("place").alias("first"), F.min_by("doc_id", "place").alias("from_id"))
+        found = sorted((tuple(r) for r in found.collect()), key=lambda r: r[:2])
+        numbers = [np.array([r[c] for r in found], dtype=np.int64) for c in range(3)]
+        firsts = spark.sparkContext.broadcast((*numbers, pa.array([r[3] for r in found], pa.int64())))
         by_key = Window.partitionBy("a", "b").orderBy("place")
         others = _occurrences(rows, suspected, hot, False).select(
             "place", "i", F.row_number().over(by_key).alias("nth"), F.first("doc_id").over(by_key).alias("from_id")).where("nth > 1")
-        later = others.select("place", "i", "from_id").unionByName(popular.select("place", "i", "from_id"))
-        marks = later.groupBy((F.col("place") - F.col("i")).alias("base")).agg(F.collect_list(F.struct("i", "from_id")).alias("marks"))
-        return work.kept(_runs(rows.drop("a", "b").join(marks, "base"), rule), "repeats")
+        marks = others.groupBy((F.col("place") - F.col("i")).alias("base")).agg(F.collect_list(F.struct("i", "from_id")).alias("others"))
+        marked = _with_popular(rows, firsts).join(marks, "base", "left")
+        marked = marked.withColumn("marks", F.concat("popular", F.coalesce("others", F.array().cast(T.ArrayType(_MARK))))).where(F.size("marks") > 0)
+        return work.kept(_runs(marked, rule), "repeats")
 
 
 def kept_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
