@@ -306,3 +306,39 @@ def test_target_table_takes_any_class_and_no_class_twice(spark):
     for row, problem in (((6, Decimal("4")), "repetida.*6"), ((7, None), "sin meta.*7")):
         with pytest.raises(ValueError, match=problem):
             targets_from_table(table.union(spark.createDataFrame([row], schema)))
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("listed", "pushed"), [("10", 100_000), ("0", 100_000), ("10", 1)], ids=["list", "broadcast", "late"])
+def test_a_portfolio_is_applied_at_the_scan(spark, star, tmp_path, monkeypatch, listed, pushed):
+    write_star(star, str(tmp_path))
+    stored_star = read_star(spark, str(tmp_path))
+    everything = {r.tabla: (r.filas, r.clientes) for r in portfolio.portfolio_sizes(stored_star).collect()}
+    before = spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold")
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", listed)
+    monkeypatch.setattr("vigia.sources.star.RestrictedStar.MAX_PUSHED", pushed)
+    try:
+        own = portfolio.filter_portfolio(stored_star, "Ana")
+        rows = {r.tabla: (r.filas, r.clientes) for r in portfolio.portfolio_sizes(own).collect()}
+        plan = _plan(portfolio.portfolio_sizes(own))
+        ids = {r.id_cliente for r in own.fact("casos").collect()}
+        series = by_month(portfolio.monthly_series(own, MONTH, ["sector"]), "sector")
+        none = portfolio.portfolio_sizes(portfolio.filter_portfolio(stored_star, "nadie")).collect()
+    finally:
+        spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", before)
+    assert rows == {"clientes": (2, 2), "casos": (5, 2), "facturacion": (3, 2), "prevencion": (3, 2)} != everything
+    assert series[("Minería", MONTH)].casos == 2 and {k[0] for k in series} == {"Minería"}
+    assert {(r.filas, r.clientes) for r in none} == {(0, 0)}
+    if pushed == 1:
+        assert ids == {"CLI-0001", "CLI-0002", "CLI-0003", "CLI-0004", "CLI-0009"}
+        return
+    assert ids == {"CLI-0001", "CLI-0002"}  # other clients' rows reach no aggregation
+    if listed == "10":
+        # The readers of the three facts, and of the clients each is joined to, skip row groups.
+        assert plan.count("In(id_cliente, [CLI-0001,CLI-0002])") == 6
+    else:
+        below = plan[plan.index("HashAggregate(keys=[id_cliente"):]
+        assert plan.count("LeftSemi, BuildRight") >= 3 and "BroadcastHashJoin [id_cliente" in below
