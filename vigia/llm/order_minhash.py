@@ -9,17 +9,18 @@
    of small edit distance, share keys. Scattered edits leave few runs of `k` words,
    so further `word_bands` bands take the `word_ell` labelled single words of least hash,
    and texts of at most `short_words` words have `short_bands` of `short_ell` words besides:
-   they propose pairs down to the edit similarity that step 4 asks for.
+   they propose pairs down to the edit similarity that step 5 asks for.
 3. Within each bucket (band, key) every member is compared with the bucket's
-   hub, the member of least number: a pair for each member. Keys are counted before members move. The links found so far
-   connect texts; in buckets whose members are not all connected, each member
-   outside the hub's component is then compared with every member of another
-   component, so that no pair of a bucket is left open.
-   Pairs whose counts of words by hash already rule out the similarity are dropped unread.
-4. Pairs of like length are aligned together. A pair is linked if alignment within a band of width
+   hub, the member of least number: a pair for each member. Keys are counted before members move.
+   Pairs whose bit maps of labelled words already rule out the similarity are dropped unread.
+4. The links found so far connect texts. In buckets whose members are not all connected, members of
+   different components are compared by their bit maps only, in tiles: a bucket is cut into parts of about
+   `tile` members, and a task that holds two parts writes the pairs that the bit maps leave, so that no pair of a
+   bucket is left open and none that they rule out is written or moved.
+5. Pairs of like length are aligned together. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
    does not exceed it.
-5. Connected components over the links, by iterated minima in Spark, name each
+6. Connected components over the links, by iterated minima in Spark, name each
    class after its least doc_id.
 
 Cases: null, empty and wordless texts are one class each by equal sequence, so
@@ -30,8 +31,10 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +64,7 @@ class OrderRule:
     short_words: int = 40
     similarity: float = 0.8
     narrow: int = 12
+    tile: int = 1024
     max_rounds: int = 50
 
 
@@ -77,26 +81,35 @@ def occurrence_labelled(doc: np.ndarray, digest: np.ndarray) -> np.ndarray:
         return np.where(number > 0, mixed(digest + number * np.uint64(0x9E3779B97F4A7C15)), digest)
 
 
-def sketches(words: Pieces, rule: OrderRule) -> np.ndarray:
+def labelled_words(words: Pieces) -> np.ndarray:
+    """Digests of the labelled single words."""
+    return occurrence_labelled(words.doc, grams(words, 1)[1])
+
+
+def sketches(words: Pieces, rule: OrderRule, labels: np.ndarray | None = None) -> np.ndarray:
     """A row for each text with the keys of all kinds of bands; zero where a text has none of that kind."""
     size = np.diff(words.first)
+    labels = labelled_words(words) if labels is None else labels
     runs = banded_keys(words, rule.k, rule.bands, rule.ell)
-    single = banded_keys(words, 1, rule.word_bands, rule.word_ell, rule.bands)
+    single = banded_keys(words, 1, rule.word_bands, rule.word_ell, rule.bands, labels)
     single[size < rule.k] = 0
     brief = size <= rule.short_words
     mine = brief[words.doc]
     some = Pieces(words.doc[mine], words.start[mine], words.end[mine], words.digest[mine], np.concatenate([[0], np.cumsum(np.where(brief, size, 0))]))
-    short = banded_keys(some, 1, rule.short_bands, rule.short_ell, rule.bands + rule.word_bands)
+    short = banded_keys(some, 1, rule.short_bands, rule.short_ell, rule.bands + rule.word_bands, labels[mine])
     short[size < rule.k] = 0
     return np.concatenate([runs, single, short], axis=1)
 
 
-def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0) -> np.ndarray:
+def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0, labelled: np.ndarray | None = None) -> np.ndarray:
     """A row for each text with `bands` keys, for hash functions from number `begin` on; zeros below `k` words."""
     n = len(words.first) - 1
-    at, digest = grams(words, k)
-    doc = words.doc[at]
-    labelled = occurrence_labelled(doc, digest)
+    if labelled is None:
+        at, digest = grams(words, k)
+        doc = words.doc[at]
+        labelled = occurrence_labelled(doc, digest)
+    else:
+        doc = words.doc
     some, first = np.unique(doc, return_index=True)
     out = np.zeros((n, bands), dtype=np.uint64)
     if not len(some):
@@ -127,18 +140,46 @@ def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0) ->
     return out
 
 
-def word_counts(words: Pieces) -> np.ndarray:
-    """A row for each text: how many words fall to each of 256 hash values, at most 255."""
-    n = len(words.first) - 1
-    out = np.empty((n, 256), dtype=np.uint8)
-    for a in range(0, n, 4096):
-        b = min(n, a + 4096)
-        some = slice(words.first[a], words.first[b])
-        cell = (words.doc[some] - a) * 256 + (words.digest[some] & np.uint64(255)).astype(np.int64)
-        out[a:b] = np.minimum(np.bincount(cell, minlength=(b - a) * 256), 255).reshape(-1, 256)
+_LEAST_BITS, _MOST_BITS = 256, 1 << 16
+
+
+def word_bits(words: Pieces, labels: np.ndarray) -> list[bytes]:
+    """The bit map of each text: which cells its labelled words fall to.
+
+    It has two to four bits a word, a power of two between the bounds. A map of half the size is
+    the union of its halves. A word edit changes the labelled words of a text by one at most on either
+    side, so as many cells as one map has and the other has not are a lower bound of the edit distance.
+    """
+    size = np.diff(words.first)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), _LEAST_BITS, _MOST_BITS)
+    begin = np.concatenate([[0], np.cumsum(width)])
+    cells = np.zeros(begin[-1], dtype=bool)
+    cells[begin[words.doc] + (labels & (width[words.doc] - 1).astype(np.uint64)).astype(np.int64)] = True
+    raw = np.packbits(cells, bitorder="little").tobytes()
+    return [raw[a:b] for a, b in itertools.pairwise((begin // 8).tolist())]
+
+
+def _maps(values: list[bytes], width: int) -> np.ndarray:
+    """The bit maps in rows of 64-bit words, folded to `width` bytes; none is shorter."""
+    out = np.empty((len(values), width // 8), dtype=np.uint64)
+    size = np.fromiter(map(len, values), np.int64, len(values))
+    for own in np.unique(size).tolist():
+        at = np.flatnonzero(size == own)
+        out[at] = np.bitwise_or.reduce(np.frombuffer(b"".join([values[i] for i in at.tolist()]), "<u8").reshape(len(at), -1, width // 8), axis=1)
     return out
 
 
+def _excess(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each row the larger number of bits that one map has and the other has not."""
+    own, other = (np.bitwise_count(v).sum(axis=1, dtype=np.int64) for v in (x, y))
+    return np.maximum(own, other) - np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+
+
+def _limits(most: np.ndarray, rule: OrderRule) -> np.ndarray:
+    """The word edits that a link may have if the longer text has `most` words."""
+    return ((1 - rule.similarity) * most + 1e-9).astype(np.int64)
+
+
 def _payloads(words: Pieces) -> Iterator[bytes]:
     """The word digests of each text as bytes."""
     raw = words.digest.astype("<u8").tobytes()
@@ -151,22 +192,23 @@ def _sames(words: Pieces) -> list[bytes]:
 
 
 def word_classes(docs: DataFrame, rule: OrderRule) -> DataFrame:
-    """doc_id, same (digest of the word sequence), n (words), keys (of the bands; none below `k` words), counts (likewise)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("counts", pa.binary())])
+    """doc_id, same (digest of the word sequence), n (words), keys (of the bands; none below `k` words), bits (likewise)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch):
                 _, _, words = terms(texts)
-                found = sketches(words, rule).view(np.int64)
+                labels = labelled_words(words)
+                found = sketches(words, rule, labels).view(np.int64)
                 size = np.diff(words.first)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(size >= rule.k, found.shape[1], 0))]).astype(np.int32))
                 keys = pa.ListArray.from_arrays(offsets, pa.array(found[size >= rule.k].ravel()))
-                counts = pa.array([c.tobytes() if m >= rule.k else b"" for c, m in zip(word_counts(words), size.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sames(words), pa.binary()), pa.array(size.astype(np.int32)), keys, counts], schema=schema)
+                bits = pa.array([v if m >= rule.k else b"" for v, m in zip(word_bits(words, labels), size.tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sames(words), pa.binary()), pa.array(size.astype(np.int32)), keys, bits], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id bigint, same binary, n int, keys array<bigint>, counts binary")
+    return source.mapInArrow(run, "doc_id bigint, same binary, n int, keys array<bigint>, bits binary")
 
 
 def keyed(classes: DataFrame, passed: Broadcast | None = None) -> DataFrame:
@@ -198,44 +240,101 @@ def bucketed(classes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]
 
 
 def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame:
-    """The pairs (num, hub) that the word counts do not rule out: an edit changes each sum of excesses by one at most."""
+    """The pairs (num, hub) that the bit maps do not rule out."""
     schema = pa.schema([("num", pa.int64()), ("hub", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for i in (3, 4))
-            limit = ((1 - rule.similarity) * batch.column(2).to_numpy() + 1e-9).astype(np.int64)
-            near = np.maximum(np.maximum(x - y, 0).sum(axis=1), np.maximum(y - x, 0).sum(axis=1)) <= limit
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(near))
-
-    counts = classes.where(F.size("keys") > 0)
-    both = pairs.join(counts.select("num", F.col("n").alias("m"), F.col("counts").alias("x")), "num")
-    both = both.join(counts.select(F.col("num").alias("hub"), "n", F.col("counts").alias("y")), "hub")
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                x, y = (some.column(i).to_pylist() for i in (3, 4))
+                width = np.minimum(*(np.fromiter(map(len, v), np.int64, len(v)) for v in (x, y)))
+                near = np.zeros(len(x), dtype=bool)
+                for own in np.unique(width).tolist():
+                    i = np.flatnonzero(width == own).tolist()
+                    near[i] = _excess(*(_maps([v[j] for j in i], own) for v in (x, y))) <= _limits(some.column(2).to_numpy()[i], rule)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1)], schema=schema).filter(pa.array(near))
+
+    held = classes.where(F.size("keys") > 0)
+    both = pairs.join(held.select("num", F.col("n").alias("m"), F.col("bits").alias("x")), "num")
+    both = both.join(held.select(F.col("num").alias("hub"), "n", F.col("bits").alias("y")), "hub")
     most = F.greatest("n", "m")
     both = both.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
     return both.select("num", "hub", most.alias("most"), "x", "y").mapInArrow(run, "num bigint, hub bigint")
 
 
 def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
-    """Pairs (num, hub) of members of one bucket in different components, one of them outside that of the bucket's hub."""
+    """Pairs (num, hub) of members of one bucket in different components that their bit maps do not rule out."""
     sparkle = classes.sparkSession.sparkContext
-    rooted = classes.where(F.size("keys") > 0).select("num", "n").join(roots.withColumnRenamed("node", "num"), "num", "left")
-    rooted = work.stored(rooted.select("num", "n", F.coalesce("root", "num").alias("root")), "rooted")
+    rooted = classes.where(F.size("keys") > 0).select("num", "n", "bits").join(roots.withColumnRenamed("node", "num"), "num", "left")
+    rooted = work.stored(rooted.select("num", "n", F.coalesce("root", "num").alias("root"), "bits"), "rooted")
     passed = sparkle.broadcast(idfilter.build(buckets.select("key")))
     # The keys travel with the root of their text; a bucket is open if its members have two roots.
     held = keyed(classes, passed).join(rooted.select("num", "root"), "num")
-    spread = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "num").alias("main"), F.count("*").alias("size"))
-    spread = work.stored(spread.where("low <> high").drop("low", "high"), "open-buckets")
+    spread = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+    spread = work.stored(spread.where("low <> high").select("key", "size", F.ceil(F.col("size") / rule.tile).alias("parts")), "open-buckets")
     passed = sparkle.broadcast(idfilter.build(spread.select("key")))
-    held = lookup(keyed(classes, passed), spread, ["key"], "size").where("main IS NOT NULL")
-    held = work.stored(held.join(rooted, "num"), "open-members")
-    other = held.where("root <> main").select("key", F.col("num").alias("x"), F.col("n").alias("m"), F.col("root").alias("of_x"))
-    pairs = other.join(held, "key").where("root <> of_x")
-    most = F.greatest("n", "m")
-    pairs = pairs.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
-    return pairs.select(F.greatest("x", "num").alias("num"), F.least("x", "num").alias("hub")).distinct()
+    held = lookup(keyed(classes, passed), spread, ["key"], "size").where("parts IS NOT NULL")
+    # Every two parts of a bucket meet in the tile (low, high).
+    held = held.withColumn("part", F.pmod(F.xxhash64("num"), "parts")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    held = work.stored(held.select("key", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "num"), "open-members")
+    tiles = held.join(rooted, "num").select("key", "low", "high", "part", "num", "n", "root", "bits")
+    tiles = tiles.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n")
+    return tiles.mapInArrow(partial(_tile_pairs, rule=rule), "num bigint, hub bigint").distinct()
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch], rule: OrderRule) -> Iterator[pa.RecordBatch]:
+    """The pairs of each tile; a tile that goes on in the next batch waits for it."""
+    waiting = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]) if waiting is None else pa.concat_tables([waiting, pa.Table.from_batches([batch])])
+        table = table.combine_chunks()
+        last = np.flatnonzero(_tile_begins(table))[-1]
+        waiting = table.slice(last)
+        yield from _pairs_of_tiles(table.slice(0, last), rule)
+    if waiting is not None:
+        yield from _pairs_of_tiles(waiting, rule)
+
+
+def _tile_begins(table: pa.Table) -> np.ndarray:
+    begins = np.ones(table.num_rows, dtype=bool)
+    names = [table.column(i).to_numpy() for i in range(3)]
+    begins[1:] = np.any([v[1:] != v[:-1] for v in names], axis=0)
+    return begins
+
+
+def _pairs_of_tiles(table: pa.Table, rule: OrderRule) -> Iterator[pa.RecordBatch]:
+    """Rows in order of tile and length: each meets the following ones until the tile or the like length ends."""
+    if not table.num_rows:
+        return
+    tile = np.cumsum(_tile_begins(table))
+    low, high, part, num, n, root = (table.column(i).to_numpy() for i in range(1, 7))
+    bits = table.column(7).to_pylist()
+    width = np.fromiter(map(len, bits), np.int64, len(bits))
+    n = n.astype(np.int64)
+    for own in np.unique(width).tolist():
+        # A text of like length has a map of the same size or of twice that size.
+        rows = np.flatnonzero((width == own) | (width == 2 * own))
+        maps = _maps([bits[i] for i in rows.tolist()], own)
+        ones = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        at, step = np.flatnonzero(width[rows] == own), 0
+        while len(at):
+            step += 1
+            at = at[at + step < len(rows)]
+            i, j = rows[at], rows[at + step]
+            like = (tile[i] == tile[j]) & (n[j] - n[i] <= _limits(n[j], rule))
+            at, i, j = at[like], i[like], j[like]
+            ask = at[(root[i] != root[j]) & ((low[i] == high[i]) | (part[i] != part[j]))]
+            for begin in range(0, len(ask), max(1, (1 << 23) // own)):
+                x = ask[begin : begin + max(1, (1 << 23) // own)]
+                y = x + step
+                both = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64)
+                near = np.maximum(ones[x], ones[y]) - both <= _limits(n[rows[y]], rule)
+                a, b = num[rows[x[near]]], num[rows[y[near]]]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["num", "hub"])
 
 
 def linked(checked: DataFrame) -> DataFrame:
@@ -421,9 +520,8 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: OrderRule) -> DataFrame:
     return both.select("num", "hub", "x", "y").mapInArrow(run, "num bigint, hub bigint, linked boolean")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
-    """The pairs (num, hub) with `linked`, for the pairs that the word counts leave."""
-    left = work.stored(possible(pairs, classes, rule), "pairs")
+def _confirmed(left: DataFrame, classes: DataFrame, docs: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
+    """The stored pairs (num, hub), which the bit maps have left, with `linked`."""
     sides = left.select("num").union(left.select("hub")).distinct()
     wanted = work.stored(classes.select("num", "same", "doc_id").join(sides, "num", "left_semi"), "wanted")
     texts = work.stored(_texts_of(docs, wanted), "pair-texts", (wanted,))
@@ -439,11 +537,11 @@ def near_duplicates(docs: DataFrame, rule: OrderRule = OrderRule()) -> DataFrame
     with Workspace(docs.sparkSession) as work:
         read = work.stored(word_classes(docs, rule), "word-classes")
         rows = work.stored(read.select("doc_id", "same"), "words-of-rows")
-        classes = read.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts"))
+        classes = read.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
         # The number of a class is fixed by storing it; from here on it stands for the digest.
         classes = work.stored(classes.withColumn("num", F.monotonically_increasing_id()), "classes", (read,))
         buckets, pairs = bucketed(classes, work)
-        checked = _confirmed(pairs, classes, docs, rule, work)
+        checked = _confirmed(work.stored(possible(pairs, classes, rule), "pairs"), classes, docs, rule, work)
         first = work.stored(components(linked(checked), rule.max_rounds), "first-roots")
         others = work.stored(across(classes, buckets, first, rule, work).join(checked.select("num", "hub"), ["num", "hub"], "left_anti"), "other-pairs", (buckets,))
         more = _confirmed(others, classes, docs, rule, work)
