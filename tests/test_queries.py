@@ -35,3 +35,22 @@ def test_every_query_has_its_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 15
+
+
+def _rows(spark, name):
+    return [r.asDict() for r in entry.queries()[name](spark, FOLDER).collect()]
+
+
+def test_order_of_the_risk_ranking(spark):
+    rows = _rows(spark, "p01_client_risk_cost")
+    place = [(-r["clase_riesgo"], r["ranking_clase"], r["id_cliente"]) for r in rows]
+    assert len(place) > 10 and place == sorted(place)
+
+
+def test_order_of_the_worklist(spark):
+    rows = _rows(spark, "p41_worklist")
+    states = list(dict.fromkeys(r["estado"] for r in rows))
+    assert states == [s for s in ("rojo", "amarillo", "verde", "sin dato") if s in states]
+    for state in states:
+        place = [(-r["casos"], r["id_cliente"]) for r in rows if r["estado"] == state]
+        assert place == sorted(place)
