@@ -54,3 +54,9 @@ def test_order_of_the_worklist(spark):
     for state in states:
         place = [(-r["casos"], r["id_cliente"]) for r in rows if r["estado"] == state]
         assert place == sorted(place)
+
+
+def test_order_of_the_sectors(spark):
+    rows = _rows(spark, "p30_sector_rate")
+    place = [(r["cumplimiento"] is None, -(r["cumplimiento"] or 0), r["sector"] or "") for r in rows]
+    assert len(place) > 1 and place == sorted(place)
