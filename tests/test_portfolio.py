@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from vigia import schemas
 from vigia.business import Targets
-from vigia.calendar import shift_months
+from vigia.calendar import MonthWindow, shift_months
 from vigia.functions.status import suggested_action, traffic_light, whole_percent
 from vigia.functions import status as st
 from vigia.operators.cardinality import key_summary, repeated_keys
 from vigia.operators.fanout import join_fanout
 from vigia.operators.streaks import streaks
+from vigia.operators.spine import entity_months
 from vigia.plans import portfolio, segments, worklists
 from vigia.sources.star import Star, read_star, target_table, targets_from_table, write_star
 
@@ -342,3 +343,13 @@ def test_a_portfolio_is_applied_at_the_scan(spark, star, tmp_path, monkeypatch,
     else:
         below = plan[plan.index("HashAggregate(keys=[id_cliente"):]
         assert plan.count("LeftSemi, BuildRight") >= 3 and "BroadcastHashJoin [id_cliente" in below
+
+
+def test_months_of_clients_are_spread_over_tasks(spark, star):
+    """Clients of one file do not get their months, and the sums of them, in one task."""
+    clients = spark.range(0, 5000, 1, 1).select(F.format_string("CLI-%04d", "id").alias("id_cliente"))
+    axis = entity_months(clients, MonthWindow(MONTH, 24), "id_cliente")
+    sizes = [r.n for r in axis.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 5000 * 24 and max(sizes) < 5000 * 24 / 50
+    plan = portfolio.monthly_series(star, MONTH, ["id_cliente"])._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan

@@ -143,12 +143,13 @@ def _group_months(
 def _client_months(
     star: StarTables, clients: DataFrame, window: MonthWindow, targets: B.Targets
 ) -> DataFrame:
-    """Months of every client with a single shuffle and no join.
+    """Months of every client with a single shuffle of months and no join.
 
-    The month axis and the three facts are stacked and summed by client and month.
+    The month axis and the three facts are stacked and summed by client and month. The axis has a row for each
+    sum, so its share of the partial sums is as large as the task: clients are spread before they have months.
     Rows of clients outside the dimension have no axis row and drop out.
     """
-    axis = entity_months(clients, window).withColumn("_eje", F.lit(1))
+    axis = entity_months(clients, window, "id_cliente").withColumn("_eje", F.lit(1))
     cases = _in_window(star.fact("casos"), window).select(
         "id_cliente", "periodo", F.when(F.col("id_caso").isNotNull(), 1).alias("casos"),
         F.when(F.col("tipo") == B.SERIOUS, 1).alias("graves"), "dias_ausencia", "costo")
