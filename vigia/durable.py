@@ -38,16 +38,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+#: Codec of stored text, which is written more often than it is read.
+COMPACT = "zstd"
+
+
+def stored(frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The frame written as Parquet under the shared folder and read back.
 
-    Unlike a checkpoint, later reads prune columns and push filters down.
+    Unlike a checkpoint, later reads prune columns and push filters down. ``codec`` is the session's unless given.
     """
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    _write(frame, path, codec)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _write(frame: DataFrame, path: str, codec: str | None) -> None:
+    (frame.write if codec is None else frame.write.option("compression", codec)).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path, on whatever file system it is, if it is there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,19 +75,21 @@ class Workspace:
         self._spark = spark
         self._own: list[tuple[DataFrame | None, str]] = []
 
-    def stored(self, frame: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+    def stored(
+        self, frame: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = (), codec: str | None = None
+    ) -> DataFrame:
         """The stored frame; the tables it replaces are dropped when it is complete."""
         path = scratch_path(self._spark, name)
         self._own.append((None, path))
-        frame.write.parquet(path)
+        _write(frame, path, codec)
         table = self._spark.read.schema(frame.schema).parquet(path)
         self._own[-1] = (table, path)
         self.drop(*instead_of)
         return table
 
-    def kept(self, frame: DataFrame, name: str) -> DataFrame:
+    def kept(self, frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         """A table that outlives the block."""
-        return stored(frame, name)
+        return stored(frame, name, codec)
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables of this workspace; others are left alone."""
