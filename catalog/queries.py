@@ -290,8 +290,8 @@ def p19(spark, folder):
 def _billing_csv(spark, folder) -> str:
     """The untidy billing text as a CSV load in client, month and copy order."""
     path = scratch_path(spark, "facturacion-csv")
-    raw = _raw(spark, folder)
-    raw.orderBy("fila_origen").drop("fila_origen").write.options(**AS_RECEIVED).csv(path)
+    raw = MappedTables(spark, folder).raw_billing(lambda rows, line: rows.orderBy(line))
+    raw.drop("fila_origen").write.options(**AS_RECEIVED).csv(path)
     return path
 
 

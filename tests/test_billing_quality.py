@@ -12,7 +12,8 @@ import pytest
 from vigia.business import BillingLimits
 from vigia.operators.lookup import LookupLimits, lookup
 from vigia.plans import billing_quality as bq
-from vigia.sources.billing_file import BillingFileError, read_billing_file
+from vigia.sources.billing_file import BillingFileError, read_billing_file, read_billing_files
+from vigia.sources.mapped import MappedTables
 from vigia.streaming.billing_arrivals import validate_arrivals
 
 LOAD = date(2026, 9, 26)
@@ -400,3 +401,27 @@ def test_only_suspected_rows_look_their_key_up(spark, monkeypatch, key_bits):
     judged = bq.apply_rules(bq.normalize_billing(raw), LOAD, key_bits=key_bits)
     assert rules_by_line(judged) == {402: "UNI_01", 9: "UNI_02", 403: "UNI_02", 404: "COM_01", 405: "COM_01"}
     assert moved == [402] if key_bits == 1 else 4 <= moved[0] < 40 if key_bits == 64 else moved == [4]
+
+
+def test_billing_is_arranged_before_it_is_text(spark, tmp_path):
+    """Sorted or moved as months and figures it has the same rows, in the order of the text's line numbers."""
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 5 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(400).selectExpr(
+        "id % 40 AS l_orderkey", "CAST(1 + id % 7 AS DOUBLE) AS l_quantity", "id + 0.25D AS l_extendedprice",
+        "CAST(make_date(1995 + id % 6, 1 + id % 12, 3) AS TIMESTAMP_NTZ) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    tables, seen = MappedTables(spark, str(tmp_path)), []
+
+    def arranged(rows, line):
+        seen.append(rows.columns)
+        return rows.orderBy(line)
+
+    ordered = [tuple(r) for r in tables.raw_billing(arranged).collect()]
+    assert seen == [["id_cliente", "periodo", "trabajadores_activos", "valor_contrato"]]
+    assert len(ordered) >= 60 and ordered == sorted(map(tuple, tables.raw_billing().collect()))
+    cents = {r.valor_contrato for r in tables.facturacion().collect()}
+    assert sum(cents) and all(v.as_tuple().exponent == -2 for v in cents)
+
+
+def test_text_is_stored_compactly(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + '1,2026-09,1,"5\n6"\n')
+    assert all(path.endswith(".zstd.parquet") for path in read_billing_files(spark, [str(tmp_path / "a.csv")]).records.inputFiles())

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from vigia.durable import Workspace
+from vigia.durable import COMPACT, Workspace
 
 # A field is quoted only if it begins with a quote; a doubled quote inside is a quote, and what follows the
 # closing quote belongs to the field as it stands. Elsewhere quotes are ordinary characters.
@@ -135,7 +135,7 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     Both tables belong to ``work``. A line break inside a field is one ``\\n``. Of a file whose last
     quote never closes, the record it opens is left out and named in ``unclosed``.
     """
-    lines = work.stored(_lines(spark, paths), "lineas")
+    lines = work.stored(_lines(spark, paths), "lineas", codec=COMPACT)
     splits = work.stored(_splits(lines), "cortes")
     last = Window.partitionBy("_archivo")
     ends = splits.withColumn("_total", F.sum("_propios").over(last)).withColumn("_ultimo", F.max("_bloque").over(last))
@@ -156,4 +156,4 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     joined = parts.groupBy("_archivo", "_fila").agg(F.array_sort(F.collect_list(F.struct("_bloque", "_id", "value"))).alias("_partes")).select(
         "_archivo", "_fila", F.array_join(F.transform("_partes", lambda p: F.coalesce(p["value"], F.lit(""))), "\n").alias("value"))
     records = straight.unionByName(whole).unionByName(joined).select(F.col("_archivo").alias("archivo"), F.col("_fila").alias("fila"), fields(F.col("value")).alias("campos"))
-    return NumberedRecords(work.stored(records, "registros", (lines, splits)), unclosed)
+    return NumberedRecords(work.stored(records, "registros", (lines, splits), COMPACT), unclosed)

@@ -16,7 +16,7 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vigia.durable import Workspace, remove
+from vigia.durable import COMPACT, Workspace, remove
 from vigia.operators.lookup import lookup
 from vigia.operators.ordinal import numbered_records
 from vigia.schemas import BILLING_COLUMNS
@@ -88,7 +88,7 @@ def read_billing_files(spark: SparkSession, paths: list[str], root: str | None =
         read = work.kept(
             body.select("archivo", F.col("fila").alias("fila_origen"), damaged.alias("_danado"), cells.alias("_celdas")).select(
                 name.alias("archivo"), "fila_origen", "_danado", *[F.get("_celdas", F.lit(i)).alias(c) for i, c in enumerate(BILLING_COLUMNS)]),
-            "facturacion-texto")
+            "facturacion-texto", COMPACT)
 
         damage = read.filter("_danado").groupBy("archivo").agg(F.min("fila_origen").alias("_larga"))
         missing = by_header(lambda names: F.lit(
