@@ -307,9 +307,9 @@ def t01(spark, folder):
     """The billing text arriving as files, each validated by the stream; failures per rule over all."""
     incoming, output = scratch_path(spark, "entrada"), scratch_path(spark, "llegadas")
     # All lines of a client stay in one file and in order, so uniqueness per file is uniqueness overall.
-    client = F.floor(F.col("fila_origen") / 100_000)
-    (_raw(spark, folder).repartition(client).sortWithinPartitions("fila_origen").drop("fila_origen")
-     .write.options(**AS_RECEIVED).csv(incoming))
+    raw = MappedTables(spark, folder).raw_billing(
+        lambda rows, line: rows.repartition(F.floor(line / 100_000)).sortWithinPartitions(line))
+    raw.drop("fila_origen").write.options(**AS_RECEIVED).csv(incoming)
     stream = validate_arrivals(spark, incoming, output, scratch_path(spark, "estado"), S.LOAD_DATE)
     stream.awaitTermination()
     summaries = spark.read.schema(
