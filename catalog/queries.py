@@ -332,10 +332,12 @@ def s01(spark, folder):
     value = F.when(n == 2, '"1\n\n2"').when(n == 3, '"x,"y"z').when(n == 4, 'm"n"').otherwise("9")
     record = F.concat_ws(",", F.concat(F.lit("F"), F.col("fila_origen")), F.lit("2001-06"), workers, value)
     group = F.floor(F.col("fila_origen") / 100_000) % 32
-    header = spark.range(32).select(F.col("id").alias("grupo"), F.lit(-1).cast("bigint").alias("fila_origen"), F.lit(",".join(bq.BILLING_COLUMNS)).alias("value"))
-    lines = _raw(spark, folder).select(group.alias("grupo"), "fila_origen", record.alias("value"))
+    header = spark.range(32).select(F.col("id").alias("grupo"), F.lit(-1).cast("bigint").alias("fila_origen"))
+    lines = _raw(spark, folder).select(group.alias("grupo"), "fila_origen")
     lines = lines.unionByName(header.join(lines.select("grupo").distinct(), "grupo"))
-    lines.repartition("grupo").sortWithinPartitions("grupo", "fila_origen").drop("fila_origen").write.partitionBy("grupo").text(path)
+    # Numbers move and are sorted; the text is made where it is written.
+    lines = lines.repartition("grupo").sortWithinPartitions("grupo", "fila_origen")
+    lines.select("grupo", F.when(F.col("fila_origen") == -1, ",".join(bq.BILLING_COLUMNS)).otherwise(record).alias("value")).write.partitionBy("grupo").text(path)
     read = read_billing_files(spark, [path], path).records
     fila = F.col("id_cliente").substr(F.lit(2), F.length("id_cliente")).cast("bigint")
     return read.groupBy("periodo", "trabajadores_activos", "valor_contrato", (F.floor(fila / 10) % 5).alias("clase")).agg(
