@@ -399,3 +399,37 @@ def test_alignment_of_many_pairs():
         got = order_minhash.edits_within(pairs, np.array(limits), draw.choice([1, 2, 12]))
         assert got.tolist() == [plain_edit(a.tolist(), b.tolist()) <= limit for (a, b), limit in zip(pairs, limits)]
     assert order_minhash.edits_within([], np.zeros(0, np.int64)).tolist() == []
+
+
+def test_tiles_leave_few_pairs_of_a_family_and_each_once():
+    """Texts of one template, a quarter of their words apart, that share two buckets: only the near copies are written, in one of them."""
+    draw, texts = random.Random(21), []
+    base = [f"w{i}" for i in range(700)]
+    for i in range(40):
+        other = list(base)
+        for at in draw.sample(range(700), 105):
+            other[at] = f"own{i}x{at}"
+        texts.append(" ".join(other))
+    texts.append(texts[0] + " and more")
+    _, _, words = textkit.terms(textkit.text_array(pa.array(texts)))
+    ids = [words.digest[a:b] for a, b in itertools.pairwise(words.first)]
+    near = {(a, b) for a, b in itertools.combinations(range(len(ids)), 2) if order_minhash.edit_within(ids[a], ids[b], int(0.2 * max(len(ids[a]), len(ids[b])) + 1e-9)) is not None}
+    assert near == {(0, 40)}
+    bits = order_minhash.word_bits(words, order_minhash.labelled_words(words))
+    zero, order, n = np.zeros(len(texts), np.int64), np.arange(len(texts)), np.diff(words.first).astype(np.int32)
+    tiles = [
+        pa.table({"key": zero + key, "low": zero, "high": zero, "part": zero, "num": order, "n": n, "root": order, "bits": pa.array(bits, pa.binary()), "earlier": pa.array([earlier] * len(texts), pa.list_(pa.int64()))})
+        for key, earlier in ((3, []), (7, [3]))
+    ]
+    batches = pa.concat_tables(tiles).to_batches()
+    found = pa.Table.from_batches(order_minhash._tile_pairs(iter(batches), order_minhash.OrderRule(), lengths=True)).to_pylist()
+    assert found == [{"num": 40, "hub": 0}]
+
+
+def test_open_keys_of_classes(spark):
+    """The keys in the filter, ascending, of the classes that have any: every two classes agree on the least one they share."""
+    keys = {1: [9, -4, 0, 7], 2: [7, 0, 9, 5], 3: [8, 0, 0, 1], 4: []}
+    classes = spark.createDataFrame(list(keys.items()), "num bigint, keys array<bigint>")
+    passed = spark.sparkContext.broadcast(order_minhash.idfilter.build(spark.createDataFrame([(9,), (-4,), (7,)], "key bigint")))
+    out = {r.num: r.open for r in order_minhash.opened(classes, passed).collect()}
+    assert out[1] == [-4, 7, 9] and [k for k in out[2] if k != 5] == [7, 9] and 4 not in out

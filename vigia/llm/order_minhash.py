@@ -16,7 +16,7 @@
 4. The links found so far connect texts. In buckets whose members are not all connected, members of
    different components are compared by their bit maps only, in tiles: a bucket is cut into parts of about
    `tile` members, and a task that holds two parts writes the pairs that the bit maps leave, so that no pair of a
-   bucket is left open and none that they rule out is written or moved.
+   bucket is left open, none that they rule out is written or moved, and none is written in more than one bucket.
 5. Pairs of like length are aligned together. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
    does not exceed it.
@@ -34,7 +34,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -140,22 +140,23 @@ def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0, lab
     return out
 
 
-_LEAST_BITS, _MOST_BITS = 256, 1 << 16
+_LEAST_BITS, _MOST_BITS = 256, 1 << 17
 
 
 def word_bits(words: Pieces, labels: np.ndarray) -> list[bytes]:
-    """The bit map of each text: which cells its labelled words fall to.
+    """The bit map of each text: in which cells an odd number of its labelled words falls.
 
-    It has two to four bits a word, a power of two between the bounds. A map of half the size is
-    the union of its halves. A word edit changes the labelled words of a text by one at most on either
-    side, so as many cells as one map has and the other has not are a lower bound of the edit distance.
+    It has four to eight bits a word, a power of two between the bounds. A map of half the size is
+    the exclusive or of its halves. Words that two texts share fall to the same cells of both and cancel out, so
+    two maps differ in no more cells than there are labelled words of only one text. A replaced word makes
+    two of these, an inserted or deleted one makes one and changes the length (see `_excess`).
     """
     size = np.diff(words.first)
-    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), _LEAST_BITS, _MOST_BITS)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(4 * size, 1))).astype(np.int64), _LEAST_BITS, _MOST_BITS)
     begin = np.concatenate([[0], np.cumsum(width)])
-    cells = np.zeros(begin[-1], dtype=bool)
-    cells[begin[words.doc] + (labels & (width[words.doc] - 1).astype(np.uint64)).astype(np.int64)] = True
-    raw = np.packbits(cells, bitorder="little").tobytes()
+    cells = np.zeros(begin[-1], dtype=np.uint8)
+    np.add.at(cells, begin[words.doc] + (labels & (width[words.doc] - 1).astype(np.uint64)).astype(np.int64), np.uint8(1))
+    raw = np.packbits(cells & 1, bitorder="little").tobytes()
     return [raw[a:b] for a, b in itertools.pairwise((begin // 8).tolist())]
 
 
@@ -165,14 +166,16 @@ def _maps(values: list[bytes], width: int) -> np.ndarray:
     size = np.fromiter(map(len, values), np.int64, len(values))
     for own in np.unique(size).tolist():
         at = np.flatnonzero(size == own)
-        out[at] = np.bitwise_or.reduce(np.frombuffer(b"".join([values[i] for i in at.tolist()]), "<u8").reshape(len(at), -1, width // 8), axis=1)
+        out[at] = np.bitwise_xor.reduce(np.frombuffer(b"".join([values[i] for i in at.tolist()]), "<u8").reshape(len(at), -1, width // 8), axis=1)
     return out
 
 
-def _excess(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """For each row the larger number of bits that one map has and the other has not."""
-    own, other = (np.bitwise_count(v).sum(axis=1, dtype=np.int64) for v in (x, y))
-    return np.maximum(own, other) - np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+def _excess(x: np.ndarray, y: np.ndarray, gap: np.ndarray | int = 0) -> np.ndarray:
+    """For each row a lower bound of the word edits: half of the cells that differ and of the `gap` between the lengths.
+
+    With r words replaced and s inserted or deleted at most 2 r + s cells differ, and the gap is at most s.
+    """
+    return (np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) + gap + 1) // 2
 
 
 def _limits(most: np.ndarray, rule: OrderRule) -> np.ndarray:
@@ -227,6 +230,24 @@ def keyed(classes: DataFrame, passed: Broadcast | None = None) -> DataFrame:
     return classes.select("num", "keys").where(F.size("keys") > 0).mapInArrow(run, "key bigint, num bigint")
 
 
+def opened(classes: DataFrame, passed: Broadcast) -> DataFrame:
+    """num, open: the keys of each class that may be in the filter, ascending."""
+    schema = pa.schema([("num", pa.int64()), ("open", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero((keys != 0) & idfilter.contains(passed.value, keys.view(np.uint64)))
+            row = np.repeat(np.arange(len(size)), size)[at]
+            keys = keys[at][np.lexsort((keys[at], row))]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(size)))]).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], schema=schema).filter(pa.array(np.diff(offsets) > 0))
+
+    return classes.select("num", "keys").where(F.size("keys") > 0).mapInArrow(run, "num bigint, open array<bigint>")
+
+
 def bucketed(classes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """The buckets (key, hub, n) of two members or more, and the pairs (num, hub) of their members; the hub is the least.
 
@@ -247,24 +268,28 @@ def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
-                x, y = (some.column(i).to_pylist() for i in (3, 4))
+                x, y = (some.column(i).to_pylist() for i in (4, 5))
+                most, gap = (some.column(i).to_numpy() for i in (2, 3))
                 width = np.minimum(*(np.fromiter(map(len, v), np.int64, len(v)) for v in (x, y)))
                 near = np.zeros(len(x), dtype=bool)
                 for own in np.unique(width).tolist():
                     i = np.flatnonzero(width == own).tolist()
-                    near[i] = _excess(*(_maps([v[j] for j in i], own) for v in (x, y))) <= _limits(some.column(2).to_numpy()[i], rule)
+                    near[i] = _excess(*(_maps([v[j] for j in i], own) for v in (x, y)), gap[i]) <= _limits(most[i], rule)
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1)], schema=schema).filter(pa.array(near))
 
     held = classes.where(F.size("keys") > 0)
     both = pairs.join(held.select("num", F.col("n").alias("m"), F.col("bits").alias("x")), "num")
     both = both.join(held.select(F.col("num").alias("hub"), "n", F.col("bits").alias("y")), "hub")
-    most = F.greatest("n", "m")
-    both = both.where(F.abs(F.col("n") - F.col("m")) <= F.floor(most * (1 - rule.similarity) + 1e-9))
-    return both.select("num", "hub", most.alias("most"), "x", "y").mapInArrow(run, "num bigint, hub bigint")
+    most, gap = F.greatest("n", "m"), F.abs(F.col("n") - F.col("m"))
+    both = both.where(gap <= F.floor(most * (1 - rule.similarity) + 1e-9))
+    return both.select("num", "hub", most.alias("most"), gap.alias("gap"), "x", "y").mapInArrow(run, "num bigint, hub bigint")
 
 
 def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
-    """Pairs (num, hub) of members of one bucket in different components that their bit maps do not rule out."""
+    """Pairs (num, hub) of members of one bucket in different components that their bit maps do not rule out.
+
+    A bucket that holds a pair of two components is open. Of the buckets that hold a pair only that of least key writes it.
+    """
     sparkle = classes.sparkSession.sparkContext
     rooted = classes.where(F.size("keys") > 0).select("num", "n", "bits").join(roots.withColumnRenamed("node", "num"), "num", "left")
     rooted = work.stored(rooted.select("num", "n", F.coalesce("root", "num").alias("root"), "bits"), "rooted")
@@ -278,12 +303,14 @@ def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: Order
     # Every two parts of a bucket meet in the tile (low, high).
     held = held.withColumn("part", F.pmod(F.xxhash64("num"), "parts")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     held = work.stored(held.select("key", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "num"), "open-members")
-    tiles = held.join(rooted, "num").select("key", "low", "high", "part", "num", "n", "root", "bits")
+    tiles = held.join(rooted.join(opened(classes, passed), "num"), "num")
+    earlier = F.expr("slice(open, 1, cast(array_position(open, key) - 1 as int))")
+    tiles = tiles.select("key", "low", "high", "part", "num", "n", "root", "bits", earlier.alias("earlier"))
     tiles = tiles.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n")
-    return tiles.mapInArrow(partial(_tile_pairs, rule=rule), "num bigint, hub bigint").distinct()
+    return tiles.mapInArrow(partial(_tile_pairs, rule=rule, lengths=True), "num bigint, hub bigint").distinct()
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], rule: OrderRule) -> Iterator[pa.RecordBatch]:
+def _tile_pairs(batches: Iterator[pa.RecordBatch], rule: OrderRule, lengths: bool = False) -> Iterator[pa.RecordBatch]:
     """The pairs of each tile; a tile that goes on in the next batch waits for it."""
     waiting = None
     for batch in batches:
@@ -293,9 +320,9 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch], rule: OrderRule) -> Iterator[
         table = table.combine_chunks()
         last = np.flatnonzero(_tile_begins(table))[-1]
         waiting = table.slice(last)
-        yield from _pairs_of_tiles(table.slice(0, last), rule)
+        yield from _pairs_of_tiles(table.slice(0, last), rule, lengths)
     if waiting is not None:
-        yield from _pairs_of_tiles(waiting, rule)
+        yield from _pairs_of_tiles(waiting, rule, lengths)
 
 
 def _tile_begins(table: pa.Table) -> np.ndarray:
@@ -305,20 +332,25 @@ def _tile_begins(table: pa.Table) -> np.ndarray:
     return begins
 
 
-def _pairs_of_tiles(table: pa.Table, rule: OrderRule) -> Iterator[pa.RecordBatch]:
-    """Rows in order of tile and length: each meets the following ones until the tile or the like length ends."""
+def _pairs_of_tiles(table: pa.Table, rule: OrderRule, lengths: bool) -> Iterator[pa.RecordBatch]:
+    """Rows in order of tile and length: each meets the following ones until the tile or the like length ends.
+
+    With `lengths` the bound takes the lengths in, else it is that of the maps alone.
+    Two rows that share one of their `earlier` keys, if these are given, meet in the bucket of that key.
+    """
     if not table.num_rows:
         return
     tile = np.cumsum(_tile_begins(table))
     low, high, part, num, n, root = (table.column(i).to_numpy() for i in range(1, 7))
     bits = table.column(7).to_pylist()
+    earlier = table.column("earlier") if "earlier" in table.column_names else None
+    keys_of = cache(lambda i: frozenset(earlier[i].as_py()))
     width = np.fromiter(map(len, bits), np.int64, len(bits))
     n = n.astype(np.int64)
     for own in np.unique(width).tolist():
         # A text of like length has a map of the same size or of twice that size.
         rows = np.flatnonzero((width == own) | (width == 2 * own))
         maps = _maps([bits[i] for i in rows.tolist()], own)
-        ones = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         at, step = np.flatnonzero(width[rows] == own), 0
         while len(at):
             step += 1
@@ -327,12 +359,16 @@ def _pairs_of_tiles(table: pa.Table, rule: OrderRule) -> Iterator[pa.RecordBatch
             like = (tile[i] == tile[j]) & (n[j] - n[i] <= _limits(n[j], rule))
             at, i, j = at[like], i[like], j[like]
             ask = at[(root[i] != root[j]) & ((low[i] == high[i]) | (part[i] != part[j]))]
-            for begin in range(0, len(ask), max(1, (1 << 23) // own)):
-                x = ask[begin : begin + max(1, (1 << 23) // own)]
+            for begin in range(0, len(ask), max(1, (1 << 21) // own)):
+                x = ask[begin : begin + max(1, (1 << 21) // own)]
                 y = x + step
-                both = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64)
-                near = np.maximum(ones[x], ones[y]) - both <= _limits(n[rows[y]], rule)
-                a, b = num[rows[x[near]]], num[rows[y[near]]]
+                gap = n[rows[y]] - n[rows[x]] if lengths else 0
+                near = _excess(maps[x], maps[y], gap) <= _limits(n[rows[y]], rule)
+                x, y = rows[x[near]], rows[y[near]]
+                if earlier is not None:
+                    here = [keys_of(i).isdisjoint(keys_of(j)) for i, j in zip(x.tolist(), y.tolist(), strict=True)]
+                    x, y = x[here], y[here]
+                a, b = num[x], num[y]
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["num", "hub"])
 
