@@ -145,3 +145,17 @@ def test_digest_of_pieces(spark):
     (r,) = pack_dp.piece_digest(whole).collect()
     ids = [*library(WORDS)("one two. three"), 1]
     assert (r.doc_id, r.start, r.length, r.doc_tokens, r.offset, r.ids_crc32) == (0, 0, len(ids), len(ids), 0, zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_chunks_give_back_what_arrow_holds(monkeypatch):
+    """A worker outlives its stage: memory that Arrow has freed but keeps goes back at the end of each batch."""
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+
+    monkeypatch.setattr(textkit.pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_pydict({"text": ["a b", None, "c" * 50]})
+    assert [rows.num_rows for rows, _ in textkit.chunks(batch, limit=10)] == [2, 1]
+    assert calls == [1]

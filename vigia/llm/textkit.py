@@ -77,6 +77,9 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         to = max(at + 1, min(at + most_rows, int(np.searchsorted(ends, base + limit, side="right"))))
         yield batch.slice(at, to - at), texts.slice(at, to - at)
         at = to
+    # Workers are kept between stages; what Arrow has freed but holds would be added to the next stage's memory.
+    del texts
+    pa.default_memory_pool().release_unused()
 
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
