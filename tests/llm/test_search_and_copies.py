@@ -433,3 +433,15 @@ def test_open_keys_of_classes(spark):
     passed = spark.sparkContext.broadcast(order_minhash.idfilter.build(spark.createDataFrame([(9,), (-4,), (7,)], "key bigint")))
     out = {r.num: r.open for r in order_minhash.opened(classes, passed).collect()}
     assert out[1] == [-4, 7, 9] and [k for k in out[2] if k != 5] == [7, 9] and 4 not in out
+
+
+def test_pairs_of_large_buckets_are_written_once(spark):
+    """The classes are the same whether pairs are written in every bucket they share or in the first of the large ones only."""
+    draw, texts = random.Random(5), []
+    template = words_of(prose(2, 12))[:120]
+    for i in range(60):
+        base = [f"own{i}x{at}" if at % 4 == 0 else w for at, w in enumerate(template)]
+        texts += [" ".join(base), " ".join(f"new{draw.randrange(10**6)}" if at in draw.sample(range(120), 9) else w for at, w in enumerate(base))]
+    docs = table(spark, rows(texts))
+    always, once = ({r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs, order_minhash.OrderRule(large=large)).collect()} for large in (1 << 30, 2))
+    assert always == once and len(set(once.values())) < len(texts)

@@ -16,7 +16,7 @@
 4. The links found so far connect texts. In buckets whose members are not all connected, members of
    different components are compared by their bit maps only, in tiles: a bucket is cut into parts of about
    `tile` members, and a task that holds two parts writes the pairs that the bit maps leave, so that no pair of a
-   bucket is left open, none that they rule out is written or moved, and none is written in more than one bucket.
+   bucket is left open, none that they rule out is written or moved, and none is written in more than one large bucket.
 5. Pairs of like length are aligned together. A pair is linked if alignment within a band of width
    floor((1 - similarity) * longer length) confirms that the word edit distance
    does not exceed it.
@@ -65,6 +65,7 @@ class OrderRule:
     similarity: float = 0.8
     narrow: int = 12
     tile: int = 1024
+    large: int = 512
     max_rounds: int = 50
 
 
@@ -140,19 +141,19 @@ def banded_keys(words: Pieces, k: int, bands: int, ell: int, begin: int = 0, lab
     return out
 
 
-_LEAST_BITS, _MOST_BITS = 256, 1 << 17
+_LEAST_BITS, _MOST_BITS = 256, 1 << 16
 
 
 def word_bits(words: Pieces, labels: np.ndarray) -> list[bytes]:
     """The bit map of each text: in which cells an odd number of its labelled words falls.
 
-    It has four to eight bits a word, a power of two between the bounds. A map of half the size is
+    It has two to four bits a word, a power of two between the bounds. A map of half the size is
     the exclusive or of its halves. Words that two texts share fall to the same cells of both and cancel out, so
     two maps differ in no more cells than there are labelled words of only one text. A replaced word makes
     two of these, an inserted or deleted one makes one and changes the length (see `_excess`).
     """
     size = np.diff(words.first)
-    width = np.clip(1 << np.ceil(np.log2(np.maximum(4 * size, 1))).astype(np.int64), _LEAST_BITS, _MOST_BITS)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), _LEAST_BITS, _MOST_BITS)
     begin = np.concatenate([[0], np.cumsum(width)])
     cells = np.zeros(begin[-1], dtype=np.uint8)
     np.add.at(cells, begin[words.doc] + (labels & (width[words.doc] - 1).astype(np.uint64)).astype(np.int64), np.uint8(1))
@@ -288,7 +289,8 @@ def possible(pairs: DataFrame, classes: DataFrame, rule: OrderRule) -> DataFrame
 def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: OrderRule, work: Workspace) -> DataFrame:
     """Pairs (num, hub) of members of one bucket in different components that their bit maps do not rule out.
 
-    A bucket that holds a pair of two components is open. Of the buckets that hold a pair only that of least key writes it.
+    A bucket that holds a pair of two components is open. Of the large buckets that hold a pair only that of
+    least key writes it, and smaller ones write it only if their key is less: the least key that two texts share always does.
     """
     sparkle = classes.sparkSession.sparkContext
     rooted = classes.where(F.size("keys") > 0).select("num", "n", "bits").join(roots.withColumnRenamed("node", "num"), "num", "left")
@@ -303,8 +305,9 @@ def across(classes: DataFrame, buckets: DataFrame, roots: DataFrame, rule: Order
     # Every two parts of a bucket meet in the tile (low, high).
     held = held.withColumn("part", F.pmod(F.xxhash64("num"), "parts")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     held = work.stored(held.select("key", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "num"), "open-members")
-    tiles = held.join(rooted.join(opened(classes, passed), "num"), "num")
-    earlier = F.expr("slice(open, 1, cast(array_position(open, key) - 1 as int))")
+    large = sparkle.broadcast(idfilter.build(spread.where(F.col("size") >= rule.large).select("key")))
+    tiles = held.join(rooted.join(opened(classes, large), "num", "left"), "num")
+    earlier = F.coalesce(F.expr("filter(open, k -> k < key)"), F.array().cast("array<bigint>"))
     tiles = tiles.select("key", "low", "high", "part", "num", "n", "root", "bits", earlier.alias("earlier"))
     tiles = tiles.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n")
     return tiles.mapInArrow(partial(_tile_pairs, rule=rule, lengths=True), "num bigint, hub bigint").distinct()
