@@ -10,8 +10,10 @@ import pandas as pd
 import pytest
 
 from vigia.business import BillingLimits
+from vigia.operators import ordinal
 from vigia.operators.lookup import LookupLimits, lookup
 from vigia.plans import billing_quality as bq
+from vigia.sources import billing_file
 from vigia.sources.billing_file import BillingFileError, read_billing_file, read_billing_files
 from vigia.sources.mapped import MappedTables
 from vigia.streaming.billing_arrivals import validate_arrivals
@@ -425,3 +427,53 @@ def test_billing_is_arranged_before_it_is_text(spark, tmp_path):
 def test_text_is_stored_compactly(spark, tmp_path):
     (tmp_path / "a.csv").write_text(HEADER + '1,2026-09,1,"5\n6"\n')
     assert all(path.endswith(".zstd.parquet") for path in read_billing_files(spark, [str(tmp_path / "a.csv")]).records.inputFiles())
+
+
+def test_only_splits_with_open_lines_are_sorted(spark, tmp_path, monkeypatch):
+    """Splits of whole lines, quoted fields included, are summed up without a sort, also when they begin inside quotes."""
+    folder = tmp_path / "carga"
+    folder.mkdir()
+    plain = [f'{n},2026-09,"1",{n % 7}' for n in range(1, 301)]
+    (folder / "1.csv").write_text(HEADER + "\n".join(plain) + "\n")
+    # One field of 200 lines: the splits within it keep the state they are given, the last one closes it.
+    field = "\n".join(f"linea {n}" for n in range(200))
+    (folder / "2.csv").write_text(HEADER + f'401,2026-09,1,"{field}"\n' + "\n".join(plain) + "\n")
+    sorted_lines, states = [], ordinal._with_states
+    monkeypatch.setattr(ordinal, "_with_states", lambda lines, starts: "_e0" in starts and sorted_lines.append(lines.count()) or states(lines, starts))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")}
+    try:
+        for k, v in zip(before, ("700", "1"), strict=True):
+            spark.conf.set(k, v)
+        rows = [tuple(r) for r in read_billing_file(spark, str(folder)).orderBy("fila_origen").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    cells = [(str(n), "2026-09", "1", str(n % 7)) for n in range(1, 301)]
+    assert rows == [(n, *row) for n, row in enumerate([*cells, ("401", "2026-09", "1", field), *cells], start=2)]
+    # Of 803 lines those of the one split in which the field opens.
+    assert len(sorted_lines) == 1 and 0 < sorted_lines[0] < 100
+
+
+def test_results_are_written_without_a_sort_by_load(spark, tmp_path, monkeypatch):
+    """Few loads are written side by side; with more than may be open the rows are the same, and the session's setting comes back."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(setting), []
+    writer = type(spark.range(1).write)
+    for kind in ("csv", "parquet"):
+        write = getattr(writer, kind)
+        monkeypatch.setattr(writer, kind, lambda self, *a, _write=write, **k: (seen.append(int(self._spark.conf.get(setting))), _write(self, *a, **k))[1])
+    loads = 3 * billing_file.OPEN_LOADS
+    rows = spark.range(0, 10 * loads, 1, 1).selectExpr(
+        "id AS fila_origen", f"concat('f', id % {loads}, '.csv') AS archivo", "DATE'2026-09-26' AS fecha_carga", "'\n\"' AS texto")
+    billing_file.write_rejected(rows, str(tmp_path))
+    billing_file.write_valid(rows, str(tmp_path))
+    assert seen == [billing_file.OPEN_LOADS] * 2 and spark.conf.get(setting) == before
+    schema = "fila_origen BIGINT, archivo STRING, texto STRING, carga DATE, origen STRING"
+    expected = [(n, f"f{n % loads}.csv", '\n"', LOAD, f"f{n % loads}.csv") for n in range(10 * loads)]
+    csv = spark.read.schema("fila_origen BIGINT, archivo STRING, fecha_carga DATE, texto STRING, carga DATE, origen STRING").options(
+        header=True, multiLine=True, escape='"').csv(f"{tmp_path}/facturacion_rechazados")
+    for read in (csv, spark.read.schema(schema).parquet(f"{tmp_path}/facturacion_validos")):
+        assert sorted(tuple(r) for r in read.select("fila_origen", "archivo", "texto", "carga", "origen").collect()) == expected
+    with pytest.raises(Exception, match="roto"):
+        billing_file.write_valid(rows.selectExpr("fecha_carga", "archivo", "raise_error('roto') AS x"), str(tmp_path))
+    assert spark.conf.get(setting) == before

@@ -4,7 +4,8 @@ Whether a line begins a record depends on the lines before it. Each line is summ
 the quote state: leave it, end outside or inside quotes whatever it was, or reverse it. Such
 summaries compose, so every split is summed up for both states in which it may begin, the splits of a file are
 chained, one small row per split, and only then are records cut and numbered. The text is scanned once and
-stored; everything else reads columns of the stored lines.
+stored; everything else reads columns of the stored lines. Lines are sorted only in splits in which a line is
+blank or leaves the state of its quotes open.
 """
 
 from __future__ import annotations
@@ -90,9 +91,14 @@ def _after(start: Column, order: Window) -> Column:
     return (F.coalesce(fixed, start) + since) % 2
 
 
+def _in_split() -> Window:
+    """The lines of a split in order; its first id stands for the split, since a path in every sorted row is wide."""
+    return Window.partitionBy("_primero").orderBy("_id")
+
+
 def _with_states(lines: DataFrame, starts: dict[str, Column]) -> DataFrame:
     """For each name and start: ``name`` the state before the line, ``name_fin`` the state after it."""
-    order = Window.partitionBy(*_SPLIT).orderBy("_id")
+    order = _in_split()
     turned = lines.withColumn("_giros", F.sum(F.when(F.col("_efecto") == _REVERSES, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     after = turned.withColumns({f"{name}_fin": _after(start, order.rowsBetween(Window.unboundedPreceding, 0)) for name, start in starts.items()})
     return after.withColumns({name: F.coalesce(F.lag(f"{name}_fin").over(order), start) for name, start in starts.items()}).drop("_giros")
@@ -102,13 +108,29 @@ def _begins(state: str) -> Column:
     return (F.col(state) == 0) & ~F.col("_vacia")
 
 
-def _splits(lines: DataFrame) -> DataFrame:
+def _splits(lines: DataFrame, work: Workspace) -> DataFrame:
     """One row per split: the states in which it begins and ends, the records of its file that begin before and in it, and whether its lines are other than one record each."""
-    both = _with_states(lines.select(*_SPLIT, "_id", "_vacia", "_efecto"), {"_e0": F.lit(0), "_e1": F.lit(1)})
-    summed = both.groupBy(*_SPLIT).agg(
+    # Where no line is blank or leaves a quote open, counts tell all: begun inside quotes, the first line that closes them ends that.
+    unsettled = F.col("_vacia") | F.col("_efecto").isin(_OPENS, _REVERSES)
+    counted = work.stored(
+        lines.groupBy(*_SPLIT).agg(
+            F.count(F.lit(1)).alias("_lineas"), F.min("_id").alias("_primero"), F.max(unsettled).alias("_mezcla"),
+            F.min(F.when(F.col("_efecto") == _CLOSES, F.col("_id"))).alias("_cierra")),
+        "recuentos")
+    # The lines of the other splits are put in order.
+    mixed = lines.join(counted.where("_mezcla").select(*_SPLIT, "_primero"), _SPLIT).select("_primero", "_id", "_vacia", "_efecto")
+    both = _with_states(mixed, {"_e0": F.lit(0), "_e1": F.lit(1)})
+    ordered = both.groupBy("_primero").agg(
         *[F.max_by(f"_e{e}_fin", "_id").alias(f"_fin{e}") for e in (0, 1)],
         *[F.count_if(_begins(f"_e{e}")).alias(f"_n{e}") for e in (0, 1)],
-        F.min("_id").alias("_primero"), F.max(F.col("_vacia") | (F.col("_e0") == 1) | (F.col("_e0_fin") == 1)).alias("_partida"))
+        F.max(F.col("_vacia") | (F.col("_e0") == 1) | (F.col("_e0_fin") == 1)).alias("_partida"))
+    closed = F.col("_cierra").isNotNull()
+    after_close = F.col("_lineas") - (F.col("_cierra") - F.col("_primero") + 1)
+    settled = {
+        "_fin0": F.lit(0), "_fin1": F.when(closed, 0).otherwise(1), "_n0": F.col("_lineas"),
+        "_n1": F.when(closed, after_close).otherwise(0), "_partida": F.lit(False)}
+    summed = counted.join(ordered, "_primero", "left").select(
+        *_SPLIT, "_primero", *[F.coalesce(name, value).alias(name) for name, value in settled.items()])
     in_file = Window.partitionBy("_archivo").orderBy("_bloque")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     # The same composition over the splits of a file, which begins outside quotes.
@@ -136,7 +158,7 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     quote never closes, the record it opens is left out and named in ``unclosed``.
     """
     lines = work.stored(_lines(spark, paths), "lineas", codec=COMPACT)
-    splits = work.stored(_splits(lines), "cortes")
+    splits = work.stored(_splits(lines, work), "cortes")
     last = Window.partitionBy("_archivo")
     ends = splits.withColumn("_total", F.sum("_propios").over(last)).withColumn("_ultimo", F.max("_bloque").over(last))
     unclosed = work.stored(
@@ -146,7 +168,7 @@ def numbered_records(spark: SparkSession, paths: list[str], work: Workspace) ->
     # Where every line of a split is a record its place is its number; only other splits are put in order.
     straight = met.where(~F.col("_partida")).select("_archivo", (F.col("_previos") + F.col("_id") - F.col("_primero") + 1).alias("_fila"), "value")
     states = _with_states(met.where("_partida"), {"_estado": F.col("_entra")})
-    order = Window.partitionBy(*_SPLIT).orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+    order = _in_split().rowsBetween(Window.unboundedPreceding, 0)
     placed = states.withColumn("_fila", F.col("_previos") + F.count_if(_begins("_estado")).over(order))
     alone = _begins("_estado") & (F.col("_estado_fin") == 0)
     whole = placed.where(alone).select("_archivo", "_fila", "value")

@@ -8,13 +8,15 @@ than its header, or a quote that never closes, makes the file unreadable and is
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window, functions as F
 
 from vigia.durable import COMPACT, Workspace, remove
 from vigia.operators.lookup import lookup
@@ -141,32 +143,53 @@ def clear_load(spark: SparkSession, folder: str, load_date: date, name: str) ->
         remove(spark, f"{folder}/{table}/carga={load_date}/origen={escaped}")
 
 
-def _per_load(frame: DataFrame):
-    """Results stand side by side by load date and file, in folders named ``carga`` and ``origen``."""
-    return (
-        frame.withColumns({"carga": F.col("fecha_carga"), "origen": F.col("archivo")})
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("carga", "origen"))
+#: Loads a task writes side by side. Only rows of further loads are sorted by load.
+OPEN_LOADS = 16
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _per_load(frame: DataFrame) -> Iterator[DataFrameWriter]:
+    """Results stand side by side by load date and file, in folders named ``carga`` and ``origen``.
+
+    Without files held open Spark sorts all rows of a task by folder, texts and reasons included, also when
+    there is one load only.
+    """
+    conf = frame.sparkSession.conf
+    before = conf.get(_OPEN_FILES)
+    conf.set(_OPEN_FILES, OPEN_LOADS)
+    try:
+        yield (
+            frame.withColumns({"carga": F.col("fecha_carga"), "origen": F.col("archivo")})
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("carga", "origen"))
+    finally:
+        conf.set(_OPEN_FILES, before)
 
 
 def write_valid(valid: DataFrame, folder: str) -> None:
-    _per_load(valid).parquet(f"{folder}/{VALID}")
+    with _per_load(valid) as write:
+        write.parquet(f"{folder}/{VALID}")
 
 
 def write_rejected(rejected: DataFrame, folder: str) -> None:
     """CSV with a header, for people to review and correct at the source."""
-    _per_load(rejected).options(**AS_RECEIVED).csv(f"{folder}/{REJECTED}")
+    with _per_load(rejected) as write:
+        write.options(**AS_RECEIVED).csv(f"{folder}/{REJECTED}")
 
 
 def write_rule_summary(summary: DataFrame, folder: str) -> None:
-    _per_load(summary).option("header", True).csv(f"{folder}/{SUMMARY}")
+    with _per_load(summary) as write:
+        write.option("header", True).csv(f"{folder}/{SUMMARY}")
 
 
 def write_report(report: DataFrame, folder: str) -> None:
     """One nested JSON document per load, with its date and file."""
-    _per_load(report).json(f"{folder}/{REPORT}")
+    with _per_load(report) as write:
+        write.json(f"{folder}/{REPORT}")
 
 
 def write_unreadable(problems: DataFrame, load_date: date, folder: str) -> None:
     """Record the files that could not be validated at all."""
     rows = problems.select(F.lit(load_date).alias("fecha_carga"), "archivo", F.col("problema").alias("error"))
-    _per_load(rows).json(f"{folder}/{UNREADABLE}")
+    with _per_load(rows) as write:
+        write.json(f"{folder}/{UNREADABLE}")
